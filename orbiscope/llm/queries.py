@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orbiscope.llm import decontaminate, packing, pii
+from orbiscope.llm import decontaminate, jaccard_join, packing, pii
 from orbiscope.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_query(table(spark, sf_dir, "documents"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similarity_classes(table(spark, sf_dir, "documents"), k=3, percent=90)
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest_query(table(spark, sf_dir, "documents"))
 
@@ -25,6 +29,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": op2_decontaminate,
     "op5_packing": op5_packing,
+    "op8_jaccard_join": op8_jaccard_join,
     "op10_pii": op10_pii,
 }
 
