@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orbiscope.llm import decontaminate, jaccard_join, langid, packing, pii
+from orbiscope.llm import decontaminate, jaccard_join, langid, packing, pii, toxicity
 from orbiscope.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest_query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.digest_query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.digest_query(table(spark, sf_dir, "documents"))
 
@@ -32,6 +36,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": op2_decontaminate,
+    "op3_toxicity": op3_toxicity,
     "op4_language_id": op4_language_id,
     "op5_packing": op5_packing,
     "op8_jaccard_join": op8_jaccard_join,
