@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orbiscope.llm import decontaminate, jaccard_join, langid, packing, pii, toxicity
+from orbiscope.llm import decontaminate, html_text, jaccard_join, langid, packing, pii, toxicity
 from orbiscope.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_query(table(spark, sf_dir, "documents"))
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similarity_classes(table(spark, sf_dir, "documents"), k=3, percent=90)
 
@@ -39,6 +43,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op4_language_id": op4_language_id,
     "op5_packing": op5_packing,
+    "op7_html_text": op7_html_text,
     "op8_jaccard_join": op8_jaccard_join,
     "op10_pii": op10_pii,
 }
