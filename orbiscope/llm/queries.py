@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orbiscope.llm import decontaminate, html_text, jaccard_join, langid, packing, pii, toxicity
+from orbiscope.llm import decontaminate, html_text, jaccard_join, langid, packing, pii, token_counts, toxicity
 from orbiscope.llm.common import table
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_query(table(spark, sf_dir, "documents"))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest_query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -39,6 +43,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
     "op2_decontaminate": op2_decontaminate,
     "op3_toxicity": op3_toxicity,
     "op4_language_id": op4_language_id,
