@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orbiscope.llm import decontaminate, html_text, jaccard_join, langid, packing, pii, token_counts, toxicity
+from orbiscope.llm import decontaminate, html_text, jaccard_join, langid, licenses, packing, pii, token_counts, toxicity
 from orbiscope.llm.common import table
 
 
@@ -30,6 +30,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_query(table(spark, sf_dir, "documents"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_query(table(spark, sf_dir, "documents"))
+
+
 def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -48,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op4_language_id": op4_language_id,
     "op5_packing": op5_packing,
+    "op6_license_scan": op6_license_scan,
     "op7_html_text": op7_html_text,
     "op8_jaccard_join": op8_jaccard_join,
     "op10_pii": op10_pii,
