@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orbiscope.llm import decontaminate, html_text, jaccard_join, langid, licenses, packing, pii, token_counts, toxicity
+from orbiscope.llm import decontaminate, html_text, jaccard_join, langid, licenses, packing, pii, token_counts, topk_search, toxicity
 from orbiscope.llm.common import table
 
 
@@ -42,6 +42,10 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similarity_classes(table(spark, sf_dir, "documents"), k=3, percent=90)
 
 
+def op9_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.search_query(table(spark, sf_dir, "embeddings"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest_query(table(spark, sf_dir, "documents"))
 
@@ -55,9 +59,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_license_scan": op6_license_scan,
     "op7_html_text": op7_html_text,
     "op8_jaccard_join": op8_jaccard_join,
+    "op9_topk_search": op9_topk_search,
     "op10_pii": op10_pii,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_decontaminate": decontaminate.ORACLE,
+    "op9_topk_search": topk_search.ORACLE,
 }
