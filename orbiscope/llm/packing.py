@@ -151,55 +151,56 @@ class _Packer:
         return rows
 
 
-class TokenCache(dict):
-    """Pre-token -> little-endian 32-bit ids, filled on demand and emptied when it grows beyond a bound."""
-
-    BOUND = 1 << 18
-
-    def __init__(self, encode):
-        super().__init__()
-        self.encode = encode
+# Fixed value: the split pattern of the byte-level vocabulary.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= self.BOUND:
-            self.clear()
-        self[piece] = ids = self.encode(piece)
-        return ids
 
-
-# Fixed value: the split pattern of the byte-level vocabulary (its description gives the same one).
-SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+def byte_letters() -> dict[str, int]:
+    """The letters that stand for bytes in a byte-level vocabulary: printable ones for themselves, the rest from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
 class Encoder:
-    """ids of a text under a byte-level BPE vocabulary file, then the end id, as bytes.
+    """ids of a text under a byte-level BPE vocabulary file, then the end id, as little-endian 32-bit bytes.
 
-    Byte-level BPE never merges across pre-tokens, so ids are kept per distinct
-    pre-token.  A text that holds the string of a special token goes to the
-    tokenizer whole.
+    The file's tokens are handed to a faster engine as ranks: in a byte-level
+    vocabulary a merged token's id is its merge rank.  Texts that hold the
+    string of a special token, and those with blanks too long for the engine's
+    search, go to the tokenizer itself.
     """
 
     def __init__(self, path: str, end_id: int):
         import numpy as np
-        import regex
+        import tiktoken
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-        self.end = np.array([end_id], "<u4").tobytes()
-
-        def encode(text: str) -> bytes:
-            return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        letters = byte_letters()
+        ranks = {
+            bytes(letters[c] for c in token): i
+            for token, i in tokenizer.get_vocab(with_added_tokens=False).items()
+            if token not in self.special
+        }
+        self.fast = tiktoken.Encoding("vocabulary", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+        self.slow = tokenizer
+        self.end = np.array([end_id], "<u4")
+        self.join = np.concatenate
+
+    def ids(self, text: str):
+        import numpy as np
 
-        self.whole = encode
-        self.pieces = TokenCache(encode)
-        self.split = regex.compile(SPLIT).findall
+        if not any(s in text for s in self.special):
+            try:
+                return self.fast.encode_to_numpy(text, disallowed_special=())
+            except ValueError:  # its search ran out of stack
+                pass
+        return np.array(self.slow.encode(text, add_special_tokens=False).ids, "<u4")
 
     def __call__(self, text: str) -> bytes:
-        if any(s in text for s in self.special):
-            return self.whole(text) + self.end
-        get = self.pieces.__getitem__
-        return b"".join(map(get, self.split(text))) + self.end
+        return self.join([self.ids(text), self.end]).astype("<u4", copy=False).tobytes()
 
 
 def pack(
