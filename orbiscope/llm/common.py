@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Callable, Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,6 +56,51 @@ def crc32_mod(key: Column, n: int) -> Column:
     return F.crc32(key.cast("string").cast("binary")) % n
 
 
+#: Bits of an id bitmap: 4 MiB, whatever the size of the input.
+BITMAP_BITS = 1 << 25
+
+
+def id_bitmap(ids: DataFrame):
+    """A bitmap (bytes) of a column of integer ids modulo BITMAP_BITS.
+
+    It only pre-filters: an exact join follows, and a full bitmap lets everything through.
+    """
+    import numpy as np
+
+    bit = F.pmod(F.col(ids.columns[0]), F.lit(BITMAP_BITS))
+    words = (
+        ids.select((bit / 32).cast("long").alias("word"), F.pmod(bit, F.lit(32)).cast("int").alias("bit"))
+        .groupBy("word")
+        .agg(F.expr("bit_or(shiftleft(1L, bit))").alias("mask"))
+    )
+    out = np.zeros(BITMAP_BITS // 32, "<u4")
+    for row in words.where("word IS NOT NULL").toLocalIterator():
+        out[row.word] = row.mask
+    return out.view(np.uint8)
+
+
+def without_ids(docs: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
+    """The rows of ``docs`` whose id is not among ``ids``, all columns kept.
+
+    Only rows whose id is in the bitmap of ``ids`` are shuffled, for the exact
+    anti-join; all others stay where they are.
+    """
+    import numpy as np
+
+    ids = cut(ids)
+    bitmap = docs.sparkSession.sparkContext.broadcast(id_bitmap(ids))
+
+    @F.pandas_udf("boolean")
+    def listed(key: pd.Series) -> pd.Series:
+        at = key.fillna(-1).to_numpy(np.int64) % BITMAP_BITS
+        return pd.Series((bitmap.value[at >> 3] >> (at & 7)) & 1 == 1)
+
+    gone = ids.select(F.col(ids.columns[0]).alias("_gone")).distinct()
+    marked = listed(F.col(id_col).cast("long")) & F.col(id_col).isNotNull()
+    rest = docs.where(marked)
+    return docs.where(~marked).unionByName(rest.join(gone, rest[id_col] == gone["_gone"], "left_anti"))
+
+
 def slices(batch: pa.RecordBatch, text: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into pieces of whole rows with about ``limit`` bytes of text each."""
     import numpy as np

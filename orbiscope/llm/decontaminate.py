@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orbiscope.llm.common import cut, slices
+from orbiscope.llm.common import cut, slices, without_ids
 
 #: Bytes that belong to words, lower-cased; every other byte becomes a blank.
 WORD_BYTES = bytes(
@@ -211,15 +211,24 @@ def find_overlap(
     One block of items needs two map-side scans of the documents and no shuffle
     of them; only further blocks add rows (hits alone) to a final aggregation.
     """
-    if (block_words + 1) ** shingle >= 1 << 64:
-        raise ValueError("block_words ** shingle must stay below 2 ** 64")
-    spark = docs.sparkSession
-    texts = docs.select(F.col(text_col))
     keyed = docs.select(F.col(id_col).alias("key"), F.col(text_col))
     key_type = keyed.schema["key"].dataType.simpleString()
     schema = f"key {key_type}, n_words long, n_hit long, starts array<long>, lengths array<long>, items array<long>"
     parts: list[DataFrame] = []
-    blocks = item_blocks(items, item_id_col, item_text_col, block_words)
+    for index, last in _indexes(docs.select(F.col(text_col)), items, item_id_col, item_text_col, window, shingle, block_words):
+        part = keyed.mapInArrow(_hit_kernel(index, first=not parts), schema)
+        if last and not parts:
+            return part
+        parts.append(cut(part))
+    return _merge(parts)
+
+
+def _indexes(texts: DataFrame, items: DataFrame, id_col: str, text_col: str, window: int, shingle: int, block_words: int):
+    """(broadcast index, whether it is the last) of every block of items; each counts its shingles in all documents."""
+    if (block_words + 1) ** shingle >= 1 << 64:
+        raise ValueError("block_words ** shingle must stay below 2 ** 64")
+    sc = texts.sparkSession.sparkContext
+    blocks = item_blocks(items, id_col, text_col, block_words)
     block = next(blocks)
     while block is not None:
         following = next(blocks, None)
@@ -227,7 +236,7 @@ def find_overlap(
         for item, text in block:
             index.add(item, text)
         index.close()
-        shared = spark.sparkContext.broadcast(index)
+        shared = sc.broadcast(index)
         counted = (
             texts.mapInArrow(_count_kernel(shared), "code long, n long")
             .groupBy("code")
@@ -235,13 +244,8 @@ def find_overlap(
         )
         # at most one row for each shingle of this block of items
         index.choose({row.code % (1 << 64): row.n for row in counted.toLocalIterator()})
-        joined = spark.sparkContext.broadcast(index)
-        part = keyed.mapInArrow(_hit_kernel(joined, first=not parts), schema)
-        if not parts and following is None:
-            return part
-        parts.append(cut(part))
+        yield sc.broadcast(index), following is None
         block = following
-    return _merge(parts)
 
 
 def _merge(parts: list[DataFrame]) -> DataFrame:
@@ -299,13 +303,36 @@ def digest_query(docs: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
+def drop_contaminated(
+    docs: DataFrame,
+    items: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    window: int = 10,
+    shingle: int = 3,
+    block_words: int = 1_000_000,
+) -> DataFrame:
     """The rows of ``docs`` without any hit, all columns kept.  Null and empty texts stay.
 
-    Needs unique ``doc_id`` values: rows are dropped by id.
+    With one block of items rows are dropped where they are read; with several,
+    by the ids that have hits (rows that share an id then go together).
     """
-    bad = find_overlap(docs, items).where("n_hit > 0").select(F.col("key").alias("_contaminated")).distinct()
-    return docs.join(bad, docs["doc_id"] == bad["_contaminated"], "left_anti")
+    indexes = _indexes(docs.select(F.col(text_col)), items, "item_id", "text", window, shingle, block_words)
+    index, last = next(indexes)
+    if last:
+
+        def clean(batches):
+            for batch in batches:
+                at = batch.schema.get_field_index(text_col)
+                for part in slices(batch, at):
+                    texts = part.column(at).cast(pa.binary()).to_pylist()
+                    found = index.value
+                    keep = [next(found.hits(found.encode(words_of(t))), None) is None for t in texts]
+                    yield part.filter(pa.array(keep, pa.bool_()))
+
+        return docs.mapInArrow(clean, docs.schema)
+    hit = find_overlap(docs, items, id_col, text_col, window=window, shingle=shingle, block_words=block_words)
+    return without_ids(docs, hit.where("n_hit > 0").select("key"), id_col)
 
 
 ORACLE = r"""

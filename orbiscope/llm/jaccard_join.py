@@ -33,11 +33,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orbiscope.llm.common import cut, slices
+from orbiscope.llm.common import BITMAP_BITS, cut, id_bitmap, slices, without_ids
 from orbiscope.llm.components import connected_components
 
 _P1, _P2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-BITMAP_BITS = 1 << 25  # 4 MiB, whatever the size of the input
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -262,20 +261,6 @@ def _link_kernel(percent: int):
     return kernel
 
 
-def _bitmap(ids: DataFrame) -> np.ndarray:
-    """A fixed-size bitmap of ``key``; a full one only means that nothing is filtered."""
-    bit = F.pmod(F.col("key"), F.lit(BITMAP_BITS))
-    words = (
-        ids.select((bit / 32).cast("long").alias("word"), F.pmod(bit, F.lit(32)).cast("int").alias("bit"))
-        .groupBy("word")
-        .agg(F.expr("bit_or(shiftleft(1L, bit))").alias("mask"))
-    )
-    out = np.zeros(BITMAP_BITS // 32, "<u4")
-    for row in words.toLocalIterator():
-        out[row.word] = row.mask
-    return out.view(np.uint8)
-
-
 def similarity_classes(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -310,8 +295,8 @@ def similarity_classes(
     meetings = marks.join(met.select("mark", "a"), "mark").where("rep <> a").select("a", F.col("rep").alias("b"))
     clusters = cut(connected_components(meetings.distinct()))
 
-    sets = keyed.mapInArrow(_set_kernel(k, docs.sparkSession.sparkContext.broadcast(_bitmap(
-        clusters.select(F.col("node").alias("key"))))), "key long, shingles binary")
+    bitmap = docs.sparkSession.sparkContext.broadcast(id_bitmap(clusters.select("node")))
+    sets = keyed.mapInArrow(_set_kernel(k, bitmap), "key long, shingles binary")
     sizes = clusters.join(signed.select(F.col("key").alias("node"), "n"), "node")
     blocks = sizes.groupBy("root").agg(
         F.greatest(F.ceil(F.count("*") / block_rows), F.ceil(F.sum("n") / block_shingles)).cast("int").alias("blocks")
@@ -345,9 +330,5 @@ def similarity_classes(
 
 def drop_similar(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """One document of each component stays (the one with the smallest id), all columns kept."""
-    gone = (
-        similarity_classes(docs, k=k, percent=percent)
-        .where("doc_id <> component_id")
-        .select(F.col("doc_id").alias("_similar"))
-    )
-    return docs.join(gone, docs["doc_id"] == gone["_similar"], "left_anti")
+    gone = similarity_classes(docs, k=k, percent=percent).where("doc_id <> component_id").select("doc_id")
+    return without_ids(docs, gone, "doc_id")
