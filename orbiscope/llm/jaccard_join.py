@@ -267,7 +267,7 @@ def similarity_classes(
     text_col: str = "text",
     k: int = 5,
     percent: int = 80,
-    block_rows: int = 160,
+    block_rows: int = 2048,
     block_shingles: int = 1 << 21,
 ) -> DataFrame:
     """(id_col, n_shingles, component_id) for every row of ``docs``.
