@@ -1 +1 @@
-
+"""Operators: DataFrame in, DataFrame out, no side effects."""
