@@ -50,15 +50,26 @@ def load_vocabulary(path: str) -> UnigramVocabulary:
     return UnigramVocabulary.of_pieces([model.id_to_piece(i) for i in plain])
 
 
+def piece_trie(scores: dict[str, float]) -> dict:
+    """The pieces as nested dictionaries by character; the key '' holds a piece's score."""
+    root: dict = {}
+    for piece, score in scores.items():
+        node = root
+        for c in piece:
+            node = node.setdefault(c, {})
+        node[""] = score
+    return root
+
+
 class PrefixTrie:
     """Pre-tokens as a trie; ``count`` runs the forward program over it once.
 
-    A node is the list of its children by character and, when filled, the best
-    score and piece count of the path from the root.
+    A node is the dictionary of its children by character; the key '' marks a
+    terminal node and holds its pre-token.
     """
 
-    def __init__(self, vocabulary: UnigramVocabulary):
-        self.vocabulary = vocabulary
+    def __init__(self, pieces: dict):
+        self.pieces = pieces
         self.root: dict = {}
 
     def insert(self, token: str) -> None:
@@ -68,33 +79,40 @@ class PrefixTrie:
         node[""] = token
 
     def count(self) -> dict[str, int]:
-        """{pre-token: pieces on its best path}; of equal scores the fewer pieces."""
-        scores, longest = self.vocabulary.scores, self.vocabulary.longest
+        """{pre-token: pieces on its best path}; of equal scores the fewer pieces.
+
+        Every node carries its prefix's forward score and the pieces that have
+        begun on the way to it and may still grow, each with the score at its
+        beginning.
+        """
         found: dict[str, int] = {}
-        path: list[str] = []  # characters from the root
-        best: list[tuple[float, int]] = [(0.0, 0)]  # (score, -pieces) of every prefix of the path
-        todo: list[tuple[dict, int, str]] = [(self.root, 0, "")]
+        first = self.pieces
+        todo: list[tuple[dict, list, float, int]] = [(self.root, [], 0.0, 0)]
         while todo:
-            node, depth, c = todo.pop()
-            if depth:
-                del path[depth - 1 :], best[depth:]
-                path.append(c)
-                prefix = "".join(path[-longest:])
-                size = len(c.encode("utf-8", "surrogatepass"))
-                score, pieces = best[depth - 1]
-                top = (score + scores[c], pieces - 1) if c in scores else (score + size * BYTE_SCORE, pieces - size)
-                for n in range(2, len(prefix) + 1):
-                    s = scores.get(prefix[-n:])
-                    if s is not None:
-                        score, pieces = best[depth - n]
-                        if (score + s, pieces - 1) > top:
-                            top = (score + s, pieces - 1)
-                best.append(top)
-            for key, child in node.items():
-                if key:
-                    todo.append((child, depth + 1, key))
+            node, growing, score, used = todo.pop()
+            for c, child in node.items():
+                if c == "":
+                    found[child] = used
+                    continue
+                begun = first.get(c)
+                own = None if begun is None else begun.get("")
+                if own is None:
+                    size = len(c.encode("utf-8", "surrogatepass"))
+                    best, pieces = score + size * BYTE_SCORE, used + size
                 else:
-                    found[child] = -best[depth][1]
+                    best, pieces = score + own, used + 1
+                still = [] if begun is None else [(begun, score, used)]
+                for piece, base, before in growing:
+                    longer = piece.get(c)
+                    if longer is None:
+                        continue
+                    s = longer.get("")
+                    if s is not None:
+                        total = base + s
+                        if total > best or total == best and before + 1 < pieces:
+                            best, pieces = total, before + 1
+                    still.append((longer, base, before))
+                todo.append((child, still, best, pieces))
         return found
 
 
@@ -106,7 +124,7 @@ class TokenCounter:
     LONGEST = 256
 
     def __init__(self, vocabulary: UnigramVocabulary):
-        self.vocabulary = vocabulary
+        self.pieces = piece_trie(vocabulary.scores)
         self.known: dict[str, int] = {}
 
     def pretokens(self, text: str) -> list[str]:
@@ -124,7 +142,7 @@ class TokenCounter:
         new = set().union(*split).difference(self.known)
         if len(self.known) + len(new) > self.BOUND:
             self.known, new = {}, set().union(*split)
-        trie = PrefixTrie(self.vocabulary)
+        trie = PrefixTrie(self.pieces)
         for token in new:
             trie.insert(token)
         self.known.update(trie.count())
