@@ -332,10 +332,11 @@ def digest_query(docs: DataFrame) -> DataFrame:
     """The contract's columns: counts and digest of the base spans, and all spans."""
     found = find_pii(docs)
     base = F.filter(F.col("found"), lambda s: s["ord"] < len(BASE_KINDS))
-    counts = [
-        F.size(F.filter(F.col("found"), lambda s, k=k: s["ord"] == k)).cast("long").alias(f"n_{kind}")
-        for k, kind in enumerate(BASE_KINDS)
-    ]
+
+    def count(order: int) -> Column:
+        return F.size(F.filter(F.col("found"), lambda s: s["ord"] == order)).cast("long")
+
+    counts = [count(order).alias(f"n_{kind}") for order, kind in enumerate(BASE_KINDS)]
     return found.select(
         "doc_id",
         *counts,
