@@ -71,6 +71,8 @@ def features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 def codewords(k: int, seed: int = 7) -> np.ndarray:
     """k codewords of +1/-1: the exhaustive code for up to 5 languages, else a random code with well separated rows."""
+    if k == 0:
+        return np.zeros((0, 1), np.float32)
     if k <= 5:
         bits = range(1, max(2, 1 << (k - 1)))
         return np.array([[1 if b >> r & 1 else -1 for b in bits] for r in range(k)], np.float32)
@@ -129,7 +131,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, str]], steps: int = 150, rate:
     languages = sorted({r[2] for r in rows})
     code = codewords(len(languages))
     if len(languages) < 2:
-        bits = code.shape[1] if len(languages) else 1
+        bits = code.shape[1]
         none = np.zeros((BUCKETS, bits), np.float32)
         bias = np.full(bits, 4.0) * (code[0] if languages else 1)
         return LanguageModel(languages, code, none, bias, np.full((max(1, len(languages)), bits), 1 / bits))
