@@ -81,7 +81,7 @@ def output_paths(config: Config) -> dict[str, Column]:
         "sky_mask_path": at("masks/sky"),
         "inpaint_mask_path": at("masks/inpaint"),
         "union_debug_path": at("masks/union_debug"),
-        "overlay_output_path": at("qa/overlays"),
+        "overlay_output_path": at("qa/overlays", ".overlay.png"),
         "cubemap_cache_dir": at("cubemap", ""),
     }
 
