@@ -3,8 +3,8 @@
 Candidates are read in blocks.  Every component of a block is a list sorted by
 value; a query reads each list from the end that its own component favours.
 After every round of sequential reads a candidate's lower bound counts the
-entries read and the least possible rest, its upper bound the entries read and
-the current front of every other list.  Reading stops when a candidate not met
+entries read and the least that its other lists can add, its upper bound the
+entries read and the current front of every other list.  Reading stops when a candidate not met
 yet can no longer reach the k-th best lower bound; the few candidates whose
 upper bound still reaches it get their final scores.
 
@@ -23,10 +23,15 @@ from pyspark.sql import functions as F
 
 from orbiscope.llm.common import cut
 
-#: Rows of a candidate block, entries read from each list in one round, and queries that are broadcast at once.
-BLOCK_ROWS = 4096
-ROUND_SHARE = 16
+#: Rows of a candidate block, queries that a block meets at once, and queries that are broadcast at once.
+BLOCK_ROWS = 2048
+BATCH = 256
 QUERY_BLOCK = 4096
+#: Shares of the lists' length at which bounds are compared.
+DEPTHS = (0.35, 0.5, 0.65, 1.0)
+#: Reading goes on while more than this share of the block's candidates may still qualify.
+RESOLVED = 0.05
+LEAST = -(1 << 52)
 
 
 def quantised(column: Column) -> Column:
@@ -40,84 +45,90 @@ def quantised(column: Column) -> Column:
 
 
 class SortedBlock:
-    """Candidates of one block with every component's list in ascending order."""
+    """Candidates of one block with every component's list in falling and in rising order.
+
+    Queries are run in batches.  After all lists have been read to one depth, a
+    candidate's sum over the lists where it was met is a product of two
+    matrices: the entries read (falling lists, then rising ones) and the
+    queries' components (positive ones, then negative ones); so are the sums of
+    what its other lists can still add at least and at most.
+    """
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids, self.vectors = ids, vectors
-        self.order = np.argsort(vectors, axis=0, kind="stable")
-        self.low, self.high = vectors.min(0), vectors.max(0)
-
-    def best(self, query_id: int, query: np.ndarray, k: int, reached: float) -> list[tuple[int, int]]:
-        """(score, id) of this block's candidates that may be among the k best.
-
-        ``reached`` is a score that k other candidates have already; whatever
-        cannot reach it is left out.
+        order = np.argsort(vectors, axis=0, kind="stable")
+        rank = np.empty_like(order)
+        np.put_along_axis(rank, order, np.arange(len(ids))[:, None], axis=0)
+        self.sorted = np.take_along_axis(vectors, order, axis=0)
+        self.place = np.concatenate([len(ids) - 1 - rank, rank], axis=1)  # depth at which a list shows a candidate
+        self.entries = np.concatenate([vectors, vectors], axis=1)
+
+    def _at(self, depth: int, weights: np.ndarray) -> np.ndarray:
+        """What the entry at ``depth`` of each list adds to each query."""
+        return np.concatenate([self.sorted[len(self.ids) - 1 - depth], self.sorted[depth]])[:, None] * weights
+
+    def best(self, query_ids: np.ndarray, queries: np.ndarray, k: int, reached: np.ndarray) -> list[list[tuple[int, int]]]:
+        """Per query: (score, id) of this block's candidates that may be among the k best.
+
+        ``reached`` holds a score per query that k other candidates have
+        already; whatever cannot reach it is left out.
         """
-        n, lists = self.vectors.shape
-        used = np.flatnonzero(query)
-        w = query[used]
-        up = w > 0
-        ends = np.where(up, self.low[used], self.high[used]) * w  # the least a list can add
-        floor = ends.sum()
-        lower = np.full(n, floor, self.vectors.dtype)
-        seen = np.zeros((n, len(used)), self.vectors.dtype)
-        own = np.flatnonzero(self.ids == query_id)
-        step = max(1, -(-n // ROUND_SHARE))
-        depth = 0
-        keep = min(k, n)
-        while True:
-            following = min(n, depth + step)
-            for column, (j, weight, rising) in enumerate(zip(used, w, up, strict=True)):
-                at = self.order[n - following : n - depth, j] if rising else self.order[depth:following, j]
-                lower[at] += weight * self.vectors[at, j] - ends[column]
-                seen[at, column] = 1
-            depth = following
-            if depth == n:
-                break
-            rows = np.where(up, self.order[n - depth, used], self.order[depth - 1, used])
-            gap = w * self.vectors[rows, used] - ends  # what an entry not read yet adds at most
-            if len(own):
-                lower[own] = np.iinfo(np.int64).min // 2 if lower.dtype == np.int64 else -np.inf
-            kth = np.partition(lower, n - keep)[n - keep] if keep == k else -np.inf
-            bound = max(reached, kth)
-            if floor + gap.sum() < bound:
-                # no candidate that is still unmet can qualify
+        n = len(self.ids)
+        found: list[list[tuple[int, int]]] = [[] for _ in query_ids]
+        own = self.ids[:, None] == query_ids[None, :]
+        open_ = np.arange(len(query_ids))
+        for share in DEPTHS:
+            depth = max(1, int(n * share))
+            weights = np.concatenate([np.maximum(queries[open_].T, 0), np.minimum(queries[open_].T, 0)])
+            met = self.place < depth
+            added = np.where(met, self.entries, 0) @ weights  # the entries read
+            unmet = (~met).astype(self.vectors.dtype)
+            ends, front = self._at(n - 1, weights), self._at(depth - 1, weights)
+            lower = added + unmet @ ends
+            bound = reached[open_].copy()
+            if n > k:
+                lower[own[:, open_]] = LEAST
+                bound = np.maximum(bound, np.partition(lower, n - k, axis=0)[n - k])
+            upper = added + unmet @ front
+            alive = (upper >= bound) & ~own[:, open_]
+            # candidates met in no list have the sum of the fronts as upper bound
+            done = (front.sum(0) < bound) & (alive.sum(0) <= max(k, n * RESOLVED)) if depth < n else np.ones(len(open_), bool)
+            for q in np.flatnonzero(done):
+                at = np.flatnonzero(alive[:, q])
+                score = self.vectors[at] @ queries[open_[q]]
+                ranked = sorted(zip((-score).tolist(), self.ids[at].tolist(), strict=True))[:k]
+                found[open_[q]] = [(int(-s), int(i)) for s, i in ranked]
+            open_ = open_[~done]
+            if not len(open_):
                 break
-        if depth < n:
-            upper = lower + gap.sum() - seen @ gap
-            alive = np.flatnonzero(upper >= bound)
-        else:
-            alive = np.arange(n)
-        alive = alive[self.ids[alive] != query_id]
-        score = self.vectors[alive] @ query
-        keep_at = np.flatnonzero(score >= reached)
-        ranked = sorted(zip((-score[keep_at]).tolist(), self.ids[alive[keep_at]].tolist(), strict=True))[:k]
-        return [(int(-s), int(i)) for s, i in ranked]
+        return found
 
 
 def _kernel(queries, k: int):
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         query_ids, query_vectors = queries.value
         best: list[list[tuple[int, int]]] = [[] for _ in query_ids]
+        of_length: dict[int, list[int]] = {}
+        for q, vector in enumerate(query_vectors):
+            of_length.setdefault(len(vector), []).append(q)
         waiting: dict[int, tuple[list, list]] = {}
 
         def search(ids: list, vectors: list) -> None:
             block = np.array(vectors, np.int64)
-            dim = block.shape[1]
-            largest = float(np.abs(block).max(initial=0))
-            for q, (query_id, vector) in enumerate(zip(query_ids, query_vectors, strict=True)):
-                if len(vector) != dim:
-                    continue
-                small = largest * float(np.abs(vector).max(initial=0)) * 4 * dim < 2**52
-                kind = np.float64 if small else np.int64  # both are exact
-                if sorted_block.get(kind) is None:
-                    sorted_block[kind] = SortedBlock(np.array(ids, np.int64), block.astype(kind))
-                reached = best[q][-1][0] if len(best[q]) == k else -np.inf
-                found = best[q] + sorted_block[kind].best(query_id, vector.astype(kind), k, reached)
-                best[q] = sorted(found, key=lambda x: (-x[0], x[1]))[:k]
-            sorted_block.clear()
-
-        sorted_block: dict = {}
+            asked = of_length.get(block.shape[1], [])
+            sorted_block = None
+            for a in range(0, len(asked), BATCH):
+                part = asked[a : a + BATCH]
+                wanted = np.array([query_vectors[q] for q in part], np.int64)
+                largest = float(np.abs(block).max(initial=0)) * float(np.abs(wanted).max(initial=0))
+                kind = np.float64 if largest * 4 * block.shape[1] < 2**52 else np.int64  # sums are exact in both
+                if sorted_block is None or sorted_block.vectors.dtype != kind:
+                    sorted_block = SortedBlock(np.array(ids, np.int64), block.astype(kind))
+                reached = np.array([best[q][-1][0] if len(best[q]) == k else LEAST for q in part]).astype(kind)
+                new = sorted_block.best(np.array([query_ids[q] for q in part]), wanted.astype(kind), k, reached)
+                for q, more in zip(part, new, strict=True):
+                    best[q] = sorted(best[q] + more, key=lambda x: (-x[0], x[1]))[:k]
+
         for batch in batches:
             for row_id, vector in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ids, vectors = waiting.setdefault(len(vector), ([], []))
