@@ -3,7 +3,8 @@
 A document is its set of distinct shingles, as 64-bit hashes.  Two documents
 link when 100 * intersection >= PERCENT * union.
 
-1.  Documents with equal sets form one class; the smallest id stands for it.
+1.  Documents with equal sets form one class, named by 64 bits of the set's
+    fingerprint.
 2.  The hash space is cut into m groups.  Linked sets of the same size band
     differ in at most d < m shingles, so some group holds exactly the same
     shingles in both (pigeonhole).  Every set emits a fingerprint of each
@@ -188,37 +189,78 @@ def cluster_links(sets: list[np.ndarray], side: list[int], percent: int) -> list
     return links
 
 
-def _signature_kernel(k: int, percent: int):
+def digest(shingles: np.ndarray) -> tuple[int, int]:
+    """A 128-bit fingerprint of a set as two signed numbers; the second one names the set below."""
+    d = xxhash.xxh3_128_digest(shingles.tobytes())
+    return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
+
+
+def _digest_kernel(k: int):
+    """(key, n, high, low) of every document."""
+
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
             for part in slices(batch, 1):
-                n, high, low, marks = [], [], [], []
-                for text in part.column(1).cast(pa.binary()).to_pylist():
-                    s = shingle_set(text, k, hashes)
-                    n.append(len(s))
-                    digest = xxhash.xxh3_128_digest(s.tobytes())
-                    high.append(int.from_bytes(digest[:8], "little", signed=True))
-                    low.append(int.from_bytes(digest[8:], "little", signed=True))
-                    marks.append(group_fingerprints(s, percent).view(np.int64))
-                ends = np.cumsum([0] + [len(x) for x in marks]).astype(np.int32)
-                values = pa.array(np.concatenate(marks))
+                sets = [shingle_set(t, k, hashes) for t in part.column(1).cast(pa.binary()).to_pylist()]
+                rows = [(len(s), *digest(s)) for s in sets]
                 yield pa.record_batch(
-                    [
-                        part.column(0),
-                        pa.array(n, pa.int64()),
-                        pa.array(high, pa.int64()),
-                        pa.array(low, pa.int64()),
-                        pa.ListArray.from_arrays(pa.array(ends), values),
-                    ],
-                    names=["key", "n", "high", "low", "marks"],
+                    [part.column(0), *(pa.array(c, pa.int64()) for c in zip(*rows, strict=True))],
+                    names=["key", "n", "high", "low"],
                 )
 
     return kernel
 
 
+#: Sets that a task remembers to emit the fingerprints of exact copies only once.
+REMEMBERED = 1 << 18
+
+
+def _mark_kernel(k: int, percent: int):
+    """(mark, low): the group fingerprints of every set, once per task for copies met close together."""
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, met = WordHashes(), set()
+        for batch in batches:
+            for part in slices(batch, 0):
+                marks, names = [], []
+                for text in part.column(0).cast(pa.binary()).to_pylist():
+                    s = shingle_set(text, k, hashes)
+                    low = digest(s)[1]
+                    if len(s) and low not in met:
+                        if len(met) >= REMEMBERED:
+                            met.clear()
+                        met.add(low)
+                        marks.append(group_fingerprints(s, percent).view(np.int64))
+                        names.append(np.full(len(marks[-1]), low, np.int64))
+                if marks:
+                    yield pa.record_batch(
+                        [pa.array(np.concatenate(marks)), pa.array(np.concatenate(names))], names=["mark", "low"]
+                    )
+
+    return kernel
+
+
+def _meet_kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From rows sorted by mark, then set: (first set of the mark, each further one), without repeats within a batch."""
+    last: tuple | None = None  # mark, its first set, its latest set
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        mark, low = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
+        if last is not None:
+            mark = np.concatenate([[last[0], last[0]], mark])
+            low = np.concatenate([[last[1], last[2]], low])
+        starts = np.r_[True, mark[1:] != mark[:-1]]
+        first = low[np.maximum.accumulate(np.where(starts, np.arange(len(mark)), 0))]
+        further = first != low
+        pairs = np.unique(np.stack([first[further], low[further]], axis=1), axis=0)
+        last = (mark[-1], first[-1], low[-1])
+        yield pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+
 def _set_kernel(k: int, bitmap):
-    """(key, shingles as bytes) of the documents whose id may be wanted."""
+    """(key, low, shingles as bytes) of the documents whose id may be wanted."""
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, bits = WordHashes(), np.unpackbits(bitmap.value, bitorder="little")
@@ -226,8 +268,15 @@ def _set_kernel(k: int, bitmap):
             ids = batch.column(0).fill_null(-1).to_numpy(zero_copy_only=False)
             batch = batch.filter(pa.array(bits[ids % BITMAP_BITS].astype(bool)))
             for part in slices(batch, 1):
-                sets = [shingle_set(t, k, hashes).tobytes() for t in part.column(1).cast(pa.binary()).to_pylist()]
-                yield pa.record_batch([part.column(0), pa.array(sets, pa.binary())], names=["key", "shingles"])
+                sets = [shingle_set(t, k, hashes) for t in part.column(1).cast(pa.binary()).to_pylist()]
+                yield pa.record_batch(
+                    [
+                        part.column(0),
+                        pa.array([digest(s)[1] for s in sets], pa.int64()),
+                        pa.array([s.tobytes() for s in sets], pa.binary()),
+                    ],
+                    names=["key", "low", "shingles"],
+                )
 
     return kernel
 
@@ -252,6 +301,8 @@ def _link_kernel(percent: int):
                     if len(sets) > 1:
                         yield out()
                     group, keys, sets, sides = (root, i, j), [], [], []
+                if keys and keys[-1] == key:
+                    continue  # a repeated row of one document
                 keys.append(key)
                 sets.append(np.frombuffer(shingles, np.uint64))
                 sides.append(block)
@@ -279,31 +330,26 @@ def similarity_classes(
     rows with a null id keep a null component unless they equal another text.
     """
     keyed = docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).alias("text"))
-    signed = cut(
-        keyed.mapInArrow(
-            _signature_kernel(k, percent), "key long, n long, high long, low long, marks array<long>"
-        )
-    )
+    spark = docs.sparkSession
+    signed = cut(keyed.mapInArrow(_digest_kernel(k), "key long, n long, high long, low long"))
     filled = signed.where("n > 0")
-    classes = filled.groupBy("high", "low").agg(F.min("key").alias("rep"))
-    marks = (
-        filled.select("key", "marks")
-        .join(classes.select(F.col("rep").alias("key")).distinct(), "key")
-        .select(F.explode("marks").alias("mark"), F.col("key").alias("rep"))
-    )
-    met = marks.groupBy("mark").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b")
-    meetings = marks.join(met.select("mark", "a"), "mark").where("rep <> a").select("a", F.col("rep").alias("b"))
-    clusters = cut(connected_components(meetings.distinct()))
-
-    bitmap = docs.sparkSession.sparkContext.broadcast(id_bitmap(clusters.select("node")))
-    sets = keyed.mapInArrow(_set_kernel(k, bitmap), "key long, shingles binary")
-    sizes = clusters.join(signed.select(F.col("key").alias("node"), "n"), "node")
-    blocks = sizes.groupBy("root").agg(
+    marks = keyed.select("text").mapInArrow(_mark_kernel(k, percent), "mark long, low long")
+    # one shuffle of the marks; a mark's rows are streamed, however many there are
+    met = marks.repartition("mark").sortWithinPartitions("mark", "low").mapInArrow(_meet_kernel, "a long, b long")
+    clusters = cut(connected_components(met))
+
+    # the sets of one document per member of a cluster
+    members = clusters.join(filled.groupBy("low").agg(F.min("key").alias("key"), F.first("n").alias("n")), clusters["node"] == F.col("low"))
+    blocks = members.groupBy("root").agg(
         F.greatest(F.ceil(F.count("*") / block_rows), F.ceil(F.sum("n") / block_shingles)).cast("int").alias("blocks")
     )
-    placed = clusters.join(blocks, "root").withColumn(
-        "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    placed = cut(
+        members.join(blocks, "root").select(
+            "root", "node", "key", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block")
+        )
     )
+    bitmap = spark.sparkContext.broadcast(id_bitmap(placed.select("key")))
+    sets = keyed.mapInArrow(_set_kernel(k, bitmap), "key long, low long, shingles binary")
     work = (
         placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
@@ -311,20 +357,24 @@ def similarity_classes(
             F.least("block", "other").alias("i"),
             F.greatest("block", "other").alias("j"),
             "block",
-            F.col("node").alias("key"),
+            F.col("node").alias("low"),
+            "key",
         )
-        .join(sets, "key")
-        .select("root", "i", "j", "block", "key", "shingles")
+        .join(sets, ["key", "low"])
+        .select("root", "i", "j", "block", "low", "shingles")
         .repartition("root", "i", "j")
-        .sortWithinPartitions("root", "i", "j")
+        .sortWithinPartitions("root", "i", "j", "low")
     )
     links = cut(work.mapInArrow(_link_kernel(percent), "a long, b long"))
-    components = connected_components(links).select(F.col("node").alias("rep"), "root")
-    members = signed.select("key", "n", "high", "low").join(classes, ["high", "low"], "left")
-    return members.join(components, "rep", "left").select(
+    # sets that links connect, each with its documents; then the smallest document of each component
+    joined = connected_components(links).select(F.col("node").alias("low"), "root")
+    classes = filled.groupBy("low").agg(F.min("key").alias("rep")).join(joined, "low", "left")
+    least = classes.where("root IS NOT NULL").groupBy("root").agg(F.min("rep").alias("least"))
+    named = classes.join(least, "root", "left").select("low", F.coalesce("least", "rep").alias("rep"))
+    return signed.join(named, "low", "left").select(
         F.col("key").alias(id_col),
         F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.coalesce("root", "rep")).otherwise(F.col("key")).alias("component_id"),
+        F.when(F.col("n") > 0, F.col("rep")).otherwise(F.col("key")).alias("component_id"),
     )
 
 
