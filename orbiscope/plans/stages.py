@@ -89,21 +89,22 @@ def output_paths(config: Config) -> dict[str, Column]:
 # --- normalize, project ----------------------------------------------------------------------------------------------
 
 
-def normalize(frames: DataFrame, images: DataFrame, config: Config) -> DataFrame:
-    """Frames with their decoded raster: rgb, height, width, channels, mode, digest and status.
+def normalize(frames: DataFrame, images: DataFrame) -> DataFrame:
+    """Frames with their decoded raster (rgb, height, width, channels), source mode, digest and status.
 
-    ``images`` has path, content; only existing frames reach the decoder.
+    ``images`` comes from ``sources.images.read_images``; an unreadable file is a
+    failed frame.
     """
-    from orbiscope.sources.images import decode_images
-
-    decoded = decode_images(images, config.compute_checksums).withColumnRenamed("path", "resolved_fixed_path")
-    wanted = frames.where("file_exists").select("resolved_fixed_path").distinct()
-    joined = frames.join(decoded.join(wanted, "resolved_fixed_path", "left_semi"), "resolved_fixed_path", "left")
-    failed = F.col("file_exists") & (F.col("rgb").isNull())
-    status = (
-        F.when(~F.col("file_exists"), "skipped_missing_source").when(failed, "failed").otherwise("normalized")
+    decoded = images.withColumnRenamed("path", "resolved_fixed_path")
+    joined = frames.join(decoded, "resolved_fixed_path", "left")
+    there = F.col("file_exists")
+    failed = there & F.col("rgb").isNull()
+    status = F.when(~there, "skipped_missing_source").when(failed, "failed").otherwise("normalized")
+    error = (
+        F.when(~there, F.col("skip_reason"))
+        .when(failed, F.coalesce("decode_error", F.lit("cannot read file")))
+        .otherwise("")
     )
-    error = F.when(~F.col("file_exists"), F.col("skip_reason")).when(failed, F.coalesce("decode_error", F.lit("cannot read file"))).otherwise("")
     return joined.withColumn("erp_normalization_status", status).withColumn("erp_normalization_error", error).drop("decode_error")
 
 
@@ -206,3 +207,92 @@ def fuse_masks(frames: DataFrame, config: Config) -> DataFrame:
 
 def fusion_roll_up(fused: DataFrame) -> DataFrame:
     return quality.roll_up(fused, "mask_fusion_status", "failed_mask_fusion", "mask fusion")
+
+
+# --- quality ---------------------------------------------------------------------------------------------------------
+
+
+def measure_frames(frames: DataFrame) -> DataFrame:
+    """Quality columns of every frame.
+
+    ``frames`` has the rasters original, final_rgb, final_rgba, dynamic, roof,
+    sky and inpaint with their own dimensions (``<name>_height``, ``<name>_width``,
+    null where a file is missing or unreadable), ``has_lama`` and
+    ``has_propainter``.  A frame without its file is skipped; a missing raster or
+    a shape that differs fails the frame with the first such reason.
+    """
+    import time
+
+    names = ("final_rgb", "final_rgba", "original", "dynamic", "roof", "sky", "inpaint")
+    labels = ("final RGB output", "final RGBA output", "source ERP frame", "DYN mask", "ROOF mask", "SKY mask", "INPAINT mask")
+
+    def one(exists, reason, *values):
+        began = time.perf_counter()
+        rasters_, heights, widths = values[:7], values[7:14], values[14:]
+        none = [None] * 11
+        if not exists:
+            return (*none, time.perf_counter() - began, "skipped", reason)
+        for label, raster in zip(labels, rasters_, strict=True):
+            if raster is None:
+                return (*none, time.perf_counter() - began, "failed", f"Missing {label}")
+        h, w = heights[0], widths[0]
+        for label, hh, ww in zip(labels[1:], heights[1:], widths[1:], strict=True):
+            if (hh, ww) != (h, w):
+                return (*none, time.perf_counter() - began, "failed", f"{label} shape {(hh, ww)} does not match RGB shape {(h, w)}")
+        masks = {n: rasters.view(r, h, w) for n, r in zip(names[3:], rasters_[3:], strict=True)}
+        ratios = [kernels.mask_ratio(masks[n]) for n in ("sky", "dynamic", "roof", "inpaint")]
+        parts = [kernels.count_components(masks[n]) for n in ("dynamic", "roof")]
+        import numpy as np
+
+        rgb = np.frombuffer(rasters_[0], np.uint8).reshape(h, w, 3)
+        alpha = np.frombuffer(rasters_[1], np.uint8).reshape(h, w, 4)[..., 3]
+        seams = [kernels.seam_delta(rgb), kernels.seam_delta(alpha)]
+        return (w, h, 3, *ratios, *parts, *seams, time.perf_counter() - began, "measured", "")
+
+    inputs = ["file_exists", "skip_reason", *names, *[f"{n}_height" for n in names], *[f"{n}_width" for n in names]]
+    outputs = (
+        "_w int, _h int, _c int, _sky double, _dynamic double, _roof double, _inpaint double, _nd int, _nr int, _rgb double,"
+        " _alpha double, qa_processing_time_sec double, qa_status string, qa_error string"
+    )
+    from orbiscope.functions import exprs
+
+    base = frames.drop("qa_processing_time_sec", "qa_status", "qa_error")
+    made = rasters.with_kernel(base, one, inputs, outputs)
+    used = exprs.used_backend(
+        F.col("has_lama"), F.col("has_propainter"), F.col("lama_status"), F.col("propainter_status"), F.col("single_frame_fallback_reason")
+    )
+    ok = F.col("qa_status") == "measured"
+    lama, video = F.col("_used.lama"), F.col("_used.propainter")
+    pending = F.col("propainter_status") == "pending"
+    folder = F.col("cubemap_cache_dir")
+    return (
+        made.withColumn("_used", used)
+        .withColumns(
+            {
+                "qa_used_lama_fallback": lama,
+                "qa_used_propainter": video,
+                "erp_width": F.coalesce("_w", "erp_width"),
+                "erp_height": F.coalesce("_h", "erp_height"),
+                "erp_channels": F.coalesce("_c", "erp_channels"),
+                "qa_sky_ratio": F.col("_sky"),
+                "qa_dynamic_ratio": F.col("_dynamic"),
+                "qa_roof_ratio": F.col("_roof"),
+                "qa_inpaint_ratio": F.col("_inpaint"),
+                "qa_mask_components_dynamic": F.col("_nd"),
+                "qa_mask_components_roof": F.col("_nr"),
+                "qa_seam_delta_rgb": F.col("_rgb"),
+                "qa_seam_delta_alpha": F.col("_alpha"),
+                "propainter_output_dir": F.when(ok & video, F.coalesce("propainter_output_dir", F.concat(folder, F.lit("/propainter")))).otherwise(
+                    F.col("propainter_output_dir")
+                ),
+                "lama_output_dir": F.when(ok & lama, F.coalesce("lama_output_dir", F.concat(folder, F.lit("/lama_fallback")))).otherwise(
+                    F.col("lama_output_dir")
+                ),
+                "lama_status": F.when(ok & lama & (F.col("lama_status") == "pending"), "inpainted").otherwise(F.col("lama_status")),
+                "propainter_status": F.when(ok & video & pending, "inpainted")
+                .when(ok & lama & pending, "fallback_lama")
+                .otherwise(F.col("propainter_status")),
+            }
+        )
+        .drop("_used", "_w", "_h", "_c", "_sky", "_dynamic", "_roof", "_inpaint", "_nd", "_nr", "_rgb", "_alpha")
+    )

@@ -1 +1 @@
-
+"""Readers: manifests, images, masks and legacy array files."""
