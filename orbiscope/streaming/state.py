@@ -2,8 +2,8 @@
 
 The batch fold (``orbiscope.operators.tracking``) and the streams here share their
 state machines.  A stream delivers frames of a sequence in order, one or several
-per micro-batch; the state of each (sequence, face) is kept by Spark and dropped
-after a time without input.
+per micro-batch; the state of each (sequence, face) is kept by Spark and holds
+only what later frames can still reach.
 """
 
 from __future__ import annotations
@@ -29,14 +29,10 @@ def _by_frame(pdfs: Iterator[pd.DataFrame]) -> Iterator[tuple[int, list[dict]]]:
         yield int(frame), of_frame.to_dict("records")
 
 
-def _track(config: Config, idle_ms: int):
+def _track(config: Config):
     columns = [c.split()[0] for c in TRACK_OUT.split(", ")]
 
     def step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            yield pd.DataFrame(columns=columns)
-            return
         tracker = Tracker(config)
         if state.exists:
             saved = json.loads(state.get[0])
@@ -50,27 +46,22 @@ def _track(config: Config, idle_ms: int):
                 tracker.observe(track_id, box_of(p), frame)
         tracks = [asdict(t) | {"prompt": {}} for t in tracker.tracks.values()]
         state.update((json.dumps({"next_id": tracker.next_id, "tracks": tracks}),))
-        state.setTimeoutDuration(idle_ms)
         yield pd.DataFrame(out, columns=columns)
 
     return step
 
 
-def stream_tracks(prompts: DataFrame, config: Config, idle_ms: int = 3_600_000) -> DataFrame:
+def stream_tracks(prompts: DataFrame, config: Config) -> DataFrame:
     """The streaming form of ``assign_tracks``."""
     return prompts.groupBy("sequence_id", "face").applyInPandasWithState(
-        _track(config, idle_ms), TRACK_OUT, STATE, "append", GroupStateTimeout.ProcessingTimeTimeout
+        _track(config), TRACK_OUT, STATE, "append", GroupStateTimeout.NoTimeout
     )
 
 
-def _memory(config: Config, idle_ms: int):
+def _memory(config: Config):
     columns = [c.split()[0] for c in PROMPT_OUT.split(", ")]
 
     def step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            yield pd.DataFrame(columns=columns)
-            return
         memory = MaskMemory(config)
         if state.exists:
             memory.last = {tuple(k): (m, seen) for k, m, seen in json.loads(state.get[0])}
@@ -80,16 +71,15 @@ def _memory(config: Config, idle_ms: int):
             memory.update(made, frame)
             out += [{k: r.get(k) for k in columns} | {"frame_idx": frame} for r in made]
         state.update((json.dumps([[list(k), m, seen] for k, (m, seen) in memory.last.items()]),))
-        state.setTimeoutDuration(idle_ms)
         yield pd.DataFrame(out, columns=columns)
 
     return step
 
 
-def stream_priors(prompts: DataFrame, config: Config, idle_ms: int = 3_600_000) -> DataFrame:
+def stream_priors(prompts: DataFrame, config: Config) -> DataFrame:
     """The streaming form of ``attach_priors``."""
     return prompts.groupBy("sequence_id", "face").applyInPandasWithState(
-        _memory(config, idle_ms), PROMPT_OUT, STATE, "append", GroupStateTimeout.ProcessingTimeTimeout
+        _memory(config), PROMPT_OUT, STATE, "append", GroupStateTimeout.NoTimeout
     )
 
 

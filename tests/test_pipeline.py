@@ -365,9 +365,8 @@ def test_streams_agree_with_the_batch_fold(spark, tmp_path):
 
     def run(stream, name):
         source = spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).json(str(tmp_path / "in"))
-        q = stream(source, config).writeStream.format("memory").queryName(name).outputMode("append").start()
-        q.processAllAvailable()
-        q.stop()
+        q = stream(source, config).writeStream.format("memory").queryName(name).outputMode("append").trigger(availableNow=True).start()
+        assert q.awaitTermination(120)
         return sorted(tuple(r) for r in spark.table(name).collect())
 
     assert run(state.stream_tracks, "tracks") == sorted(tuple(r) for r in tracking.assign_tracks(df, config).collect())
@@ -380,7 +379,6 @@ def test_event_time_counts(spark, tmp_path):
     )
     rows.write.parquet(str(tmp_path / "e"))
     source = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "e"))
-    q = state.stream_status(source).writeStream.format("memory").queryName("counts").outputMode("complete").start()
-    q.processAllAvailable()
-    q.stop()
+    q = state.stream_status(source).writeStream.format("memory").queryName("counts").outputMode("complete").trigger(availableNow=True).start()
+    assert q.awaitTermination(120)
     assert spark.table("counts").agg(F.sum("valid_frames"), F.sum("skipped_frames")).first() == (15, 5)
