@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from orbiscope import sinks
 from orbiscope.config import Config
 from orbiscope.functions import kernels
-from orbiscope.operators import quality, windows
+from orbiscope.operators import geometry, quality, windows
 from orbiscope.plans import backends, stages, vision
 from orbiscope.schema import FRAMES, PENDING, REQUIRED_FIELDS
 from orbiscope.sources import images, manifests
@@ -447,11 +447,15 @@ class Run:
         loaded = masked.where("rgb IS NOT NULL AND dynamic IS NOT NULL AND roof IS NOT NULL AND sky IS NOT NULL AND inpaint IS NOT NULL")
         new = ["propainter_status", "propainter_error", "propainter_window_count", "lama_status", "lama_error", "single_frame_fallback_reason"]
         done = vision.inpaint(
-            loaded.select(*KEY, "height", "width", "rgb", "inpaint", "sky", "rgb_output_path", "rgba_output_path"), c, video, image,
+            loaded.select(
+                *KEY, "height", "width", "rgb", "inpaint", "sky", "rgb_output_path", "rgba_output_path", "cubemap_cache_dir", "frame_stem"
+            ),
+            c, video, image,
             "" if video is not None else "propainter_startup_failure",
         ).persist()
         if not c.dry_run:
             sinks.write_files(sinks.final_files(done))
+            self._write_inpainting(done, loaded, video, image)
         lost = F.when(F.col("rgb").isNull(), F.coalesce("erp_normalization_error", F.lit("cannot read file"))).otherwise("missing or mismatched final ERP mask")
         joined = masked.drop(*new).withColumn("_lost", lost).join(done.select(*KEY, *new), KEY, "left")
         joined = joined.withColumn("propainter_error", F.coalesce("propainter_error", "_lost")).withColumn(
@@ -465,6 +469,46 @@ class Run:
         joined = joined.withColumn("lama_output_dir", F.when(used, F.concat(folder, F.lit("/lama_fallback"))))
         return joined.drop("_lost"), [*self.NORMAL_COLUMNS, *new, "propainter_model_id", "lama_model_id", "propainter_output_dir", "lama_output_dir"]
 
+    def _write_inpainting(self, done: DataFrame, loaded: DataFrame, video, image) -> None:
+        """Inpainted faces, and each sequence's windows and chunks."""
+        c = self.config
+        total = c.cube_face_size + 2 * c.cube_overlap_px
+        each = done.withColumn("f", F.explode("final_faces")).select(
+            *KEY, "height", "width", F.col("inpaint").alias("mask"), "cubemap_cache_dir", "frame_stem", "propainter_status",
+            F.col("f.face").alias("face"), F.col("f.final_face").alias("final_face"), F.lit(total).alias("face_total"),
+        )
+        faces = geometry.mask_to_face(each, c.cube_face_size, c.cube_overlap_px)
+        for status, folder in (("inpainted", "propainter"), ("fallback_lama", "lama_fallback")):
+            sinks.write_files(sinks.face_files(faces.where(F.col("propainter_status") == status), folder, c.cube_overlap_px))
+        planned = windows.plan_for_frames(loaded.withColumn("csv_row_number", F.col("frame_idx")), c.inpaint_window_size, c.inpaint_window_stride)
+        chunk = windows.chunks(planned, c.propainter_chunk_size)
+        place = chunk.join(planned.select("sequence_id", "window_index", "start", "frame_indices"), ["sequence_id", "window_index"])
+        frame = F.get("frame_indices", F.col("position") - F.col("start"))
+        chunks = place.groupBy("sequence_id", "window_index", "chunk_index").agg(F.array_sort(F.collect_list(frame)).alias("frame_indices"))
+        listed = planned.groupBy("sequence_id").agg(
+            F.array_sort(F.collect_list(F.struct("window_index", "start", "end", "frame_indices"))).alias("windows")
+        )
+        cut = chunks.groupBy("sequence_id").agg(
+            F.array_sort(F.collect_list(F.struct("window_index", "chunk_index", "frame_indices"))).alias("chunks")
+        )
+        reason = done.groupBy("sequence_id").agg(F.max("single_frame_fallback_reason").alias("fallback_reason"))
+        used_image = F.col("fallback_reason") != ""
+        model = F.when(used_image, F.lit(image().model_id if image else c.lama_model_id)).otherwise(video().model_id if video else c.propainter_model_id)
+        payload = F.struct(
+            model.alias("model_id"),
+            "fallback_reason",
+            F.array(*[F.lit(f) for f in kernels.FACES]).alias("face_order"),
+            F.lit(c.inpaint_window_size).alias("window_size"),
+            F.lit(c.inpaint_window_stride).alias("window_stride"),
+            F.lit(c.propainter_chunk_size).alias("chunk_size"),
+            F.lit(c.propainter_face_feather_px).alias("face_feather_px"),
+            "windows",
+            "chunks",
+        )
+        folder = F.when(used_image, "lama_fallback").otherwise("propainter")
+        path = F.concat(F.lit(f"{c.output_root}/"), "sequence_id", F.lit("/"), folder, F.lit("/metadata.json"))
+        sinks.write_files(sinks.json_files(listed.join(cut, "sequence_id").join(reason, "sequence_id"), path, payload))
+
     def _qa(self, work: DataFrame):
         c = self.config
         out = work

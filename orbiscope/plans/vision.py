@@ -496,7 +496,8 @@ def inpaint(
         .withColumn("lama_error", F.coalesce("image_error", F.lit("")))
         .withColumn("single_frame_fallback_reason", F.col("reason"))
         .withColumn("propainter_window_count", F.col("window_count"))
-        .drop("faces", "image_error", "reason", "video_error", "oom", "window_count")
+        .withColumnRenamed("faces", "final_faces")
+        .drop("image_error", "reason", "video_error", "oom", "window_count")
     )
 
 
