@@ -197,7 +197,7 @@ def find_overlap(
     item_text_col: str = "text",
     window: int = 10,
     shingle: int = 3,
-    block_words: int = 1_000_000,
+    block_words: int = 250_000,
 ) -> DataFrame:
     """(key, n_words, n_hit, starts, lengths, items) per document row.
 
@@ -310,7 +310,7 @@ def drop_contaminated(
     text_col: str = "text",
     window: int = 10,
     shingle: int = 3,
-    block_words: int = 1_000_000,
+    block_words: int = 250_000,
 ) -> DataFrame:
     """The rows of ``docs`` without any hit, all columns kept.  Null and empty texts stay.
 
