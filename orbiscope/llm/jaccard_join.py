@@ -8,15 +8,15 @@ link when 100 * intersection >= PERCENT * union.
 2.  The hash space is cut into m groups.  Linked sets of the same size band
     differ in at most d < m shingles, so some group holds exactly the same
     shingles in both (pigeonhole).  Every set emits a fingerprint of each
-    group's content; sets that share one *may* link, and chains of them form
-    clusters.  Linked documents never lie in different clusters.
-3.  Inside a cluster shingles are hashed to G groups again and the counts per
-    group index the sets as points of an R-tree.  Sum over groups of
-    min(count_a, count_b) bounds the overlap; with a node's largest counts it
-    bounds the overlap with everything below the node, and subtrees that cannot
-    reach the needed overlap are skipped.
-4.  Surviving pairs are verified on the sets themselves, unless both ends are
-    already known to be connected.
+    group's content; sets that share one meet in a bucket.
+3.  Shingles are also hashed to G groups, and the counts per group are a point.
+    Sum over groups of min(count_a, count_b) bounds the overlap.  An R-tree over
+    the points of a bucket keeps a node's largest counts, which bound the
+    overlap with everything below it; subtrees that cannot reach the needed
+    overlap are skipped.  What survives connects sets to clusters; linked
+    documents never lie in different clusters.
+4.  Inside a cluster the surviving pairs (an R-tree again, with finer counts) are
+    verified on the sets themselves, unless both ends are already connected.
 
 Clusters beyond ``block_rows`` sets or ``block_shingles`` shingles are split into
 blocks by a hash of the id, and every pair of blocks is its own group of work;
@@ -27,6 +27,8 @@ that connected something new.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
+from math import exp, isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -73,29 +75,40 @@ def shingle_set(text: bytes | None, k: int, hashes: WordHashes) -> np.ndarray:
         return np.unique(_mix(h))
 
 
-def _max_difference(band: int, percent: int) -> int:
-    """The largest |A xor B| of linked sets with fewer than 2 ** (band + 1) elements each."""
-    return (2 ** (band + 2) - 2) * (100 - percent) // (100 + percent)
+def _band(n: int) -> int:
+    """Size band: floor(2 * log2(n)), in whole numbers."""
+    return (n * n).bit_length() - 1
+
+
+@cache
+def _band_groups(band: int, percent: int) -> tuple[int, int]:
+    """(hash groups, how many of them may be empty) for linked sets whose larger one lies in ``band``.
+
+    Linked sets differ in at most ``differ`` shingles, so of ``differ + 1 +
+    slack`` groups at least ``slack + 1`` are equal; ``slack`` is three times the
+    number of empty groups to expect in the band's smallest sets.
+    """
+    low, high = isqrt((1 << band) - 1) + 1, isqrt((1 << (band + 1)) - 1)
+    differ = 2 * high * (100 - percent) // (100 + percent)
+    slack = 2 + int(3 * (differ + 1) * exp(-low / (differ + 1)))
+    return (differ + 1 + slack, slack) if differ else (0, 0)
 
 
 def group_fingerprints(shingles: np.ndarray, percent: int) -> np.ndarray:
     """A fingerprint for the content of each hash group, in every size band where the set may meet a linked one.
 
-    Bands double in size; a set also enters the band that a linked, larger set
-    may lie in.  With ``slack`` more groups than the pigeonhole needs, a set
-    with at most ``slack`` empty groups always shares a filled one with what it
-    links to, so empty groups (which many sets share) are emitted only by the
+    A set enters its own band and the one that a linked, larger set may lie in.
+    A set with at most ``slack`` empty groups shares a filled one with whatever
+    it links to, so empty groups (which many sets share) are emitted only by the
     rare sets that have more.
     """
     n, out = len(shingles), []
     with np.errstate(over="ignore"):
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(shingles * _P1), dtype=np.uint64)])
-        for band in sorted({n.bit_length() - 1, (100 * n // percent).bit_length() - 1}):
-            differ = _max_difference(band, percent)
-            if not differ:
+        for band in range(_band(n), _band(100 * n // percent) + 1) if n else ():
+            m, slack = _band_groups(band, percent)
+            if not m:
                 continue
-            slack = 2 + differ // 16
-            m = differ + 1 + slack
             edges = np.arange(1, m, dtype=np.uint64) * np.uint64((1 << 64) // m)
             at = np.concatenate([[0], np.searchsorted(shingles, edges), [n]])
             content = sums[at[1:]] - sums[at[:-1]]
@@ -151,10 +164,79 @@ class CountVectorRTree:
         return self.order[at]
 
 
+def count_vector(shingles: np.ndarray, groups: int) -> np.ndarray:
+    """Shingles per hash group."""
+    return np.bincount((shingles >> np.uint64(20)).astype(np.int64) & (groups - 1), minlength=groups)
+
+
 def count_vectors(sets: list[np.ndarray], groups: int) -> np.ndarray:
-    """Shingles per hash group, one row per set."""
-    rows = [np.bincount((s >> np.uint64(20)).astype(np.int64) & (groups - 1), minlength=groups) for s in sets]
-    return np.array(rows, np.int32).reshape(len(sets), groups)
+    return np.array([count_vector(s, groups) for s in sets], np.int32).reshape(len(sets), groups)
+
+
+def groups_for(n: int) -> int:
+    """Groups of a set's own point: between an eighth and a sixteenth of its size, which tells sets of that size apart."""
+    return min(1024, max(32, 1 << max(0, (n // 8).bit_length() - 1)))
+
+
+_FULL = 255
+
+
+def packed_point(shingles: np.ndarray) -> bytes:
+    """The set's point with a byte a group; a full group stands for any number."""
+    return np.minimum(count_vector(shingles, groups_for(len(shingles))), _FULL).astype(np.uint8).tobytes()
+
+
+def _unpacked(point: bytes, groups: int) -> np.ndarray:
+    """A point with ``groups`` groups or a multiple of them, folded to ``groups``."""
+    v = np.frombuffer(point, np.uint8).astype(np.int32)
+    v[v == _FULL] = 1 << 24
+    return v if len(v) == groups else v.reshape(-1, groups).sum(0)
+
+
+#: Buckets of up to this many sets are compared pair by pair, larger ones through a tree.
+SMALL_BUCKET = 8
+
+
+def may_link(n: int, point: bytes, m: int, other: bytes, percent: int) -> bool:
+    """Whether the bound on the overlap of two sets reaches the needed one."""
+    if percent * n > 100 * m or percent * m > 100 * n:
+        return False
+    groups = min(len(point), len(other))
+    bound = int(np.minimum(_unpacked(point, groups), _unpacked(other, groups)).sum(dtype=np.int64))
+    return (100 + percent) * bound >= percent * (n + m)
+
+
+def bucket_edges(sizes: list[int], points: list[bytes], percent: int) -> list[tuple[int, int]]:
+    """Edges that connect a bucket's sets as all pairs do whose bound reaches the needed overlap.
+
+    Linked sets' sizes differ by a quarter at most, so their numbers of groups
+    are equal or one is twice the other; the finer point is then folded.
+    """
+    edges = []
+    label = np.arange(len(sizes))
+    if len(sizes) <= SMALL_BUCKET:
+        for j in range(1, len(sizes)):
+            for i in range(j):
+                if label[i] != label[j] and may_link(sizes[i], points[i], sizes[j], points[j], percent):
+                    edges.append((i, j))
+                    label[label == label[j]] = label[i]
+        return edges
+    n, width = np.array(sizes, np.int64), np.array([len(p) for p in points])
+    for groups in np.unique(width):
+        part = np.flatnonzero((width == groups) | (width == 2 * groups))
+        if len(part) < 2:
+            continue
+        vectors, own = np.array([_unpacked(points[i], int(groups)) for i in part]), width[part] == groups
+        tree = CountVectorRTree(vectors, n[part])
+        for i in np.flatnonzero(own):
+            near = part[tree.search(vectors[i], int(n[part[i]]), percent)]
+            others, first = np.unique(label[near], return_index=True)
+            mine = label[part[i]]
+            for other, at in zip(others, first, strict=True):
+                if other != mine:
+                    edges.append((int(part[i]), int(near[at])))
+                    label[label == other] = mine
+    return edges
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -196,7 +278,7 @@ def digest(shingles: np.ndarray) -> tuple[int, int]:
 
 
 def _digest_kernel(k: int):
-    """(key, n, high, low) of every document."""
+    """(key, n, high, low, point) of every document."""
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -204,9 +286,10 @@ def _digest_kernel(k: int):
             for part in slices(batch, 1):
                 sets = [shingle_set(t, k, hashes) for t in part.column(1).cast(pa.binary()).to_pylist()]
                 rows = [(len(s), *digest(s)) for s in sets]
+                points = pa.array([packed_point(s) for s in sets], pa.binary())
                 yield pa.record_batch(
-                    [part.column(0), *(pa.array(c, pa.int64()) for c in zip(*rows, strict=True))],
-                    names=["key", "n", "high", "low"],
+                    [part.column(0), *(pa.array(c, pa.int64()) for c in zip(*rows, strict=True)), points],
+                    names=["key", "n", "high", "low", "point"],
                 )
 
     return kernel
@@ -242,21 +325,77 @@ def _mark_kernel(k: int, percent: int):
 
 
 def _meet_kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by mark, then set: (first set of the mark, each further one), without repeats within a batch."""
-    last: tuple | None = None  # mark, its first set, its latest set
+    """(bucket, low) of the buckets with several sets, from rows sorted by mark, then set.
+
+    A bucket is named by its members where it lies within one batch, so that
+    buckets with the same members are one; otherwise by its mark.  A bucket is
+    streamed, however many rows it has.
+    """
+    last: tuple | None = None  # mark, its latest set, whether that has been emitted
+
+    def emit(buckets, lows):
+        return pa.record_batch([pa.array(buckets.astype(np.int64)), pa.array(lows)], names=["bucket", "low"])
+
     for batch in batches:
         if not batch.num_rows:
             continue
         mark, low = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
-        if last is not None:
-            mark = np.concatenate([[last[0], last[0]], mark])
-            low = np.concatenate([[last[1], last[2]], low])
-        starts = np.r_[True, mark[1:] != mark[:-1]]
-        first = low[np.maximum.accumulate(np.where(starts, np.arange(len(mark)), 0))]
-        further = first != low
-        pairs = np.unique(np.stack([first[further], low[further]], axis=1), axis=0)
-        last = (mark[-1], first[-1], low[-1])
-        yield pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+        lead = last is not None and last[0] == mark[0]
+        if lead:
+            mark, low = np.r_[last[0], mark], np.r_[last[1], low]
+        fresh = np.r_[True, (mark[1:] != mark[:-1]) | (low[1:] != low[:-1])]
+        mark, low = mark[fresh], low[fresh]
+        starts = np.flatnonzero(np.r_[True, mark[1:] != mark[:-1]])
+        lengths = np.diff(np.r_[starts, len(mark)])
+        with np.errstate(over="ignore"):
+            mixed = _mix(low.view(np.uint64) * _P2)
+            named = np.add.reduceat(mixed, starts) * _P1 + lengths.astype(np.uint64)
+        run = np.repeat(np.arange(len(starts)), lengths)
+        name = named.view(np.int64)[run]
+        # the first run may have begun in an earlier batch, the last one may go on
+        open_ = run == len(starts) - 1
+        if lead:
+            open_ |= run == 0
+        name = np.where(open_, mark, name)
+        several = lengths[run] > 1
+        tail = open_ & (run == len(starts) - 1) & ~several  # a single row so far: emitted when another follows
+        out = several & ~tail
+        if lead and last[2]:
+            out[0] = False
+        yield emit(name[out], low[out])
+        last = (mark[-1], low[-1], bool(out[-1]) or (len(out) == 1 and lead and last[2]))
+
+
+def _bound_kernel(percent: int):
+    """(a, b): edges between a bucket's sets; rows of a bucket follow one another."""
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, names, sizes, points = None, [], [], []
+        made: list[tuple[int, int]] = []
+
+        def close():
+            if len(names) > 1:
+                made.extend((names[i], names[j]) for i, j in bucket_edges(sizes, points, percent))
+
+        def out():
+            return pa.record_batch(
+                [pa.array([a for a, _ in made], pa.int64()), pa.array([b for _, b in made], pa.int64())], names=["a", "b"]
+            )
+
+        for batch in batches:
+            for this, low, n, point in zip(*(batch.column(c).to_pylist() for c in range(4)), strict=True):
+                if this != bucket:
+                    close()
+                    bucket, names, sizes, points = this, [], [], []
+                names.append(low)
+                sizes.append(n)
+                points.append(point)
+            yield out()
+            made.clear()
+        close()
+        yield out()
+
+    return kernel
 
 
 def _set_kernel(k: int, bitmap):
@@ -331,11 +470,21 @@ def similarity_classes(
     """
     keyed = docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).alias("text"))
     spark = docs.sparkSession
-    signed = cut(keyed.mapInArrow(_digest_kernel(k), "key long, n long, high long, low long"))
+    signed = cut(keyed.mapInArrow(_digest_kernel(k), "key long, n long, high long, low long, point binary"))
     filled = signed.where("n > 0")
     marks = keyed.select("text").mapInArrow(_mark_kernel(k, percent), "mark long, low long")
-    # one shuffle of the marks; a mark's rows are streamed, however many there are
-    met = marks.repartition("mark").sortWithinPartitions("mark", "low").mapInArrow(_meet_kernel, "a long, b long")
+    # one shuffle of the marks, which drops nearly all of them: most sets meet nobody
+    buckets = (
+        marks.repartition("mark").sortWithinPartitions("mark", "low").mapInArrow(_meet_kernel, "bucket long, low long").distinct()
+    )
+    points = filled.groupBy("low").agg(F.first("n").alias("n"), F.first("point").alias("point"))
+    met = (
+        buckets.join(points, "low")
+        .select("bucket", "low", "n", "point")
+        .repartition("bucket")
+        .sortWithinPartitions("bucket", "low")
+        .mapInArrow(_bound_kernel(percent), "a long, b long")
+    )
     clusters = cut(connected_components(met))
 
     # the sets of one document per member of a cluster

@@ -400,3 +400,38 @@ def test_pipeline_on_an_empty_table(spark, sf_dir):
     for _, stage in pipeline.STAGES:
         docs = stage(spark, docs, sf_dir)
     assert docs.count() == 0
+
+
+def test_meetings_do_not_depend_on_batches():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        rows = sorted((int(m), int(v)) for m, v in zip(rng.integers(0, 6, 25), rng.integers(0, 5, 25), strict=True))
+        cuts = [0, *sorted(rng.integers(0, 26, 4).tolist()), 25]
+        batches = [
+            pa.record_batch([pa.array([r[0] for r in rows[a:b]], pa.int64()), pa.array([r[1] for r in rows[a:b]], pa.int64())], names=["mark", "low"])
+            for a, b in zip(cuts, cuts[1:], strict=False)
+        ]
+        buckets = defaultdict(set)
+        for out in jaccard_join._meet_kernel(iter(batches)):
+            for name, low in zip(out.column(0).to_pylist(), out.column(1).to_pylist(), strict=True):
+                buckets[name].add(low)
+        want = defaultdict(set)
+        for mark, low in rows:
+            want[mark].add(low)
+        assert {frozenset(v) for v in buckets.values()} == {frozenset(v) for v in want.values() if len(v) > 1}
+
+
+def test_bucket_edges_connect_all_links():
+    rng = np.random.default_rng(6)
+    for percent in (80, 90):
+        base = [np.unique(rng.integers(0, 2**63, n, dtype=np.uint64)) for n in (30, 400, 520, 600, 9000, 40_000)]
+        sets = [b[rng.random(len(b)) > rng.random() * 0.25] for b in base for _ in range(12)]
+        edges = jaccard_join.bucket_edges([len(s) for s in sets], [jaccard_join.packed_point(s) for s in sets], percent)
+        label = list(range(len(sets)))
+        for a, b in edges:
+            label = [label[a] if x == label[b] else x for x in label]
+        for i, j in combinations(range(len(sets)), 2):
+            assert label[i] == label[j] or not jaccard_join.linked(sets[i], sets[j], percent)
+        assert len(edges) < len(sets)
