@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orbiscope.llm.common import cut, slices, without_ids
+from orbiscope.llm.common import BITMAP_BITS, cut, slices, without_ids
 
 #: Bytes that belong to words, lower-cased; every other byte becomes a blank.
 WORD_BYTES = bytes(
@@ -32,6 +32,10 @@ WORD_BYTES = bytes(
 )
 
 
+#: What is found in one document row.
+HITS = "n_words long, n_hit long, starts array<long>, lengths array<long>, items array<long>"
+
+
 def words_of(text: bytes | None) -> list[bytes]:
     """Lower-cased words (letters a-z, digits and everything beyond ASCII)."""
     return text.translate(WORD_BYTES).split() if text else []
@@ -152,10 +156,11 @@ def _count_kernel(index):
 def _hit_kernel(index, first: bool):
     def find(batches):
         for batch in batches:
-            for part in slices(batch, 1):
+            at_text = batch.num_columns - 1  # after the columns that name the row
+            for part in slices(batch, at_text):
                 index_ = index.value
-                keys, n_words, n_hit, starts, lengths, items = [], [], [], [], [], []
-                for key, text in zip(part.column(0), part.column(1).cast(pa.binary()).to_pylist(), strict=True):
+                rows, n_words, n_hit, starts, lengths, items = [], [], [], [], [], []
+                for row, text in enumerate(part.column(at_text).cast(pa.binary()).to_pylist()):
                     words = words_of(text)
                     found = list(index_.hits(index_.encode(words))) if words else []
                     if not (found or first):
@@ -166,28 +171,38 @@ def _hit_kernel(index, first: bool):
                             spans[-1][1] = max(spans[-1][1], b)
                         else:
                             spans.append([a, b])
-                    keys.append(key.as_py())
+                    rows.append(row)
                     n_words.append(len(words))
                     n_hit.append(sum(b - a for a, b in spans))
                     starts.append([a for a, _ in spans])
                     lengths.append([b - a for a, b in spans])
                     items.append(sorted({x for _, _, xs in found for x in xs}))
                 longs = pa.list_(pa.int64())
+                at = pa.array(rows, pa.int64())
                 yield pa.record_batch(
                     [
-                        pa.array(keys, batch.schema.field(0).type),
+                        *(part.column(c).take(at) for c in range(at_text)),
                         pa.array(n_words, pa.int64()),
                         pa.array(n_hit, pa.int64()),
                         pa.array(starts, longs),
                         pa.array(lengths, longs),
                         pa.array(items, longs),
                     ],
-                    names=["key", "n_words", "n_hit", "starts", "lengths", "items"],
+                    names=[*batch.schema.names[:at_text], "n_words", "n_hit", "starts", "lengths", "items"],
                 )
 
     return find
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number per row in ``_row``, materialised once so that every scan sees the same numbers.
+
+    Numbers of different partitions differ also modulo the bits of an id bitmap.
+    """
+    shift = F.pmod(F.xxhash64(F.spark_partition_id()), F.lit(BITMAP_BITS))
+    return cut(docs.withColumn("_row", F.monotonically_increasing_id() + shift))
+
+
 def find_overlap(
     docs: DataFrame,
     items: DataFrame,
@@ -209,17 +224,19 @@ def find_overlap(
     bounds the vocabulary so that three of them fit one 64-bit code.
 
     One block of items needs two map-side scans of the documents and no shuffle
-    of them; only further blocks add rows (hits alone) to a final aggregation.
+    of them.  With several, keys and texts are materialised once with a number
+    per row; further blocks add rows (hits alone) to a final aggregation by it.
     """
     keyed = docs.select(F.col(id_col).alias("key"), F.col(text_col))
     key_type = keyed.schema["key"].dataType.simpleString()
-    schema = f"key {key_type}, n_words long, n_hit long, starts array<long>, lengths array<long>, items array<long>"
+    schema = f"key {key_type}, {HITS}"
     parts: list[DataFrame] = []
     for index, last in _indexes(docs.select(F.col(text_col)), items, item_id_col, item_text_col, window, shingle, block_words):
-        part = keyed.mapInArrow(_hit_kernel(index, first=not parts), schema)
-        if last and not parts:
-            return part
-        parts.append(cut(part))
+        if not parts:
+            if last:
+                return keyed.mapInArrow(_hit_kernel(index, first=True), schema)
+            rows = _numbered(keyed).select("_row", "key", F.col(text_col))
+        parts.append(cut(rows.mapInArrow(_hit_kernel(index, first=not parts), f"_row long, {schema}")))
     return _merge(parts)
 
 
@@ -249,7 +266,7 @@ def _indexes(texts: DataFrame, items: DataFrame, id_col: str, text_col: str, win
 
 
 def _merge(parts: list[DataFrame]) -> DataFrame:
-    """Unite the hits of several blocks of items per document."""
+    """Unite the hits of several blocks of items per document row."""
     from functools import reduce
 
     def united(batches):
@@ -276,12 +293,13 @@ def _merge(parts: list[DataFrame]) -> DataFrame:
     ranges = F.flatten(
         F.collect_list(F.zip_with("starts", "lengths", lambda a, n: F.struct(a.alias("a"), n.alias("n"))))
     )
-    grouped = everything.groupBy("key").agg(
+    grouped = everything.groupBy("_row").agg(
+        F.first("key").alias("key"),
         F.max("n_words").alias("n_words"),
         ranges.alias("ranges"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
     )
-    return grouped.mapInArrow(united, parts[0].schema)
+    return grouped.mapInArrow(united, parts[0].drop("_row").schema)
 
 
 def items_digest(items: list[int]) -> str:

@@ -163,6 +163,24 @@ def test_overlap_on_edges(spark):
     assert decontaminate.digest_query(spark.createDataFrame([], DOCS), items).count() == 0
 
 
+@pytest.mark.parametrize("block_words", [1_000_000, 3])
+def test_rows_that_share_an_id_stay_apart(spark, block_words):
+    items = [(1, "ipsum lorem ipsum"), (2, "b c"), (3, "no such words"), (4, "z z")]
+    texts = [(1, "b c"), (1, "x y"), (1, "b c z z"), (None, "b c"), (None, "x"), (None, None), (2, "z z z"), (2, "z z z")]
+    got = decontaminate.find_overlap(
+        spark.createDataFrame(texts, DOCS), spark.createDataFrame(items, "item_id long, text string"), block_words=block_words
+    )
+    want = [(i, *plain_overlap(t, items)) for i, t in texts]
+    assert sorted(map(repr, want)) == sorted(repr((r.key, r.n_words, r.n_hit, r.items)) for r in got.collect())
+    edges = decontaminate.digest_query(edge_docs(spark), spark.createDataFrame(items[:2], "item_id long, text string"))
+    blocks = decontaminate.find_overlap(
+        edge_docs(spark), spark.createDataFrame(items[:2], "item_id long, text string"), block_words=block_words
+    )
+    assert sorted(repr((r.doc_id, r.n_words, r.n_hit)) for r in edges.collect()) == sorted(
+        repr((r.key, r.n_words, r.n_hit)) for r in blocks.collect()
+    )
+
+
 @pytest.mark.parametrize("block_words", [1_000_000, 3])
 def test_dropping_keeps_clean_rows_whole(spark, block_words):
     items = spark.createDataFrame([(1, "ipsum lorem ipsum"), (2, "b c")], "item_id long, text string")
