@@ -324,7 +324,6 @@ def digest_query(docs: DataFrame, items: DataFrame) -> DataFrame:
 def drop_contaminated(
     docs: DataFrame,
     items: DataFrame,
-    id_col: str = "doc_id",
     text_col: str = "text",
     window: int = 10,
     shingle: int = 3,
@@ -332,8 +331,9 @@ def drop_contaminated(
 ) -> DataFrame:
     """The rows of ``docs`` without any hit, all columns kept.  Null and empty texts stay.
 
-    With one block of items rows are dropped where they are read; with several,
-    by the ids that have hits (rows that share an id then go together).
+    Every row goes by its own text, whatever its id.  With one block of items
+    rows are dropped where they are read; with several, ``docs`` is materialised
+    once with a number per row, and rows go by the numbers that have hits.
     """
     indexes = _indexes(docs.select(F.col(text_col)), items, "item_id", "text", window, shingle, block_words)
     index, last = next(indexes)
@@ -349,8 +349,13 @@ def drop_contaminated(
                     yield part.filter(pa.array(keep, pa.bool_()))
 
         return docs.mapInArrow(clean, docs.schema)
-    hit = find_overlap(docs, items, id_col, text_col, window=window, shingle=shingle, block_words=block_words)
-    return without_ids(docs, hit.where("n_hit > 0").select("key"), id_col)
+    rows = _numbered(docs)
+    texts = rows.select("_row", F.col(text_col))
+    hit = cut(texts.mapInArrow(_hit_kernel(index, first=False), f"_row long, {HITS}").select("_row"))
+    for index, _ in indexes:
+        found = texts.mapInArrow(_hit_kernel(index, first=False), f"_row long, {HITS}").select("_row")
+        hit = hit.unionByName(cut(found))
+    return without_ids(rows, hit, "_row").drop("_row")
 
 
 ORACLE = r"""

@@ -190,6 +190,18 @@ def test_dropping_keeps_clean_rows_whole(spark, block_words):
     assert sorted(r.doc_id for r in kept.collect()) == [0, 1, 2, 3, 3, 4, 6, 7, 8]
 
 
+@pytest.mark.parametrize("block_words", [1_000_000, 3])
+def test_dropping_goes_by_row(spark, block_words):
+    items = [(1, "ipsum lorem ipsum"), (2, "b c"), (3, "z z")]
+    texts = [(1, "b c"), (1, "x y"), (1, "b c z z"), (None, "b c"), (None, "x"), (None, None), (2, "z z z"), (2, "z")]
+    docs = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(texts)], "doc_id long, text string, n int")
+    kept = decontaminate.drop_contaminated(
+        docs, spark.createDataFrame(items, "item_id long, text string"), block_words=block_words
+    )
+    assert kept.columns == docs.columns
+    assert sorted(r.n for r in kept.collect()) == [1, 4, 5, 7]
+
+
 # --- packing ---------------------------------------------------------------------------------------------------------
 
 
