@@ -1,19 +1,24 @@
 """License scan by conditional compression.
 
-Blocks of a text that may be a license notice are compressed with zstandard,
-once on their own and once with each template as a raw dictionary.  The template
-that shrinks the block most wins; the winner is confirmed by the exact wording:
-an alignment of the words must leave at most ``MAX_DIFFERENCE`` of the block or
-the template's notice different, and the differences are reported.
+The words around anchors, over line ends, are aligned with every line of every
+template.  A stretch of words is a notice when at most ``MAX_DIFFERENCE`` of the
+template line's words are missing from it or added to it; the differences are
+reported.  Where notices overlap, the one with the most words that agree, less
+those that differ, stays; equal ones are told apart by compressing the stretch
+with zstandard, once on its own and once with each template as a raw dictionary:
+the template that shrinks it most wins.  The words between notices are searched
+again until nothing more is found.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from difflib import SequenceMatcher
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -90,17 +95,12 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     ),
     "Proprietary": ("All rights reserved.", "Proprietary and confidential. Unauthorized copying of this file is strictly prohibited."),
 }
-#: A block is a candidate when it has one of these (every template line does).
+#: Words near one of these are candidates (every template line has one).
 ANCHOR = re.compile(
-    rb"licen[sc]|rights reserved|copyright|\bcc[ -]?(?:by|0)|public domain|permission|redistribut|warrant|proprietary", re.I
+    rb"licen[sc]|rights\W+reserved|copyright|\bcc\W*(?:by|0)|public\W+domain|permission|redistribut|warrant|proprietary", re.I
 )
 #: Share of the words that may differ from the template's wording.
 MAX_DIFFERENCE = 0.34
-#: Templates that are confirmed by wording, from the one that shrinks the block most.
-CONFIRMED = 3
-BLOCK_END = re.compile(rb"\n")
-#: Blocks longer than this many words are cut into overlapping runs, half a run apart, around their anchors.
-RUN_WORDS = 80
 WORD = re.compile(r"\w+")
 
 
@@ -110,8 +110,8 @@ class Notice:
     start: int  # bytes of the UTF-8 text
     end: int
     reduction: float
-    missing: tuple[str, ...]  # words of the template that the block lacks
-    added: tuple[str, ...]  # words of the block's aligned stretch that the template lacks
+    missing: tuple[str, ...]  # words of the template line that the notice lacks
+    added: tuple[str, ...]  # words of the notice that the template lacks
 
 
 @dataclass
@@ -121,6 +121,14 @@ class Templates:
     templates: dict[str, tuple[str, ...]]
     level: int = 3
     _ready: dict = field(default_factory=dict)
+    lines: list[tuple[str, list[str]]] = field(init=False)  # (license, words) of every template line
+    reach: int = field(init=False)  # words of the longest stretch that can be a notice
+
+    def __post_init__(self):
+        split = [(n, [m[0].lower() for m in WORD.finditer(line)]) for n, lines in self.templates.items() for line in lines]
+        self.lines = [(n, words) for n, words in split if words]
+        self.reach = int(max((len(w) for _, w in self.lines), default=0) * (1 + MAX_DIFFERENCE)) + 1
+        self._counts = [Counter(w) for _, w in self.lines]
 
     def compressors(self):
         if not self._ready:
@@ -142,86 +150,136 @@ class Templates:
                 self._ready[name] = options("\n".join(lines).lower().encode())
         return self._ready
 
-    def ranked(self, block: bytes) -> list[tuple[float, str]]:
-        """(share of the size saved, license) of every template, largest first."""
-        data = block.lower()
+    def reductions(self, stretch: bytes) -> dict[str, float]:
+        """The share of the stretch's compressed size that each template saves."""
+        data = stretch.lower()
         ready = self.compressors()
         alone = len(ready[""].compress(data))
-        return sorted(((1 - len(ready[n].compress(data)) / alone, n) for n in self.templates), key=lambda x: (-x[0], x[1]))
+        return {n: 1 - len(ready[n].compress(data)) / alone for n in self.templates}
 
-    def wording(self, license: str, block: str) -> tuple[float, tuple[int, int], tuple[str, ...], tuple[str, ...]]:
-        """The line of ``license`` that ``block`` words most alike: (difference, span, missing, added).
+    def stretches(self, words: list[str]) -> Iterator[tuple[int, int, int]]:
+        """(line, start, end) of the stretches of ``words`` that are worded like a template line.
 
-        The difference is the share of words missing or added within the
-        stretch of the block that aligns with the line.
+        An alignment scores 1 for a word in common and -1 for an added one, so a
+        line of m words differs from a stretch by m less their score.  The scores
+        of all lines are carried along the words at once; a stretch is taken
+        where a line's score is highest before it falls by more than it may.
         """
-        found = [(m[0].lower(), m.start(), m.end()) for m in WORD.finditer(block)]
-        words = [w for w, _, _ in found]
-        best = (9.0, (0, 0), (), ())
-        for line in self.templates[license]:
-            want = [m[0].lower() for m in WORD.finditer(line)]
-            same = [m for m in SequenceMatcher(None, want, words, autojunk=False).get_matching_blocks() if m.size]
-            if not same:
-                continue
-            first, last = same[0].b, same[-1].b + same[-1].size
-            kept_want = {i for m in same for i in range(m.a, m.a + m.size)}
-            kept_words = {i for m in same for i in range(m.b, m.b + m.size)}
-            missing = tuple(w for i, w in enumerate(want) if i not in kept_want)
-            added = tuple(words[i] for i in range(first, last) if i not in kept_words)
-            difference = (len(missing) + len(added)) / len(want)
-            if difference < best[0]:
-                best = (difference, (found[first][1], found[last - 1][2]), missing, added)
-        return best
+        have = Counter(words)
+        lines = [
+            i
+            for i, (_, want) in enumerate(self.lines)
+            if sum(min(n, have[w]) for w, n in self._counts[i].items()) >= (1 - MAX_DIFFERENCE) * len(want)
+        ]
+        if not lines:
+            return
+        ids = {w: k for k, w in enumerate({w for i in lines for w in self._counts[i]})}
+        size = max(len(self.lines[i][1]) for i in lines)
+        want = np.full((len(lines), size), -2)
+        for k, i in enumerate(lines):
+            want[k, : len(self.lines[i][1])] = [ids[w] for w in self.lines[i][1]]
+        least = np.array([np.ceil((1 - MAX_DIFFERENCE) * len(self.lines[i][1]) - 1e-9) for i in lines])
+        same = {w: want == k for w, k in ids.items()}
+        nowhere = np.zeros_like(want, bool)
+        # score and start in one number: of equal scores the earlier start
+        one = 1 << 40
+        best = np.full((len(lines), size + 1), one - 1)
+        held: list[tuple[int, int, int] | None] = [None] * len(lines)  # (score, start, end) of the stretch that is open
+        for j, w in enumerate(words):
+            after = best - one
+            np.maximum(after[:, 1:], np.where(same.get(w, nowhere), best[:, :-1] + one, 0), out=after[:, 1:])
+            np.maximum(after, one - 2 - j, out=after)
+            best = np.maximum.accumulate(after, axis=1)
+            last = best[:, -1]
+            for k in np.flatnonzero(last >> 40 >= least):
+                score, start = int(last[k]) >> 40, one - 1 - (int(last[k]) & (one - 1))
+                if held[k] is not None and start >= held[k][2]:  # begins after the open one
+                    yield lines[k], *held[k][1:]
+                    held[k] = None
+                if held[k] is None or score > held[k][0] or (score, start) == held[k][:2]:
+                    held[k] = score, start, j + 1
+        for k, stretch in enumerate(held):
+            if stretch is not None:
+                yield lines[k], *stretch[1:]
+
+    def wording(self, line: int, words: list[str]) -> tuple[tuple[str, ...], tuple[str, ...]]:
+        """(missing, added) words of an alignment of a template line with ``words`` that has the most in common."""
+        want = self.lines[line][1]
+        common = [[0] * (len(words) + 1) for _ in range(len(want) + 1)]
+        for a in range(len(want) - 1, -1, -1):
+            for b in range(len(words) - 1, -1, -1):
+                common[a][b] = (
+                    common[a + 1][b + 1] + 1 if want[a] == words[b] else max(common[a + 1][b], common[a][b + 1])
+                )
+        a = b = 0
+        missing, added = [], []
+        while a < len(want) or b < len(words):
+            if a < len(want) and b < len(words) and want[a] == words[b]:
+                a, b = a + 1, b + 1
+            elif b == len(words) or a < len(want) and common[a + 1][b] >= common[a][b + 1]:
+                missing.append(want[a])
+                a += 1
+            else:
+                added.append(words[b])
+                b += 1
+        return tuple(missing), tuple(added)
 
     def scan(self, text: bytes | None) -> list[Notice]:
-        """The confirmed notices of a text, in order of their start, without overlaps."""
+        """The notices of a text, in order of their start, without overlaps."""
         if not text or ANCHOR.search(text) is None:
             return []
-        found: list[Notice] = []
-        for start, end in candidate_blocks(text):
-            block = text[start:end].decode("utf-8", "replace")
-            confirmed = []
-            for reduction, name in self.ranked(text[start:end])[:CONFIRMED]:
-                if reduction <= 0:
-                    break
-                difference, (a, b), missing, added = self.wording(name, block)
-                if difference <= MAX_DIFFERENCE:
-                    confirmed.append((difference, -reduction, name, a, b, missing, added))
-            if confirmed:
-                _, reduction, name, a, b, missing, added = min(confirmed)
-                a, b = start + len(block[:a].encode()), start + len(block[:b].encode())
-                found.append(Notice(name, a, b, round(-reduction, 6), missing, added))
         out: list[Notice] = []
-        for n in sorted(found, key=lambda n: (n.start, -n.end, n.license)):
-            if not out or n.start >= out[-1].end:
-                out.append(n)
-        return out
+        for start, end in candidate_blocks(text, self.reach):
+            block = text[start:end].decode("utf-8", "replace")
+            found = [(m[0].lower(), m.start(), m.end()) for m in WORD.finditer(block)]
+            words = [w for w, _, _ in found]
+            code = np.frombuffer(block.encode("utf-32-le"), "<u4")
+            byte = np.r_[0, np.cumsum(1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000))]  # of every character
+            gaps = [(0, len(words))]
+            while gaps:
+                a, b = gaps.pop()
+                confirmed = []
+                for line, i, j in self.stretches(words[a:b]):
+                    missing, added = self.wording(line, words[a + i : a + j])
+                    differ = len(missing) + len(added)
+                    share = differ / len(self.lines[line][1])
+                    if share <= MAX_DIFFERENCE:
+                        agree = len(self.lines[line][1]) - len(missing)
+                        confirmed.append((differ - agree, share, a + i, a + j, line, missing, added))
+                taken: list[tuple[int, int]] = []
+                saved: dict[tuple[int, int], dict[str, float]] = {}
 
+                def reduction(i: int, j: int, name: str) -> float:
+                    if (i, j) not in saved:
+                        saved[i, j] = self.reductions(block[found[i][1] : found[j - 1][2]].encode())
+                    return saved[i, j][name]
 
-def candidate_blocks(text: bytes) -> Iterator[tuple[int, int]]:
-    """Byte ranges of lines with an anchor; long lines as runs of RUN_WORDS words around their anchors."""
-    at = 0
-    while (m := ANCHOR.search(text, at)) is not None:
-        start = text.rfind(b"\n", 0, m.start()) + 1
-        end = text.find(b"\n", m.end())
-        end = len(text) if end < 0 else end
-        line = text[start:end]
-        if line.count(b" ") < RUN_WORDS:
-            yield start, end
-        else:
-            starts = [0, *(x.end() for x in re.finditer(rb"\s+", line))]
-            step, seen = RUN_WORDS // 2, set()
-            anchors = [x.start() for x in ANCHOR.finditer(line)]
-            import bisect
+                ordered = [(c[0], c[1], -reduction(c[2], c[3], self.lines[c[4]][0]), self.lines[c[4]][0], *c[2:]) for c in confirmed]
+                for _, _, less, name, i, j, _, missing, added in sorted(ordered):
+                    if all(j <= x or y <= i for x, y in taken):
+                        taken.append((i, j))
+                        first, past = start + int(byte[found[i][1]]), start + int(byte[found[j - 1][2]])
+                        out.append(Notice(name, first, past, round(-less, 6), missing, added))
+                if taken:
+                    edges = [a, *(x for span in sorted(taken) for x in span), b]
+                    gaps += [(x, y) for x, y in zip(edges[::2], edges[1::2], strict=True) if x < y]
+        return sorted(out, key=lambda n: n.start)
 
-            for a in anchors:
-                word = bisect.bisect_right(starts, a) - 1
-                for run in {max(0, word // step * step - step), word // step * step}:
-                    if run not in seen:
-                        seen.add(run)
-                        stop = starts[run + RUN_WORDS] if run + RUN_WORDS < len(starts) else len(line)
-                        yield start + starts[run], start + stop
-        at = end
+
+def candidate_blocks(text: bytes, reach: int) -> Iterator[tuple[int, int]]:
+    """Byte ranges of the words at most ``reach`` words away from an anchor; ranges that meet are one."""
+    anchors = [m.start() for m in ANCHOR.finditer(text)]
+    bounds = [0, *(m.end() for m in re.finditer(rb"\W+", text)), len(text)]
+    spans: list[list[int]] = []
+    for a in anchors:
+        at = bisect_right(bounds, a) - 1
+        first, past = max(0, at - reach), min(len(bounds) - 1, at + reach + 1)
+        if spans and first <= spans[-1][1]:
+            spans[-1][1] = past
+        else:
+            spans.append([first, past])
+    for first, past in spans:
+        yield bounds[first], bounds[past]
 
 
 def scan_licenses(
@@ -230,10 +288,11 @@ def scan_licenses(
     """(id_col, notices) for every row; map-side only.
 
     A notice is (license, start, end, reduction, missing, added): the byte range
-    of its wording, the share of its block's compressed size that the template
-    saved, and the differing words.  Null and empty texts have none.  Of
-    overlapping notices the first, then the longest stays; equal reductions go
-    to the license that sorts first.
+    of its wording, the share of its compressed size that the template saved, and
+    the differing words.  Null and empty texts have none.  Every notice is
+    reported, also several in a line, and line ends may fall anywhere in one.  Of
+    overlapping notices the one with the most words that agree, less those that
+    differ, stays, then the larger reduction, then the license that sorts first.
     """
     kind = pa.list_(
         pa.struct(

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import textwrap
 import zlib
 from collections import defaultdict
 
@@ -324,6 +325,18 @@ def test_notices_inside_long_lines():
     assert notice.license == "MIT" and text[notice.start : notice.end] == b"Released under the MIT License"
 
 
+@pytest.mark.parametrize("before, width", [("", 72), (" * ", 40), ("# ", 12)])
+def test_wrapped_notices_are_found(before, width):
+    scanner = licenses.Templates(licenses.TEMPLATES)
+    for name, lines in licenses.TEMPLATES.items():
+        for line in lines:
+            wrapped = "\n".join(before + x for x in textwrap.wrap(line, width, break_long_words=False, break_on_hyphens=False))
+            text = f"Some words before.\n\n{wrapped}\n\nand words after it".encode()
+            (notice,) = scanner.scan(text)
+            assert notice.license == name and notice.missing == notice.added == (), line
+            assert WORD.findall(lower(text[notice.start : notice.end].decode()))[-1] == WORD.findall(lower(line))[-1]
+
+
 def test_license_query(spark, docs, texts):
     got = {r.doc_id: set(filter(None, r.licenses.split(","))) for r in licenses.scan_query(docs).collect()}
     lines = {
