@@ -337,6 +337,24 @@ def test_wrapped_notices_are_found(before, width):
             assert WORD.findall(lower(text[notice.start : notice.end].decode()))[-1] == WORD.findall(lower(line))[-1]
 
 
+def test_every_notice_of_a_line_is_found():
+    scanner = licenses.Templates(licenses.TEMPLATES)
+
+    def found(text):
+        return [(n.license, text.encode()[n.start : n.end].decode()) for n in scanner.scan(text.encode())]
+
+    both = "All rights reserved. Licensed under the MIT license."
+    assert found(both) == [("Proprietary", "All rights reserved"), ("MIT", "Licensed under the MIT license")]
+    assert [n for n, _ in found("Licensed under the ISC License. Or: Licensed under CC BY-SA 4.0. Or: Licensed under CC BY 4.0.")] == [
+        "ISC",
+        "CC-BY-SA-4.0",
+        "CC-BY-4.0",
+    ]
+    assert found("Released under the MIT License. " * 50) == [("MIT", "Released under the MIT License")] * 50
+    everything = [(name, line) for name, lines in licenses.TEMPLATES.items() for line in lines]
+    assert [n for n, _ in found(" ".join(line for _, line in everything))] == [n for n, _ in everything]
+
+
 def test_license_query(spark, docs, texts):
     got = {r.doc_id: set(filter(None, r.licenses.split(","))) for r in licenses.scan_query(docs).collect()}
     lines = {
