@@ -355,6 +355,15 @@ def test_every_notice_of_a_line_is_found():
     assert [n for n, _ in found(" ".join(line for _, line in everything))] == [n for n, _ in everything]
 
 
+def test_notice_among_words_of_other_licenses():
+    scanner = licenses.Templates(licenses.TEMPLATES)
+    words = " ".join(max(licenses.TEMPLATES[n], key=len) for n in ("MIT", "GPL-3.0", "Apache-2.0", "ISC", "BSD-3-Clause")).split()
+    random.Random(0).shuffle(words)
+    text = " ".join(words[:35]) + ". Licensed under CC BY-NC 4.0. " + " ".join(words[35:70])
+    (notice,) = scanner.scan(text.encode())
+    assert notice.license == "CC-BY-NC-4.0" and text[notice.start : notice.end] == "Licensed under CC BY-NC 4.0"
+
+
 def test_license_query(spark, docs, texts):
     got = {r.doc_id: set(filter(None, r.licenses.split(","))) for r in licenses.scan_query(docs).collect()}
     lines = {
