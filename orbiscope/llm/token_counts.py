@@ -94,33 +94,47 @@ class PrefixTrie:
                 if c == "":
                     found[child] = used
                     continue
-                begun = first.get(c)
-                own = None if begun is None else begun.get("")
-                if own is None:
-                    size = len(c.encode("utf-8", "surrogatepass"))
-                    best, pieces = score + size * BYTE_SCORE, used + size
-                else:
-                    best, pieces = score + own, used + 1
-                still = [] if begun is None else [(begun, score, used)]
-                for piece, base, before in growing:
-                    longer = piece.get(c)
-                    if longer is None:
-                        continue
-                    s = longer.get("")
-                    if s is not None:
-                        total = base + s
-                        if total > best or total == best and before + 1 < pieces:
-                            best, pieces = total, before + 1
-                    still.append((longer, base, before))
-                todo.append((child, still, best, pieces))
+                todo.append((child, *step(first, c, growing, score, used)))
         return found
 
 
+def step(first: dict, c: str, growing: list, score: float, used: int) -> tuple[list, float, int]:
+    """The state of ``PrefixTrie.count`` one character further."""
+    begun = first.get(c)
+    own = None if begun is None else begun.get("")
+    if own is None:
+        size = len(c.encode("utf-8", "surrogatepass"))
+        best, pieces = score + size * BYTE_SCORE, used + size
+    else:
+        best, pieces = score + own, used + 1
+    still = [] if begun is None else [(begun, score, used)]
+    for piece, base, before in growing:
+        longer = piece.get(c)
+        if longer is None:
+            continue
+        s = longer.get("")
+        if s is not None:
+            total = base + s
+            if total > best or total == best and before + 1 < pieces:
+                best, pieces = total, before + 1
+        still.append((longer, base, before))
+    return still, best, pieces
+
+
+def count_long(first: dict, token: str) -> int:
+    """Pieces on the best path of one pre-token of any length; only the growing pieces are held."""
+    state: tuple[list, float, int] = ([], 0.0, 0)
+    for c in token:
+        state = step(first, c, *state)
+    return state[2]
+
+
 class TokenCounter:
     """Counts of texts; keeps the counts of pre-tokens seen, up to a bound."""
 
     BOUND = 1 << 18
-    #: Longer pre-tokens are cut after this many characters, so that a trie's depth stays bounded.
+    #: Longer pre-tokens are streamed outside the trie, so that its depth and the cache stay bounded.
+    #: They are scored whole; ``n_pretokens`` counts them once per this many characters begun.
     LONGEST = 256
 
     def __init__(self, vocabulary: UnigramVocabulary):
@@ -131,14 +145,17 @@ class TokenCounter:
         """Words between blanks, each with the blank's sign; other white space stays inside a word."""
         if not text:
             return []
-        words = (BLANK + text.replace(" ", " " + BLANK)).split(" ")
-        if max(map(len, words)) <= self.LONGEST:
-            return words
-        return [w[a : a + self.LONGEST] for w in words for a in range(0, len(w), self.LONGEST)]
+        return (BLANK + text.replace(" ", " " + BLANK)).split(" ")
 
     def __call__(self, texts: list[str]) -> list[tuple[int, int]]:
         """(tokens, pre-tokens) of each text."""
         split = [self.pretokens(t) for t in texts]
+        extra = [(0, 0)] * len(texts)  # what long pre-tokens add
+        for i, tokens in enumerate(split):
+            if tokens and max(map(len, tokens)) > self.LONGEST:
+                long = [w for w in tokens if len(w) > self.LONGEST]
+                split[i] = [w for w in tokens if len(w) <= self.LONGEST]
+                extra[i] = sum(count_long(self.pieces, w) for w in long), sum(-(-len(w) // self.LONGEST) for w in long)
         new = set().union(*split).difference(self.known)
         if len(self.known) + len(new) > self.BOUND:
             self.known, new = {}, set().union(*split)
@@ -147,16 +164,17 @@ class TokenCounter:
             trie.insert(token)
         self.known.update(trie.count())
         get = self.known.__getitem__
-        return [(sum(map(get, tokens)), len(tokens)) for tokens in split]
+        return [(sum(map(get, tokens)) + n, len(tokens) + k) for tokens, (n, k) in zip(split, extra, strict=True)]
 
 
 def count_tokens(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, n_tokens, n_pretokens) for every row; map-side only.
 
     Null and empty texts have 0 of both.  A character without a piece counts one
-    token per byte.  Words beyond TokenCounter.LONGEST characters are cut there
-    into several pre-tokens.  ``vocabulary`` is a sentencepiece model file that
-    the driver can open; it is broadcast (at most 64 MB).
+    token per byte.  A word of any length is scored whole; ``n_pretokens`` counts
+    it once per TokenCounter.LONGEST characters begun.  ``vocabulary`` is a
+    sentencepiece model file that the driver can open; it is broadcast (at most
+    64 MB).
     """
     shared = broadcast_value(docs.sparkSession, load_vocabulary(vocabulary), 64 << 20, "vocabulary")
 

@@ -77,6 +77,18 @@ def test_counts_on_edges(spark):
     assert token_counts.count_query(spark.createDataFrame([], DOCS)).count() == 0
 
 
+@pytest.mark.parametrize("blank", ["\n", "\t", ""])
+def test_long_words_are_scored_whole(texts, vocabulary, blank):
+    counter = token_counts.TokenCounter(vocabulary)
+    for i in random.Random(1).sample(sorted(i for i, t in texts.items() if t), 12):
+        text = texts[i].replace(" ", blank)
+        assert counter([text, "a b " + text + " c"]) == [
+            (sum(plain_count(w, vocabulary) for w in words), sum(-(-len(w) // counter.LONGEST) for w in words))
+            for words in (counter.pretokens(text), counter.pretokens("a b " + text + " c"))
+        ]
+        assert counter.pretokens(text) == [token_counts.BLANK + text]
+
+
 def test_trie_shares_prefixes_and_survives_a_full_cache(vocabulary, monkeypatch):
     monkeypatch.setattr(token_counts.TokenCounter, "BOUND", 8)
     counter = token_counts.TokenCounter(vocabulary)
