@@ -252,7 +252,8 @@ def drop_unidentified(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows whose text has no language: no letter in it, or null.
 
     The other rows keep all their columns, and ``lang`` takes the prediction
-    unless that is ambiguous and the row already names a language.
+    unless that is ambiguous and the row already names a language.  When no
+    language could be learned, it stays as it is.
     """
     model = train(docs.where(F.coalesce(crc32_mod(F.col("doc_id"), 4) != 2, F.lit(True))))
     shared = broadcast_value(docs.sparkSession, model, 64 << 20, "language model")
@@ -264,9 +265,12 @@ def drop_unidentified(docs: DataFrame) -> DataFrame:
             for part in slices(batch, at_text):
                 texts = part.column(at_text).cast(pa.binary()).to_pylist()
                 keep = [has_letter(t) for t in texts]
-                if not any(keep) or not m.languages:
+                if not any(keep):
                     continue
                 part = part.filter(pa.array(keep))
+                if not m.languages:
+                    yield part
+                    continue
                 best, share = m.decode(m.margins([t for t, k in zip(texts, keep, strict=True) if k]))
                 ranked = np.sort(share, axis=1)
                 gap = ranked[:, -1] - (ranked[:, -2] if share.shape[1] > 1 else 0)

@@ -135,6 +135,12 @@ def test_language_edges(spark):
     assert kept.columns == docs.columns and Counter(r.text for r in kept.collect()) == {"the cat": 1, "le chat": 2, "漢字": 1}
 
 
+def test_rows_stay_when_no_language_is_learned(spark):
+    rows = [(1, "some words", None), (2, "12 34", None), (3, None, None), (None, "word", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert sorted(map(tuple, langid.drop_unidentified(docs).collect()), key=repr) == [rows[0], rows[3]]
+
+
 # --- HTML ------------------------------------------------------------------------------------------------------------
 
 
