@@ -30,7 +30,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         if named:
             sc.setCheckpointDir(named)
-        elif sc.master.startswith("local["):
+        elif sc.master == "local" or sc.master.startswith("local["):
             sc.setCheckpointDir(tempfile.mkdtemp(prefix="orbiscope-ckpt-"))
         else:
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
@@ -56,47 +56,60 @@ def crc32_mod(key: Column, n: int) -> Column:
     return F.crc32(key.cast("string").cast("binary")) % n
 
 
-#: Bits of an id bitmap: 4 MiB, whatever the size of the input.
-BITMAP_BITS = 1 << 25
+#: Bits of an id bitmap: 16 for every id within these bounds (16 MiB at most, whatever the size of the input).
+LEAST_BITS = 1 << 16
+BITMAP_BITS = 1 << 27
 
 
 def id_bitmap(ids: DataFrame):
-    """A bitmap (bytes) of a column of integer ids modulo BITMAP_BITS.
+    """A bitmap (bytes) of a column of integer ids, each modulo the number of bits.
 
     It only pre-filters: an exact join follows, and a full bitmap lets everything through.
     """
     import numpy as np
 
-    bit = F.pmod(F.col(ids.columns[0]), F.lit(BITMAP_BITS))
+    n = ids.count()
+    bits = min(BITMAP_BITS, max(LEAST_BITS, 1 << (16 * n).bit_length()))
+    bit = F.pmod(F.col(ids.columns[0]), F.lit(bits))
     words = (
         ids.select((bit / 32).cast("long").alias("word"), F.pmod(bit, F.lit(32)).cast("int").alias("bit"))
         .groupBy("word")
         .agg(F.expr("bit_or(shiftleft(1L, bit))").alias("mask"))
     )
-    out = np.zeros(BITMAP_BITS // 32, "<u4")
+    out = np.zeros(bits // 32, "<u4")
     for row in words.where("word IS NOT NULL").toLocalIterator():
         out[row.word] = row.mask
     return out.view(np.uint8)
 
 
-def without_ids(docs: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
-    """The rows of ``docs`` whose id is not among ``ids``, all columns kept.
+def in_bitmap(bitmap, ids):
+    """Whether each of ``ids`` (integers without nulls) may be in the bitmap."""
+    at = ids % (8 * len(bitmap))
+    return (bitmap[at >> 3] >> (at & 7)) & 1 == 1
 
-    Only rows whose id is in the bitmap of ``ids`` are shuffled, for the exact
-    anti-join; all others stay where they are.
-    """
+
+def maybe_in(docs: DataFrame, ids: DataFrame, key: Column) -> Column:
+    """A condition on rows of ``docs``: false only where ``key`` (a long, not null) is not among ``ids``."""
     import numpy as np
 
-    ids = cut(ids)
     bitmap = docs.sparkSession.sparkContext.broadcast(id_bitmap(ids))
 
     @F.pandas_udf("boolean")
-    def listed(key: pd.Series) -> pd.Series:
-        at = key.fillna(-1).to_numpy(np.int64) % BITMAP_BITS
-        return pd.Series((bitmap.value[at >> 3] >> (at & 7)) & 1 == 1)
+    def listed(keys: pd.Series) -> pd.Series:
+        return pd.Series(in_bitmap(bitmap.value, keys.to_numpy(np.int64)))
+
+    return listed(key)
 
+
+def without_ids(docs: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
+    """The rows of ``docs`` whose id is not among ``ids``, all columns kept.
+
+    Only rows whose id is in the bitmap of ``ids`` are shuffled, for the exact
+    anti-join; all others stay where they are.
+    """
+    ids = cut(ids)
     gone = ids.select(F.col(ids.columns[0]).alias("_gone")).distinct()
-    marked = listed(F.col(id_col).cast("long")) & F.col(id_col).isNotNull()
+    marked = maybe_in(docs, ids, F.coalesce(F.col(id_col).cast("long"), F.lit(-1))) & F.col(id_col).isNotNull()
     rest = docs.where(marked)
     return docs.where(~marked).unionByName(rest.join(gone, rest[id_col] == gone["_gone"], "left_anti"))
 

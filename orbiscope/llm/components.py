@@ -1,12 +1,53 @@
-"""Connected components of a link table, by alternating large-star and small-star rounds."""
+"""Connected components of a link table: local contraction, then alternating large-star and small-star rounds."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orbiscope.llm.common import cut
 
+#: Edges that a task contracts at a time.
+LOCAL_EDGES = 1 << 18
+
+
+def contract(edges: list[tuple[int, int]]) -> dict[int, int]:
+    """node -> smallest node of its component, for every node of ``edges``."""
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        root = x
+        while (up := parent.setdefault(root, root)) != root:
+            root = up
+        while parent[x] != root:
+            parent[x], x = root, parent[x]
+        return root
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        if a != b:
+            parent[max(a, b)] = min(a, b)
+    return {x: find(x) for x in parent}
+
+
+def _contract_kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges (a, b) as stars (u, v) that connect the same nodes, LOCAL_EDGES at a time."""
+    waiting: list[tuple[int, int]] = []
+
+    def out() -> pa.RecordBatch:
+        stars = [(u, v) for u, v in contract(waiting).items() if u != v]
+        waiting.clear()
+        return pa.record_batch([pa.array([s[k] for s in stars], pa.int64()) for k in (0, 1)], names=["u", "v"])
+
+    for batch in batches:
+        waiting += zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+        if len(waiting) >= LOCAL_EDGES:
+            yield out()
+    yield out()
+
 
 def _hang(edges: DataFrame) -> DataFrame:
     """Edges (a, b) as (u, v) with u > v, once each, loops dropped."""
@@ -29,23 +70,27 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return _hang(moved.unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b"))))
 
 
+def _all_stars(edges: DataFrame) -> bool:
+    """Whether every node hangs on one node at most, and none on a node that hangs itself."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    roles = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return roles.where("up > 1 OR up = 1 AND down = 1").isEmpty()
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b); root is the smallest node of its component.
 
-    The number of rounds is logarithmic in a component's size; each round is
-    written to the shared checkpoint folder, aggregations combine map-side and
-    the joins on a popular node are ordinary joins that adaptive execution can
-    split.  Null ends and loops are ignored; no edges give no rows.
+    Tasks first contract the edges that they hold.  The number of rounds after
+    that is logarithmic in a component's size; each round is written to the
+    shared checkpoint folder, aggregations combine map-side and the joins on a
+    popular node are ordinary joins that adaptive execution can split.  Null
+    ends and loops are ignored; no edges give no rows.
     """
-    state = cut(_hang(edges))
-    mark = None
-    while True:
+    whole = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a <> b")
+    state = cut(whole.mapInArrow(_contract_kernel, "u long, v long").distinct())
+    while not _all_stars(state):
         state = cut(_small_star(_large_star(state)))
-        seen = state.agg(
-            F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x"), F.max("u").alias("u")
-        ).first()
-        if seen == mark:
-            break
-        mark = seen
     roots = state.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return state.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)

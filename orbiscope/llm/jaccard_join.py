@@ -1,10 +1,11 @@
 """Exact Jaccard self-join of documents on word shingles with a count-vector R-tree.
 
-A document is its set of distinct shingles, as 64-bit hashes.  Two documents
-link when 100 * intersection >= PERCENT * union.
+A document is its set of distinct shingles, as 64-bit hashes (a wrong count
+needs two equal hashes within one pair of texts).  Two documents link when
+100 * intersection >= PERCENT * union.
 
-1.  Documents with equal sets form one class, named by 64 bits of the set's
-    fingerprint.
+1.  Documents with equal sets form one class, told apart by 128 bits of the
+    set's fingerprint and named by a number.
 2.  The hash space is cut into m groups.  Linked sets of the same size band
     differ in at most d < m shingles, so some group holds exactly the same
     shingles in both (pigeonhole).  Every set emits a fingerprint of each
@@ -18,10 +19,10 @@ link when 100 * intersection >= PERCENT * union.
 4.  Inside a cluster the surviving pairs (an R-tree again, with finer counts) are
     verified on the sets themselves, unless both ends are already connected.
 
-Clusters beyond ``block_rows`` sets or ``block_shingles`` shingles are split into
-blocks by a hash of the id, and every pair of blocks is its own group of work;
-so no task holds more than two blocks, and no pairs leave a task but the links
-that connected something new.
+Buckets and clusters are worked on in units of at most ``block_rows`` sets (two
+blocks in the last step of ``_connect``), and clusters of ``block_shingles``
+shingles.  Fingerprints that very many sets share are salted before they are
+shuffled.  No pairs leave a task but those that connected something new.
 """
 
 from __future__ import annotations
@@ -35,8 +36,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from orbiscope.llm.common import BITMAP_BITS, cut, id_bitmap, slices, without_ids
+from orbiscope.llm.common import cut, id_bitmap, in_bitmap, maybe_in, slices
 from orbiscope.llm.components import connected_components
 
 _P1, _P2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -206,37 +208,73 @@ def may_link(n: int, point: bytes, m: int, other: bytes, percent: int) -> bool:
     return (100 + percent) * bound >= percent * (n + m)
 
 
-def bucket_edges(sizes: list[int], points: list[bytes], percent: int) -> list[tuple[int, int]]:
+class Unit:
+    """What has been connected in one unit of work: a label per row, and which rows are compared.
+
+    Rows start with the labels they bring along (equal ones are connected
+    already).  With two sides, only pairs across them are compared.
+    """
+
+    def __init__(self, n: int, labels: list[int] | None = None, sides: list[int] | None = None):
+        self.label = np.unique(labels, return_inverse=True)[1] if labels else np.arange(n)
+        self.left = int(self.label.max()) + 1 if n else 0  # labels that still differ, at most
+        self.sides = np.array(sides) if sides and min(sides) != max(sides) else None
+        self.edges: list[tuple[int, int]] = []
+
+    def asks(self) -> Iterator[int]:
+        """The rows to look up, as long as anything is unconnected."""
+        for i in range(len(self.label)):
+            if self.left < 2:
+                return
+            if self.sides is None or self.sides[i] == 0:
+                yield i
+
+    def open(self, i: int, near: np.ndarray) -> np.ndarray:
+        """Those of ``near`` that ``i`` is to be compared with: unconnected and, with two sides, on the other one."""
+        near = near[self.label[near] != self.label[i]]
+        return near if self.sides is None else near[self.sides[near] != self.sides[i]]
+
+    def connect(self, i: int, j: int) -> None:
+        self.edges.append((int(i), int(j)))
+        self.label[self.label == self.label[j]] = self.label[i]
+        self.left -= 1
+
+
+def bucket_edges(
+    sizes: list[int], points: list[bytes], percent: int, labels: list[int] | None = None, sides: list[int] | None = None
+) -> list[tuple[int, int]]:
     """Edges that connect a bucket's sets as all pairs do whose bound reaches the needed overlap.
 
     Linked sets' sizes differ by a quarter at most, so their numbers of groups
     are equal or one is twice the other; the finer point is then folded.
     """
-    edges = []
-    label = np.arange(len(sizes))
+    unit = Unit(len(sizes), labels, sides)
     if len(sizes) <= SMALL_BUCKET:
-        for j in range(1, len(sizes)):
-            for i in range(j):
-                if label[i] != label[j] and may_link(sizes[i], points[i], sizes[j], points[j], percent):
-                    edges.append((i, j))
-                    label[label == label[j]] = label[i]
-        return edges
+        for i in unit.asks():
+            for j in unit.open(i, np.arange(len(sizes))):
+                if unit.label[i] != unit.label[j] and may_link(sizes[i], points[i], sizes[j], points[j], percent):
+                    unit.connect(i, j)
+        return unit.edges
     n, width = np.array(sizes, np.int64), np.array([len(p) for p in points])
     for groups in np.unique(width):
         part = np.flatnonzero((width == groups) | (width == 2 * groups))
         if len(part) < 2:
             continue
-        vectors, own = np.array([_unpacked(points[i], int(groups)) for i in part]), width[part] == groups
+        vectors = np.array([_unpacked(points[i], int(groups)) for i in part])
+        at = {int(i): k for k, i in enumerate(part)}
         tree = CountVectorRTree(vectors, n[part])
-        for i in np.flatnonzero(own):
-            near = part[tree.search(vectors[i], int(n[part[i]]), percent)]
-            others, first = np.unique(label[near], return_index=True)
-            mine = label[part[i]]
-            for other, at in zip(others, first, strict=True):
-                if other != mine:
-                    edges.append((int(part[i]), int(near[at])))
-                    label[label == other] = mine
-    return edges
+        for i in unit.asks():
+            # finer points ask for pairs of both widths only where the other end does not ask itself
+            if i not in at or width[i] != groups and unit.sides is None:
+                continue
+            near = unit.open(i, part[tree.search(vectors[at[i]], int(n[i]), percent)])
+            if width[i] != groups:
+                near = near[width[near] == groups]
+            others, first = np.unique(unit.label[near], return_index=True)
+            for other, j in zip(others, near[first], strict=True):
+                if unit.label[j] == other and unit.label[i] != other:
+                    unit.connect(i, j)
+    return unit.edges
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -249,30 +287,29 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def cluster_links(sets: list[np.ndarray], side: list[int], percent: int) -> list[tuple[int, int]]:
-    """Links that connect the sets as all links do.  With two sides, only pairs across them are looked at."""
+def cluster_links(
+    sets: list[np.ndarray], percent: int, labels: list[int] | None = None, sides: list[int] | None = None
+) -> list[tuple[int, int]]:
+    """Links that connect the sets as all links do."""
+    unit = Unit(len(sets), labels, sides)
+    if unit.left < 2:
+        return []
     sizes = np.array([len(s) for s in sets], np.int64)
     wanted = max(32, int(sizes.max()) // 8)
     points = count_vectors(sets, min(1024, 1 << (wanted - 1).bit_length()))
-    sides = np.array(side)
-    across = sides.min() != sides.max()
     tree = CountVectorRTree(points, sizes)
-    label = np.arange(len(sets))
-    links = []
-    for i in range(len(sets)):
-        if across and sides[i] == sides.max():
-            continue
+    for i in unit.asks():
         near = tree.search(points[i], int(sizes[i]), percent)
-        near = near[sides[near] != sides[i]] if across else near[near > i]
-        for j in near[label[near] != label[i]]:
-            if label[j] != label[i] and linked(sets[i], sets[j], percent):
-                label[label == label[j]] = label[i]
-                links.append((i, int(j)))
-    return links
+        if unit.sides is None:
+            near = near[near > i]
+        for j in unit.open(i, near):
+            if unit.label[j] != unit.label[i] and linked(sets[i], sets[j], percent):
+                unit.connect(i, j)
+    return unit.edges
 
 
 def digest(shingles: np.ndarray) -> tuple[int, int]:
-    """A 128-bit fingerprint of a set as two signed numbers; the second one names the set below."""
+    """A 128-bit fingerprint of a set as two signed numbers."""
     d = xxhash.xxh3_128_digest(shingles.tobytes())
     return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
 
@@ -297,158 +334,299 @@ def _digest_kernel(k: int):
 
 #: Sets that a task remembers to emit the fingerprints of exact copies only once.
 REMEMBERED = 1 << 18
+#: A mark met this often in a task (more in large tasks) is dealt to SALTS partitions from there on.
+OFTEN = 512
+SALTS = 1024
+#: Counters of a task's marks; a mark that shares its counter with others is at worst salted early.
+COUNTERS = 1 << 20
+#: The salt of a row that only says that a task has salted the mark.
+NOTICE = -1
 
 
-def _mark_kernel(k: int, percent: int):
-    """(mark, low): the group fingerprints of every set, once per task for copies met close together."""
+def _mark_kernel(k: int, percent: int, often_from: int):
+    """(mark, salt, low): the group fingerprints of every set, once per task for copies met close together.
+
+    A mark is salted where a task meets it very often; the task then says so
+    once in the mark's unsalted run.
+    """
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, met = WordHashes(), set()
+        hashes, met, told = WordHashes(), set(), set()
+        seen, total = np.zeros(COUNTERS, np.int32), 0
         for batch in batches:
             for part in slices(batch, 0):
-                marks, names = [], []
+                marks, salts, names = [], [], []
+
+                def emit(found, salt, low):
+                    marks.append(found.view(np.int64))
+                    salts.append(np.broadcast_to(np.asarray(salt, np.int32), len(found)))
+                    names.append(np.full(len(found), low, np.int64))
+
                 for text in part.column(0).cast(pa.binary()).to_pylist():
                     s = shingle_set(text, k, hashes)
                     low = digest(s)[1]
-                    if len(s) and low not in met:
-                        if len(met) >= REMEMBERED:
-                            met.clear()
-                        met.add(low)
-                        marks.append(group_fingerprints(s, percent).view(np.int64))
-                        names.append(np.full(len(marks[-1]), low, np.int64))
+                    if not len(s) or low in met:
+                        continue
+                    if len(met) >= REMEMBERED:
+                        met.clear()
+                    met.add(low)
+                    found = group_fingerprints(s, percent)
+                    at = (found & np.uint64(COUNTERS - 1)).astype(np.int64)
+                    seen[at] += 1
+                    total += len(at)
+                    often = seen[at] > often_from + 4 * total // COUNTERS
+                    emit(found, np.where(often, 1 + low % SALTS, 0), low)
+                    if often.any():
+                        new = [m for m in found[often].tolist() if m not in told]
+                        if len(told) >= REMEMBERED:
+                            told.clear()
+                        told.update(new)
+                        emit(np.array(new, np.uint64), NOTICE, 0)
                 if marks:
-                    yield pa.record_batch(
-                        [pa.array(np.concatenate(marks)), pa.array(np.concatenate(names))], names=["mark", "low"]
-                    )
+                    yield pa.record_batch([pa.array(np.concatenate(c)) for c in (marks, salts, names)], names=["mark", "salt", "low"])
 
     return kernel
 
 
-def _meet_kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(bucket, low) of the buckets with several sets, from rows sorted by mark, then set.
+def _meet_kernel(block_rows: int):
+    """(bucket, block, low) of the buckets with several sets, from rows sorted by mark, salt, then set.
 
-    A bucket is named by its members where it lies within one batch, so that
-    buckets with the same members are one; otherwise by its mark.  A bucket is
-    streamed, however many rows it has.
+    A run of rows with one mark and salt is streamed, however long it is, and
+    numbered off in blocks.  A bucket that lies within one batch is named by its
+    members, so that buckets with the same members are one.  Salted runs, and the
+    unsalted one that notices belong to, are named by their mark, and their
+    rows stay even if they are alone.
     """
-    last: tuple | None = None  # mark, its latest set, whether that has been emitted
 
-    def emit(buckets, lows):
-        return pa.record_batch([pa.array(buckets.astype(np.int64)), pa.array(lows)], names=["bucket", "low"])
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: tuple | None = None  # (mark, salt, latest set, whether a notice), its place, whether emitted, whether noticed
 
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        mark, low = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
-        lead = last is not None and last[0] == mark[0]
-        if lead:
-            mark, low = np.r_[last[0], mark], np.r_[last[1], low]
-        fresh = np.r_[True, (mark[1:] != mark[:-1]) | (low[1:] != low[:-1])]
-        mark, low = mark[fresh], low[fresh]
-        starts = np.flatnonzero(np.r_[True, mark[1:] != mark[:-1]])
-        lengths = np.diff(np.r_[starts, len(mark)])
-        with np.errstate(over="ignore"):
-            mixed = _mix(low.view(np.uint64) * _P2)
-            named = np.add.reduceat(mixed, starts) * _P1 + lengths.astype(np.uint64)
-        run = np.repeat(np.arange(len(starts)), lengths)
-        name = named.view(np.int64)[run]
-        # the first run may have begun in an earlier batch, the last one may go on
-        open_ = run == len(starts) - 1
-        if lead:
-            open_ |= run == 0
-        name = np.where(open_, mark, name)
-        several = lengths[run] > 1
-        tail = open_ & (run == len(starts) - 1) & ~several  # a single row so far: emitted when another follows
-        out = several & ~tail
-        if lead and last[2]:
-            out[0] = False
-        yield emit(name[out], low[out])
-        last = (mark[-1], low[-1], bool(out[-1]) or (len(out) == 1 and lead and last[2]))
-
-
-def _bound_kernel(percent: int):
-    """(a, b): edges between a bucket's sets; rows of a bucket follow one another."""
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            mark, salt, low = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in range(3))
+            notice = salt == NOTICE
+            salt = np.maximum(salt, 0)
+            lead = last is not None and last[0][:2] == (mark[0], salt[0])
+            if lead:
+                mark, salt, low, notice = (np.r_[x, c] for x, c in zip(last[0], (mark, salt, low, notice), strict=True))
+            same = (mark[1:] == mark[:-1]) & (salt[1:] == salt[:-1])
+            fresh = np.r_[True, ~(same & (low[1:] == low[:-1]) & (notice[1:] == notice[:-1]))]
+            mark, salt, low, notice = mark[fresh], salt[fresh], low[fresh], notice[fresh]
+            starts = np.flatnonzero(np.r_[True, (mark[1:] != mark[:-1]) | (salt[1:] != salt[:-1])])
+            run = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(mark)]))
+            noticed, members = np.logical_or.reduceat(notice, starts), np.add.reduceat((~notice).astype(np.int64), starts)
+            if lead:
+                noticed[0] |= last[3]
+            forced = ((salt > 0) | noticed[run]) & ~notice
+            out = (forced | (members[run] > 1)) & ~notice
+            if lead and last[2]:
+                out[0] = False
+            before = np.cumsum(~notice) - ~notice
+            place = before - before[starts][run] + np.where((run == 0) & lead, last[1] if lead else 0, 0)
+            with np.errstate(over="ignore"):
+                mixed = np.where(notice, np.uint64(0), _mix(low.view(np.uint64) * _P2))
+                named = np.add.reduceat(mixed, starts) * _P1 + members.astype(np.uint64)
+            # the first run may have begun in an earlier batch, the last one may go on
+            open_ = (run == len(starts) - 1) | (run == 0) & lead
+            name = np.where(open_ | forced, mark, named.view(np.int64)[run])
+            block = (salt << 32) + place // block_rows
+            yield pa.record_batch([pa.array(c[out]) for c in (name, block, low)], names=["bucket", "block", "low"])
+            emitted = bool(out[-1]) or (len(out) == 1 and lead and last[2])
+            last = (mark[-1], salt[-1], low[-1], notice[-1]), int(place[-1]), emitted, bool(noticed[-1])
+
+    return kernel
+
+
+#: The columns of a unit of work before what is compared; a unit is (grp, i, j).
+UNIT = ("grp", "i", "j", "side", "comp", "node")
+
+
+def _unit_kernel(compare):
+    """Edges (a, b) between nodes, from rows sorted by unit, then node; ``compare`` gets the payload, labels and sides."""
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bucket, names, sizes, points = None, [], [], []
-        made: list[tuple[int, int]] = []
+        unit, rows = None, []
 
-        def close():
-            if len(names) > 1:
-                made.extend((names[i], names[j]) for i, j in bucket_edges(sizes, points, percent))
+        def out(found: list[tuple[int, int]]) -> pa.RecordBatch:
+            return pa.record_batch([pa.array([e[k] for e in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-        def out():
-            return pa.record_batch(
-                [pa.array([a for a, _ in made], pa.int64()), pa.array([b for _, b in made], pa.int64())], names=["a", "b"]
-            )
+        def close() -> list[tuple[int, int]]:
+            if len(rows) < 2:
+                return []
+            sides, comps, nodes, *payload = (list(c) for c in zip(*rows, strict=True))
+            return [(nodes[x], nodes[y]) for x, y in compare(*payload, comps, sides)]
 
         for batch in batches:
-            for this, low, n, point in zip(*(batch.column(c).to_pylist() for c in range(4)), strict=True):
-                if this != bucket:
-                    close()
-                    bucket, names, sizes, points = this, [], [], []
-                names.append(low)
-                sizes.append(n)
-                points.append(point)
-            yield out()
-            made.clear()
-        close()
-        yield out()
+            made: list[tuple[int, int]] = []
+            for row in zip(*(batch.column(c).to_pylist() for c in range(batch.num_columns)), strict=True):
+                if row[:3] != unit:
+                    made += close()
+                    unit, rows = row[:3], []
+                if not (rows and rows[-1][0] == row[3] and rows[-1][2] == row[5]):  # not a repeated row of one set
+                    rows.append(row[3:])
+            yield out(made)
+        yield out(close())
 
     return kernel
 
 
+def _edges(units: DataFrame, compare) -> DataFrame:
+    """What ``compare`` connects in each unit; units are dealt by their name, which holds a bounded number of rows."""
+    dealt = units.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j", "side", "node")
+    return cut(dealt.mapInArrow(_unit_kernel(compare), "a long, b long"))
+
+
+def _blocks(rows: DataFrame, size, limits) -> DataFrame:
+    """(grp, blocks): how many blocks keep each group's blocks within the limits; ``size`` sums match ``limits``."""
+    needed = [F.ceil(F.sum(s) / limit) for s, limit in zip(size, limits, strict=True)]
+    most = F.greatest(*needed) if len(needed) > 1 else needed[0]
+    return rows.groupBy("grp").agg(most.cast("long").alias("blocks"))
+
+
+def _in_block(blocks, salt: int):
+    return F.pmod(F.xxhash64("node", F.lit(salt)), blocks)
+
+
+def _connect(first: DataFrame, large, compare, size, limits) -> DataFrame:
+    """Components (node, root) of what ``compare`` connects within groups, none of which is held in one task.
+
+    ``first`` holds units of bounded size that cover every group's rows.
+    ``large()`` gives (grp, node, payload ...) of the groups with several units,
+    or None.  Their rows are dealt to other blocks a second time; after that
+    nearly all of a group of near copies is one component.  What remains outside
+    of each group's largest component is then compared with all of the group,
+    block by block, so that no pair of unconnected rows is left out.
+    """
+    made = _edges(first, compare)
+    rows = large()
+    if rows is None:
+        return connected_components(made)
+    payload = [c for c in rows.columns if c not in ("grp", "node")]
+    blocks = _blocks(rows, size, limits)
+    again = rows.join(blocks, "grp").select(
+        "grp", _in_block(F.col("blocks"), 1).alias("i"), F.lit(0).cast("long").alias("j"), F.lit(0).alias("side"),
+        F.col("node").alias("comp"), "node", *payload,
+    )
+    made = made.unionByName(_edges(again, compare))
+    known = cut(connected_components(made))
+    rows = rows.join(known, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
+    parts = rows.groupBy("grp", "comp").agg(F.count("*").alias("n"))
+    main = parts.groupBy("grp").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.count("*").alias("parts"))
+    rest = rows.join(main.where("parts > 1"), "grp").where("comp <> main").drop("main", "parts")
+    turns = _blocks(rest, size, limits).withColumnRenamed("blocks", "turns")
+    deals = turns.join(blocks, "grp")
+    asked = rest.join(deals, "grp").select(
+        "grp", _in_block(F.col("turns"), 2).alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("j"),
+        F.lit(0).alias("side"), "comp", "node", *payload,
+    )
+    held = rows.join(deals, "grp").select(
+        "grp", F.explode(F.sequence(F.lit(0).cast("long"), F.col("turns") - 1)).alias("i"), _in_block(F.col("blocks"), 1).alias("j"),
+        F.lit(1).alias("side"), "comp", "node", *payload,
+    )
+    return connected_components(made.unionByName(_edges(asked.unionByName(held), compare)))
+
+
 def _set_kernel(k: int, bitmap):
-    """(key, low, shingles as bytes) of the documents whose id may be wanted."""
+    """(key, high, low, shingles as bytes) of the documents whose id may be wanted, once per task for close copies."""
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, bits = WordHashes(), np.unpackbits(bitmap.value, bitorder="little")
+        hashes, met = WordHashes(), set()
         for batch in batches:
-            ids = batch.column(0).fill_null(-1).to_numpy(zero_copy_only=False)
-            batch = batch.filter(pa.array(bits[ids % BITMAP_BITS].astype(bool)))
+            batch = batch.filter(pa.array(in_bitmap(bitmap.value, batch.column(0).to_numpy(zero_copy_only=False))))
             for part in slices(batch, 1):
-                sets = [shingle_set(t, k, hashes) for t in part.column(1).cast(pa.binary()).to_pylist()]
+                rows = []
+                for key, text in zip(part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist(), strict=True):
+                    s = shingle_set(text, k, hashes)
+                    name = (key, *digest(s))
+                    if name not in met:
+                        if len(met) >= REMEMBERED:
+                            met.clear()
+                        met.add(name)
+                        rows.append((*name, s.tobytes()))
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
                 yield pa.record_batch(
-                    [
-                        part.column(0),
-                        pa.array([digest(s)[1] for s in sets], pa.int64()),
-                        pa.array([s.tobytes() for s in sets], pa.binary()),
-                    ],
-                    names=["key", "low", "shingles"],
+                    [pa.array([r[c] for r in rows], kind) for c, kind in enumerate(kinds)], names=["key", "high", "low", "shingles"]
                 )
 
     return kernel
 
 
-def _link_kernel(percent: int):
-    """Links of each group of work; rows of a group follow one another."""
+#: Stands for a null id where a document is only looked up; its text's fingerprint tells it apart.
+NO_ID = -1
 
-    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, keys, sets, sides = None, [], [], []
 
-        def out():
-            found = [(keys[i], keys[j]) for i, j in cluster_links(sets, sides, percent)] if len(sets) > 1 else []
-            return pa.record_batch(
-                [pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())],
-                names=["a", "b"],
-            )
+def _grouped(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int, block_rows: int, block_shingles: int, often: int):
+    """(documents, sets): (key, n, high, low) of every row, and (high, low, rep, part) of every distinct set with words.
 
-        for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in range(batch.num_columns)]
-            for root, i, j, block, key, shingles in zip(*columns, strict=True):
-                if (root, i, j) != group:
-                    if len(sets) > 1:
-                        yield out()
-                    group, keys, sets, sides = (root, i, j), [], [], []
-                if keys and keys[-1] == key:
-                    continue  # a repeated row of one document
-                keys.append(key)
-                sets.append(np.frombuffer(shingles, np.uint64))
-                sides.append(block)
-        if len(sets) > 1:
-            yield out()
+    ``rep`` is the smallest id of a set's rows, ``part`` names its component.
+    """
+    keyed = docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).alias("text"))
+    spark = docs.sparkSession
+    signed = cut(keyed.mapInArrow(_digest_kernel(k), "key long, n long, high long, low long, point binary"))
+    # every distinct set gets a number: the fingerprint's 128 bits tell sets apart, the number is their name
+    distinct = signed.where("n > 0").groupBy("high", "low").agg(
+        F.min("key").alias("rep"), F.first("n").alias("n"), F.first("point").alias("point")
+    )
+    sets = cut(distinct.withColumn("node", F.monotonically_increasing_id()))
+
+    # one shuffle of the marks, which drops nearly all of them: most sets meet nobody.  Here 64 bits stand for a set;
+    # two sets that share them are both compared with whatever either meets
+    marks = keyed.select("text").mapInArrow(_mark_kernel(k, percent, often), "mark long, salt int, low long")
+    buckets = cut(
+        marks.repartition("mark", F.greatest("salt", F.lit(0)))
+        .sortWithinPartitions("mark", "salt", "low")
+        .mapInArrow(_meet_kernel(block_rows), "bucket long, block long, low long")
+        .distinct()
+    )
+    points = sets.select("low", "node", "n", "point")
+    met = buckets.join(points, "low").select(
+        F.col("bucket").alias("grp"), F.col("block").alias("i"), F.lit(0).cast("long").alias("j"), F.lit(0).alias("side"),
+        F.col("node").alias("comp"), "node", "n", "point",
+    )
+
+    def large_buckets() -> DataFrame | None:
+        several = cut(buckets.where("block > 0").select("bucket").distinct())
+        if several.isEmpty():
+            return None
+        rows = buckets.join(several, "bucket").select("bucket", "low").distinct()
+        return cut(rows.join(points, "low").select(F.col("bucket").alias("grp"), "node", "n", "point"))
+
+    def may(sizes, points_, labels, sides):
+        return bucket_edges(sizes, points_, percent, labels, sides)
+
+    clusters = cut(_connect(met, large_buckets, may, [F.lit(1)], [block_rows]))
+
+    members = clusters.join(sets, "node").select(
+        F.col("root").alias("grp"), "node", "n", F.coalesce("rep", F.lit(NO_ID)).alias("key"), "high", "low"
+    )
+    size, limits = [F.lit(1), F.col("n")], [block_rows, block_shingles]
+    placed = cut(members.join(_blocks(members, size, limits), "grp"))
 
-    return kernel
+    def with_sets(rows: DataFrame) -> DataFrame:
+        bitmap = spark.sparkContext.broadcast(id_bitmap(rows.select("key")))
+        found = keyed.select(F.coalesce("key", F.lit(NO_ID)).alias("key"), "text").mapInArrow(
+            _set_kernel(k, bitmap), "key long, high long, low long, shingles binary"
+        )
+        return rows.join(found, ["key", "high", "low"])
+
+    units = with_sets(placed).select(
+        "grp", _in_block(F.col("blocks"), 0).alias("i"), F.lit(0).cast("long").alias("j"), F.lit(0).alias("side"),
+        F.col("node").alias("comp"), "node", "n", "shingles",
+    )
+
+    def large_clusters() -> DataFrame | None:
+        several = placed.where("blocks > 1")
+        if several.isEmpty():
+            return None
+        return cut(with_sets(several).select("grp", "node", "n", "shingles").dropDuplicates(["grp", "node"]))
+
+    def verify(_, shingles, labels, sides):
+        return cluster_links([np.frombuffer(s, np.uint64) for s in shingles], percent, labels, sides)
+
+    joined = _connect(units, large_clusters, verify, size, limits)
+    parts = sets.join(joined, "node", "left").select("high", "low", "rep", F.coalesce("root", "node").alias("part"))
+    return signed.drop("point"), parts
 
 
 def similarity_classes(
@@ -457,77 +635,89 @@ def similarity_classes(
     text_col: str = "text",
     k: int = 5,
     percent: int = 80,
-    block_rows: int = 2048,
+    block_rows: int = 512,
     block_shingles: int = 1 << 21,
+    often: int = OFTEN,
 ) -> DataFrame:
     """(id_col, n_shingles, component_id) for every row of ``docs``.
 
-    ``component_id`` is the smallest id that links reach from the row's own,
-    itself included.  Rows without words (null, empty or blank text) have no
-    shingles and link with nothing; texts of fewer than ``k`` words are one
-    shingle.  Rows that share an id count as one document.  Ids are integers;
-    rows with a null id keep a null component unless they equal another text.
+    Every row goes by its own text, whatever its id.  ``component_id`` is the
+    smallest id of the rows that links reach from it, itself included.  Rows
+    without words (null, empty or blank text) have no shingles and link with
+    nothing; texts of fewer than ``k`` words are one shingle.  Ids are integers;
+    a row with a null id links like any other, and its component is null where
+    no row in it has an id.
     """
-    keyed = docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).alias("text"))
-    spark = docs.sparkSession
-    signed = cut(keyed.mapInArrow(_digest_kernel(k), "key long, n long, high long, low long, point binary"))
-    filled = signed.where("n > 0")
-    marks = keyed.select("text").mapInArrow(_mark_kernel(k, percent), "mark long, low long")
-    # one shuffle of the marks, which drops nearly all of them: most sets meet nobody
-    buckets = (
-        marks.repartition("mark").sortWithinPartitions("mark", "low").mapInArrow(_meet_kernel, "bucket long, low long").distinct()
-    )
-    points = filled.groupBy("low").agg(F.first("n").alias("n"), F.first("point").alias("point"))
-    met = (
-        buckets.join(points, "low")
-        .select("bucket", "low", "n", "point")
-        .repartition("bucket")
-        .sortWithinPartitions("bucket", "low")
-        .mapInArrow(_bound_kernel(percent), "a long, b long")
-    )
-    clusters = cut(connected_components(met))
-
-    # the sets of one document per member of a cluster
-    members = clusters.join(filled.groupBy("low").agg(F.min("key").alias("key"), F.first("n").alias("n")), clusters["node"] == F.col("low"))
-    blocks = members.groupBy("root").agg(
-        F.greatest(F.ceil(F.count("*") / block_rows), F.ceil(F.sum("n") / block_shingles)).cast("int").alias("blocks")
-    )
-    placed = cut(
-        members.join(blocks, "root").select(
-            "root", "node", "key", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block")
-        )
-    )
-    bitmap = spark.sparkContext.broadcast(id_bitmap(placed.select("key")))
-    sets = keyed.mapInArrow(_set_kernel(k, bitmap), "key long, low long, shingles binary")
-    work = (
-        placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(
-            "root",
-            F.least("block", "other").alias("i"),
-            F.greatest("block", "other").alias("j"),
-            "block",
-            F.col("node").alias("low"),
-            "key",
-        )
-        .join(sets, ["key", "low"])
-        .select("root", "i", "j", "block", "low", "shingles")
-        .repartition("root", "i", "j")
-        .sortWithinPartitions("root", "i", "j", "low")
-    )
-    links = cut(work.mapInArrow(_link_kernel(percent), "a long, b long"))
-    # sets that links connect, each with its documents; then the smallest document of each component
-    joined = connected_components(links).select(F.col("node").alias("low"), "root")
-    classes = filled.groupBy("low").agg(F.min("key").alias("rep")).join(joined, "low", "left")
-    least = classes.where("root IS NOT NULL").groupBy("root").agg(F.min("rep").alias("least"))
-    named = classes.join(least, "root", "left").select("low", F.coalesce("least", "rep").alias("rep"))
-    return signed.join(named, "low", "left").select(
+    signed, sets = _grouped(docs, id_col, text_col, k, percent, block_rows, block_shingles, often)
+    least = sets.groupBy("part").agg(F.min("rep").alias("least"))
+    named = sets.join(least, "part").select("high", "low", "least")
+    return signed.join(named, ["high", "low"], "left").select(
         F.col("key").alias(id_col),
         F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("rep")).otherwise(F.col("key")).alias("component_id"),
+        F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("key")).alias("component_id"),
     )
 
 
-def drop_similar(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each component stays (the one with the smallest id), all columns kept."""
-    gone = similarity_classes(docs, k=k, percent=percent).where("doc_id <> component_id").select("doc_id")
-    return without_ids(docs, gone, "doc_id")
+def drop_similar(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    k: int = 5,
+    percent: int = 80,
+    block_rows: int = 512,
+    block_shingles: int = 1 << 21,
+    often: int = OFTEN,
+) -> DataFrame:
+    """One row of each component stays, all columns kept; rows without words stay.
+
+    Every row goes by its own text, whatever its id.  The row with the smallest
+    id stays (null ids come last, then the fingerprint decides); of rows with
+    one id and one set of shingles any one.  Only rows whose id is among those
+    with something to drop are shuffled.
+    """
+    signed, sets = _grouped(docs, id_col, text_col, k, percent, block_rows, block_shingles, often)
+    texts = signed.where("n > 0").groupBy("high", "low", "key").agg(F.count("*").alias("copies"))
+    rows = texts.join(sets.select("high", "low", "part"), ["high", "low"])
+    first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "high", "low")).alias("first")
+    kept = rows.groupBy("part").agg(F.sum("copies").alias("total"), first).where("total > 1").drop("total")
+    stays = F.col("first.key").eqNullSafe(F.col("key")) & (F.col("first.high") == F.col("high")) & (F.col("first.low") == F.col("low"))
+    decided = cut(
+        rows.join(kept, "part")
+        .select("high", "low", "key", stays.alias("one"), "copies")
+        .where("NOT one OR copies > 1")
+        .select(*(F.col(c).alias(f"_{c}") for c in ("high", "low", "key", "one")))
+    )
+    names = {"high": _unused(docs, "high"), "low": _unused(docs, "low")}
+    marked = maybe_in(docs, decided.select(F.coalesce("_key", F.lit(NO_ID)).alias("key")), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)))
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            at = batch.schema.get_field_index(text_col)
+            for part in slices(batch, at):
+                found = [digest(shingle_set(t, k, hashes)) for t in part.column(at).cast(pa.binary()).to_pylist()]
+                columns = [*part.columns, *(pa.array([f[c] for f in found], pa.int64()) for c in (0, 1))]
+                yield pa.record_batch(columns, names=[*part.schema.names, *names.values()])
+
+    schema = StructType([*docs.schema.fields, *(StructField(n, LongType()) for n in names.values())])
+    signed_rows = docs.where(marked).mapInArrow(kernel, schema)
+    same = (
+        (F.col(names["high"]) == F.col("_high"))
+        & (F.col(names["low"]) == F.col("_low"))
+        & F.col(id_col).cast("long").eqNullSafe(F.col("_key"))
+    )
+    judged = signed_rows.join(decided, same, "left")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    out = docs.where(~marked).unionByName(judged.where("_one IS NULL").select(*columns))
+    if decided.where("_one").isEmpty():
+        return out
+    # partial aggregation leaves a row per task and text, however often a row is repeated
+    once = judged.where("_one").groupBy("_high", "_low", "_key").agg(F.first(F.struct(*columns)).alias("row"))
+    return out.unionByName(once.select("row.*"))
+
+
+def _unused(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have."""
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    return name

@@ -408,25 +408,105 @@ def test_pipeline_on_an_empty_table(spark, sf_dir):
     assert docs.count() == 0
 
 
-def test_meetings_do_not_depend_on_batches():
+@pytest.mark.parametrize("block_rows", [512, 2])
+def test_meetings_do_not_depend_on_batches(block_rows):
     import pyarrow as pa
 
     rng = np.random.default_rng(5)
     for _ in range(300):
-        rows = sorted((int(m), int(v)) for m, v in zip(rng.integers(0, 6, 25), rng.integers(0, 5, 25), strict=True))
+        rows = sorted(
+            (int(m), int(s), int(v) if s >= 0 else 0)
+            for m, s, v in zip(rng.integers(0, 6, 25), rng.choice([-1, 0, 0, 0, 0, 0, 0, 1, 2], 25), rng.integers(0, 5, 25), strict=True)
+        )
         cuts = [0, *sorted(rng.integers(0, 26, 4).tolist()), 25]
         batches = [
-            pa.record_batch([pa.array([r[0] for r in rows[a:b]], pa.int64()), pa.array([r[1] for r in rows[a:b]], pa.int64())], names=["mark", "low"])
+            pa.record_batch([pa.array([r[c] for r in rows[a:b]], pa.int64()) for c in range(3)], names=["mark", "salt", "low"])
             for a, b in zip(cuts, cuts[1:], strict=False)
         ]
-        buckets = defaultdict(set)
-        for out in jaccard_join._meet_kernel(iter(batches)):
-            for name, low in zip(out.column(0).to_pylist(), out.column(1).to_pylist(), strict=True):
+        buckets, blocks = defaultdict(set), defaultdict(set)
+        for out in jaccard_join._meet_kernel(block_rows)(iter(batches)):
+            for name, block, low in zip(*(out.column(c).to_pylist() for c in range(3)), strict=True):
                 buckets[name].add(low)
+                blocks[name, block].add(low)
+        noticed = {m for m, s, _ in rows if s < 0}
         want = defaultdict(set)
-        for mark, low in rows:
-            want[mark].add(low)
-        assert {frozenset(v) for v in buckets.values()} == {frozenset(v) for v in want.values() if len(v) > 1}
+        for m, s, low in rows:
+            if s >= 0:
+                # rows of a mark that nobody gave notice of stand alone if they are unsalted
+                want[m, s if m not in noticed and s == 0 else 1].add(low)
+        salted = {m for m, s, _ in rows if s > 0}
+        for (m, kind), lows in want.items():
+            if kind == 1:
+                assert lows <= buckets[m], "all rows of a noticed mark and all salted ones are in the mark's bucket"
+            elif len(lows) > 1:
+                assert any(lows <= got for got in buckets.values())
+        allowed = [frozenset(v) for (m, kind), v in want.items() if len(v) > 1 or kind == 1]
+        allowed += [frozenset(want[m, 0] | want[m, 1]) for m in salted]
+        assert {frozenset(v) for v in buckets.values()} <= set(allowed)
+        assert all(len(v) <= block_rows for v in blocks.values())
+
+
+@pytest.mark.parametrize("often", [512, 0])
+def test_rows_that_share_an_id_stay_apart(spark, often):
+    a = [f"a{i}" for i in range(40)]
+    b = [f"b{i}" for i in range(40)]
+    near = lambda words, i: " ".join([*words[:-1], f"z{i}"])
+    rows = [(5, " ".join(a)), (5, " ".join(b)), (3, near(a, 1)), (7, near(b, 2)), (None, near(b, 3)), (None, "alone here"), (9, "alone there"), (9, "alone there")]
+    docs = spark.createDataFrame([(i, t, n, 0) for n, (i, t) in enumerate(rows)], "doc_id long, text string, n int, high int").repartition(3)
+    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.similarity_classes(docs, often=often).collect())
+    assert got == {(5, 36, 3): 1, (3, 36, 3): 1, (5, 36, 5): 1, (7, 36, 5): 1, (None, 36, 5): 1, (None, 1, None): 1, (9, 1, 9): 2}
+    kept = jaccard_join.drop_similar(docs, often=often)
+    assert kept.columns == docs.columns
+    found = sorted(r.n for r in kept.collect())
+    assert found[:3] == [1, 2, 5] and found[3] in (6, 7) and len(found) == 4
+
+
+def test_copies_without_an_id_and_repeated_rows_leave_one(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = [(None, text), (None, text), (None, text + " more"), (4, "x y"), (4, "x y"), (4, None), (4, None), (None, "")]
+    docs = spark.createDataFrame(rows, DOCS)
+    kept = sorted(map(tuple, jaccard_join.drop_similar(docs).collect()), key=repr)
+    assert len(kept) == 5 and kept.count((4, None)) == 2 and (4, "x y") in kept and (None, "") in kept
+    assert jaccard_join.drop_similar(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("block_rows, often", [(512, 512), (64, 40)])
+def test_one_bucket_of_many_near_copies(spark, block_rows, often):
+    """Near copies of one text that all meet in the same buckets, some of which only a chain connects, and strangers."""
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(90)]
+    texts = {}
+    for i in range(1500 if block_rows == 64 else 5000):
+        words = list(base)
+        for _ in range(rng.randint(0, 3)):
+            words[rng.randrange(60)] = f"z{rng.randrange(20)}"
+        texts[i] = " ".join(words)
+    for i in range(40):  # share a long passage with the copies without being near
+        texts[10_000 + i] = " ".join([*base[45:], *(f"s{i}_{j}" for j in range(45))])
+    df = spark.createDataFrame(list(texts.items()), DOCS).repartition(4)
+    got = {r.doc_id: r.component_id for r in jaccard_join.similarity_classes(df, k=3, percent=90, block_rows=block_rows, often=often).collect()}
+    assert got == plain_components_by_postings(plain_sets(texts, 3), 90)
+
+
+def plain_components_by_postings(sets, percent):
+    """All pairs of distinct sets, their overlaps by matrix products."""
+    names = {s: n for n, s in enumerate(dict.fromkeys(s for s in sets.values() if s))}
+    shingles = {x: n for n, x in enumerate({x for s in names for x in s})}
+    rows = np.zeros((len(names), len(shingles)), np.float32)
+    for s, n in names.items():
+        rows[n, [shingles[x] for x in s]] = 1
+    size = rows.sum(1)
+    label = np.arange(len(names))
+    for n in range(len(names)):
+        both = rows[n + 1 :] @ rows[n]
+        for m in n + 1 + np.flatnonzero(100 * both >= percent * (size[n] + size[n + 1 :] - both)):
+            if label[m] != label[n]:
+                label[label == label[m]] = label[n]
+    least = {}
+    for i in sorted(sets):
+        if sets[i]:
+            least.setdefault(int(label[names[sets[i]]]), i)
+    return {i: least[int(label[names[s]])] if s else i for i, s in sets.items()}
 
 
 def test_bucket_edges_connect_all_links():
