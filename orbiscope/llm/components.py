@@ -1,4 +1,4 @@
-"""Connected components of a link table: local contraction, then alternating large-star and small-star rounds."""
+"""Connected components of a link table: contraction within tasks, and alternating large-star and small-star rounds."""
 
 from __future__ import annotations
 
@@ -33,20 +33,23 @@ def contract(edges: list[tuple[int, int]]) -> dict[int, int]:
     return {x: find(x) for x in parent}
 
 
-def _contract_kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges (a, b) as stars (u, v) that connect the same nodes, LOCAL_EDGES at a time."""
-    waiting: list[tuple[int, int]] = []
+class Stars:
+    """Edges gathered in a task, given out as stars that connect the same nodes."""
 
-    def out() -> pa.RecordBatch:
-        stars = [(u, v) for u, v in contract(waiting).items() if u != v]
-        waiting.clear()
-        return pa.record_batch([pa.array([s[k] for s in stars], pa.int64()) for k in (0, 1)], names=["u", "v"])
+    def __init__(self):
+        self.edges: list[tuple[int, int]] = []
 
-    for batch in batches:
-        waiting += zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
-        if len(waiting) >= LOCAL_EDGES:
-            yield out()
-    yield out()
+    def add(self, edges: list[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
+        """Gather ``edges``; a batch comes out only when LOCAL_EDGES are held."""
+        self.edges += edges
+        if len(self.edges) >= LOCAL_EDGES:
+            yield self.batch()
+
+    def batch(self) -> pa.RecordBatch:
+        """Batch (a, b) of what is held."""
+        stars = [(u, v) for u, v in contract(self.edges).items() if u != v]
+        self.edges = []
+        return pa.record_batch([pa.array([s[k] for s in stars], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
 
 def _hang(edges: DataFrame) -> DataFrame:
@@ -82,14 +85,13 @@ def _all_stars(edges: DataFrame) -> bool:
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b); root is the smallest node of its component.
 
-    Tasks first contract the edges that they hold.  The number of rounds after
-    that is logarithmic in a component's size; each round is written to the
+    The number of rounds is logarithmic in a component's size, and smaller when
+    tasks have given out their edges as ``Stars``; each round is written to the
     shared checkpoint folder, aggregations combine map-side and the joins on a
     popular node are ordinary joins that adaptive execution can split.  Null
     ends and loops are ignored; no edges give no rows.
     """
-    whole = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a <> b")
-    state = cut(whole.mapInArrow(_contract_kernel, "u long, v long").distinct())
+    state = cut(_hang(edges))
     while not _all_stars(state):
         state = cut(_small_star(_large_star(state)))
     roots = state.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from orbiscope.llm.common import cut, id_bitmap, in_bitmap, maybe_in, slices
-from orbiscope.llm.components import connected_components
+from orbiscope.llm.components import Stars, connected_components
 
 _P1, _P2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -442,14 +442,16 @@ def _meet_kernel(block_rows: int):
 UNIT = ("grp", "i", "j", "side", "comp", "node")
 
 
+#: Rows of a group that are expected in all of its blocks, and the share of a block's limits that such a row may take.
+ANCHORS = 16
+ANCHOR_SHARE = 64
+
+
 def _unit_kernel(compare):
     """Edges (a, b) between nodes, from rows sorted by unit, then node; ``compare`` gets the payload, labels and sides."""
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unit, rows = None, []
-
-        def out(found: list[tuple[int, int]]) -> pa.RecordBatch:
-            return pa.record_batch([pa.array([e[k] for e in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+        unit, rows, stars = None, [], Stars()
 
         def close() -> list[tuple[int, int]]:
             if len(rows) < 2:
@@ -458,15 +460,14 @@ def _unit_kernel(compare):
             return [(nodes[x], nodes[y]) for x, y in compare(*payload, comps, sides)]
 
         for batch in batches:
-            made: list[tuple[int, int]] = []
             for row in zip(*(batch.column(c).to_pylist() for c in range(batch.num_columns)), strict=True):
                 if row[:3] != unit:
-                    made += close()
+                    yield from stars.add(close())
                     unit, rows = row[:3], []
                 if not (rows and rows[-1][0] == row[3] and rows[-1][2] == row[5]):  # not a repeated row of one set
                     rows.append(row[3:])
-            yield out(made)
-        yield out(close())
+        yield from stars.add(close())
+        yield stars.batch()
 
     return kernel
 
@@ -478,53 +479,85 @@ def _edges(units: DataFrame, compare) -> DataFrame:
 
 
 def _blocks(rows: DataFrame, size, limits) -> DataFrame:
-    """(grp, blocks): how many blocks keep each group's blocks within the limits; ``size`` sums match ``limits``."""
+    """(grp, members, blocks): how many blocks keep each group's blocks within the limits; ``size`` are expressions on rows."""
     needed = [F.ceil(F.sum(s) / limit) for s, limit in zip(size, limits, strict=True)]
     most = F.greatest(*needed) if len(needed) > 1 else needed[0]
-    return rows.groupBy("grp").agg(most.cast("long").alias("blocks"))
+    return rows.groupBy("grp").agg(F.count("*").alias("members"), most.cast("long").alias("blocks"))
 
 
 def _in_block(blocks, salt: int):
     return F.pmod(F.xxhash64("node", F.lit(salt)), blocks)
 
 
-def _connect(first: DataFrame, large, compare, size, limits) -> DataFrame:
+def _dealt(rows: DataFrame, size, limits, payload: list[str]) -> DataFrame:
+    """Units of one block each from rows with members and blocks.
+
+    A few rows of a group, the anchors, are in all of its blocks, so that the
+    blocks of a group of near copies are connected at once.
+    """
+    light = F.lit(True)
+    for s, limit in zip(size, limits, strict=True):
+        light &= s * ANCHOR_SHARE <= limit
+    anchor = (F.col("blocks") > 1) & light & (F.pmod(F.xxhash64("node", F.lit(3)), F.col("members")) < ANCHORS)
+    everywhere = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
+    own = F.array(_in_block(F.col("blocks"), 1).cast("long"))
+    return rows.select(
+        "grp", F.explode(F.when(anchor, everywhere).otherwise(own)).alias("i"), F.lit(0).cast("long").alias("j"),
+        F.lit(0).alias("side"), F.col("node").alias("comp"), "node", *payload,
+    )
+
+
+def _connect(first: DataFrame, large, compare, size, limits, again: bool) -> DataFrame:
     """Components (node, root) of what ``compare`` connects within groups, none of which is held in one task.
 
     ``first`` holds units of bounded size that cover every group's rows.
     ``large()`` gives (grp, node, payload ...) of the groups with several units,
-    or None.  Their rows are dealt to other blocks a second time; after that
-    nearly all of a group of near copies is one component.  What remains outside
-    of each group's largest component is then compared with all of the group,
-    block by block, so that no pair of unconnected rows is left out.
+    or None.  With ``again`` those that are not one component are dealt to blocks
+    with anchors.  After that nearly all of a group of near copies is one
+    component.  What remains outside of each group's largest component is
+    compared with all of the group, block by block, so that no pair of
+    unconnected rows is left out.
     """
-    made = _edges(first, compare)
+    known = cut(connected_components(_edges(first, compare)))
     rows = large()
     if rows is None:
-        return connected_components(made)
+        return known
     payload = [c for c in rows.columns if c not in ("grp", "node")]
-    blocks = _blocks(rows, size, limits)
-    again = rows.join(blocks, "grp").select(
-        "grp", _in_block(F.col("blocks"), 1).alias("i"), F.lit(0).cast("long").alias("j"), F.lit(0).alias("side"),
-        F.col("node").alias("comp"), "node", *payload,
-    )
-    made = made.unionByName(_edges(again, compare))
-    known = cut(connected_components(made))
-    rows = rows.join(known, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
-    parts = rows.groupBy("grp", "comp").agg(F.count("*").alias("n"))
-    main = parts.groupBy("grp").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.count("*").alias("parts"))
-    rest = rows.join(main.where("parts > 1"), "grp").where("comp <> main").drop("main", "parts")
-    turns = _blocks(rest, size, limits).withColumnRenamed("blocks", "turns")
-    deals = turns.join(blocks, "grp")
+
+    def more_of(new: DataFrame) -> DataFrame:
+        if new.isEmpty():
+            return known
+        return cut(connected_components(known.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(new)))
+
+    def still_open() -> tuple[DataFrame, DataFrame]:
+        """(rows with comp, groups with main) of the groups of several components."""
+        placed = rows.join(known, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
+        parts = placed.groupBy("grp", "comp").agg(F.count("*").alias("n"))
+        main = parts.groupBy("grp").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.count("*").alias("parts"))
+        return placed, cut(main.where("parts > 1").drop("parts"))
+
+    placed, groups = still_open()
+    if groups.isEmpty():
+        return known
+    if again:
+        open_ = rows.join(groups.select("grp"), "grp")
+        known = more_of(_edges(_dealt(open_.join(_blocks(open_, size, limits), "grp"), size, limits, payload), compare))
+        placed, groups = still_open()
+        if groups.isEmpty():
+            return known
+    placed = placed.join(groups, "grp")
+    rest = placed.where("comp <> main")
+    turns = _blocks(rest, size, limits).select("grp", F.col("blocks").alias("turns"))
+    deals = turns.join(_blocks(placed, size, limits).drop("members"), "grp")
     asked = rest.join(deals, "grp").select(
         "grp", _in_block(F.col("turns"), 2).alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("j"),
         F.lit(0).alias("side"), "comp", "node", *payload,
     )
-    held = rows.join(deals, "grp").select(
+    held = placed.join(deals, "grp").select(
         "grp", F.explode(F.sequence(F.lit(0).cast("long"), F.col("turns") - 1)).alias("i"), _in_block(F.col("blocks"), 1).alias("j"),
         F.lit(1).alias("side"), "comp", "node", *payload,
     )
-    return connected_components(made.unionByName(_edges(asked.unionByName(held), compare)))
+    return more_of(_edges(asked.unionByName(held), compare))
 
 
 def _set_kernel(k: int, bitmap):
@@ -595,36 +628,30 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int,
     def may(sizes, points_, labels, sides):
         return bucket_edges(sizes, points_, percent, labels, sides)
 
-    clusters = cut(_connect(met, large_buckets, may, [F.lit(1)], [block_rows]))
+    clusters = _connect(met, large_buckets, may, [F.lit(1)], [block_rows], again=True)
 
     members = clusters.join(sets, "node").select(
         F.col("root").alias("grp"), "node", "n", F.coalesce("rep", F.lit(NO_ID)).alias("key"), "high", "low"
     )
     size, limits = [F.lit(1), F.col("n")], [block_rows, block_shingles]
     placed = cut(members.join(_blocks(members, size, limits), "grp"))
-
-    def with_sets(rows: DataFrame) -> DataFrame:
-        bitmap = spark.sparkContext.broadcast(id_bitmap(rows.select("key")))
-        found = keyed.select(F.coalesce("key", F.lit(NO_ID)).alias("key"), "text").mapInArrow(
-            _set_kernel(k, bitmap), "key long, high long, low long, shingles binary"
-        )
-        return rows.join(found, ["key", "high", "low"])
-
-    units = with_sets(placed).select(
-        "grp", _in_block(F.col("blocks"), 0).alias("i"), F.lit(0).cast("long").alias("j"), F.lit(0).alias("side"),
-        F.col("node").alias("comp"), "node", "n", "shingles",
-    )
+    bitmap = spark.sparkContext.broadcast(id_bitmap(placed.select("key")))
+    found = keyed.select(F.coalesce("key", F.lit(NO_ID)).alias("key"), "text").mapInArrow(
+        _set_kernel(k, bitmap), "key long, high long, low long, shingles binary"
+    )
+    with_sets = placed.join(found, ["key", "high", "low"]).select("grp", "node", "n", "members", "blocks", "shingles")
+    several = not placed.where("blocks > 1").isEmpty()
+    if several:  # then sets are used more than once
+        with_sets = cut(with_sets)
 
     def large_clusters() -> DataFrame | None:
-        several = placed.where("blocks > 1")
-        if several.isEmpty():
-            return None
-        return cut(with_sets(several).select("grp", "node", "n", "shingles").dropDuplicates(["grp", "node"]))
+        return with_sets.where("blocks > 1").select("grp", "node", "n", "shingles") if several else None
 
     def verify(_, shingles, labels, sides):
         return cluster_links([np.frombuffer(s, np.uint64) for s in shingles], percent, labels, sides)
 
-    joined = _connect(units, large_clusters, verify, size, limits)
+    units = _dealt(with_sets, size, limits, ["n", "shingles"])
+    joined = _connect(units, large_clusters, verify, size, limits, again=False)
     parts = sets.join(joined, "node", "left").select("high", "low", "rep", F.coalesce("root", "node").alias("part"))
     return signed.drop("point"), parts
 
