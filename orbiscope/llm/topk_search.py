@@ -1,15 +1,17 @@
 """Exact top-k inner-product search by no-random-access aggregation of sorted lists.
 
 Candidates are read in blocks.  Every component of a block is a list sorted by
-value; a query reads each list from the end that its own component favours.
-After every round of sequential reads a candidate's lower bound counts the
-entries read and the least that its other lists can add, its upper bound the
-entries read and the current front of every other list.  Reading stops when a candidate not met
-yet can no longer reach the k-th best lower bound; the few candidates whose
-upper bound still reaches it get their final scores.
-
-The best scores of earlier blocks carry over as a bound for later ones.  Only
-the k best of each query leave a task.
+value; a query reads each list from the end that its own component favours, a
+step at a time, and always those lists whose next step lowered the bound most
+(large components of the query, and lists that fall steeply).  A candidate's
+lower bound counts the entries read and the least that its other lists can add,
+its upper bound the entries read and the current front of every other list.
+Reading stops when a candidate not met yet can no longer reach the k-th best
+lower bound and few others can; those get their final scores.
+
+A query's best scores so far carry over as a bound to the next block.  The bound
+of the first one comes from a bounded number of other queries, which are
+candidates themselves.  Only the k best of each query leave a task.
 """
 
 from __future__ import annotations
@@ -23,15 +25,18 @@ from pyspark.sql import functions as F
 
 from orbiscope.llm.common import cut
 
-#: Rows of a candidate block, queries that a block meets at once, and queries that are broadcast at once.
-BLOCK_ROWS = 2048
-BATCH = 256
-QUERY_BLOCK = 4096
-#: Shares of the lists' length at which bounds are compared.
-DEPTHS = (0.35, 0.5, 0.65, 1.0)
+#: Rows of a candidate block, and bytes of queries that are broadcast at once.
+BLOCK_ROWS = 4096
+QUERY_BYTES = 16 << 20
+#: Queries that the first bounds come from.
+SEEDS = 2048
+#: A step reads one in STEPS of a list's entries in one in LISTS of the lists.
+STEPS = 8
+LISTS = 2
 #: Reading goes on while more than this share of the block's candidates may still qualify.
-RESOLVED = 0.05
-LEAST = -(1 << 52)
+RESOLVED = 0.04
+#: Below every score.
+LEAST = -(1 << 62)
 
 
 def quantised(column: Column) -> Column:
@@ -45,68 +50,97 @@ def quantised(column: Column) -> Column:
 
 
 class SortedBlock:
-    """Candidates of one block with every component's list in falling and in rising order.
-
-    Queries are run in batches.  After all lists have been read to one depth, a
-    candidate's sum over the lists where it was met is a product of two
-    matrices: the entries read (falling lists, then rising ones) and the
-    queries' components (positive ones, then negative ones); so are the sums of
-    what its other lists can still add at least and at most.
-    """
+    """Candidates of one block with every component's list in rising order."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids, self.vectors = ids, vectors
         order = np.argsort(vectors, axis=0, kind="stable")
-        rank = np.empty_like(order)
-        np.put_along_axis(rank, order, np.arange(len(ids))[:, None], axis=0)
-        self.sorted = np.take_along_axis(vectors, order, axis=0)
-        self.place = np.concatenate([len(ids) - 1 - rank, rank], axis=1)  # depth at which a list shows a candidate
-        self.entries = np.concatenate([vectors, vectors], axis=1)
-
-    def _at(self, depth: int, weights: np.ndarray) -> np.ndarray:
-        """What the entry at ``depth`` of each list adds to each query."""
-        return np.concatenate([self.sorted[len(self.ids) - 1 - depth], self.sorted[depth]])[:, None] * weights
-
-    def best(self, query_ids: np.ndarray, queries: np.ndarray, k: int, reached: np.ndarray) -> list[list[tuple[int, int]]]:
-        """Per query: (score, id) of this block's candidates that may be among the k best.
-
-        ``reached`` holds a score per query that k other candidates have
-        already; whatever cannot reach it is left out.
+        self.order = np.ascontiguousarray(order.T)
+        self.sorted = np.ascontiguousarray(np.take_along_axis(vectors, order, axis=0).T)
+        #: Entries read and resolved candidates, over all queries so far.
+        self.read = self.resolved = 0
+
+    def _sums(self, at: np.ndarray, values: np.ndarray) -> np.ndarray:
+        """What is added to every candidate."""
+        if values.dtype == np.float64:
+            return np.bincount(at, values, len(self.ids))
+        out = np.zeros(len(self.ids), values.dtype)
+        np.add.at(out, at, values)
+        return out
+
+    def best(self, query_id: int, query: np.ndarray, k: int, reached: int) -> list[tuple[int, int]]:
+        """(score, id) of this block's candidates that may be among the query's k best.
+
+        ``reached`` is a score that k other candidates have already; whatever
+        cannot reach it is left out.
         """
         n = len(self.ids)
-        found: list[list[tuple[int, int]]] = [[] for _ in query_ids]
-        own = self.ids[:, None] == query_ids[None, :]
-        open_ = np.arange(len(query_ids))
-        for share in DEPTHS:
-            depth = max(1, int(n * share))
-            weights = np.concatenate([np.maximum(queries[open_].T, 0), np.minimum(queries[open_].T, 0)])
-            met = self.place < depth
-            added = np.where(met, self.entries, 0) @ weights  # the entries read
-            unmet = (~met).astype(self.vectors.dtype)
-            ends, front = self._at(n - 1, weights), self._at(depth - 1, weights)
-            lower = added + unmet @ ends
-            bound = reached[open_].copy()
-            if n > k:
-                lower[own[:, open_]] = LEAST
-                bound = np.maximum(bound, np.partition(lower, n - k, axis=0)[n - k])
-            upper = added + unmet @ front
-            alive = (upper >= bound) & ~own[:, open_]
-            # candidates met in no list have the sum of the fronts as upper bound
-            done = (front.sum(0) < bound) & (alive.sum(0) <= max(k, n * RESOLVED)) if depth < n else np.ones(len(open_), bool)
-            for q in np.flatnonzero(done):
-                at = np.flatnonzero(alive[:, q])
-                score = self.vectors[at] @ queries[open_[q]]
-                ranked = sorted(zip((-score).tolist(), self.ids[at].tolist(), strict=True))[:k]
-                found[open_[q]] = [(int(-s), int(i)) for s, i in ranked]
-            open_ = open_[~done]
-            if not len(open_):
+        lists = np.flatnonzero(query)
+        weight, rising = query[lists], query[lists] < 0
+        low, high = self.sorted[lists, 0], self.sorted[lists, -1]
+        front, least = np.where(rising, low, high) * weight, np.where(rising, high, low) * weight
+        depth, step = np.zeros(len(lists), np.int64), -(-n // STEPS)
+        lower, upper = np.full(n, least.sum()), np.full(n, front.sum())
+        own = self.ids == query_id
+        lower[own], upper[own] = LEAST, LEAST
+        unread = np.ones((len(lists), n), self.vectors.dtype)
+        while True:
+            bound = max(reached, np.partition(lower, n - k)[n - k]) if n > k else reached
+            alive = np.flatnonzero(upper >= bound)
+            whole = depth.min(initial=n) >= n
+            # a candidate met in no list has the sum of the fronts as its upper bound
+            if whole or front.sum() < bound and len(alive) <= max(k, n * RESOLVED):
                 break
-        return found
-
-
-def _kernel(queries, k: int):
+            after = np.minimum(depth + step, n)
+            next_front = np.where(rising, self.sorted[lists, after - 1], self.sorted[lists, n - after]) * weight
+            next_front[after == n] = least[after == n]
+            gain = np.where(depth < n, front - next_front, -1)
+            chosen = np.argsort(-gain, kind="stable")[: -(-len(lists) // LISTS)]
+            chosen = chosen[depth[chosen] < n]
+            upper -= (front - next_front)[chosen] @ unread[chosen]
+            at = depth[chosen, None] + np.arange(step)
+            there = at < n
+            at = np.where(rising[chosen, None], at, n - 1 - at).clip(0, n - 1)
+            lines = lists[chosen, None]
+            candidates, added = self.order[lines, at], self.sorted[lines, at] * weight[chosen, None]
+            lower += self._sums(candidates[there], (added - least[chosen, None])[there])
+            upper += self._sums(candidates[there], (added - next_front[chosen, None])[there])
+            unread[np.broadcast_to(chosen[:, None], at.shape)[there], candidates[there]] = 0
+            self.read += int(there.sum())
+            depth[chosen], front[chosen] = after[chosen], next_front[chosen]
+        self.resolved += len(alive)
+        alive = alive[~own[alive]]
+        score = self.vectors[alive] @ query
+        return [(int(-s), int(i)) for s, i in sorted(zip((-score).tolist(), self.ids[alive].tolist(), strict=True))[:k]]
+
+
+def exact_kind(block: np.ndarray, queries: np.ndarray):
+    """float64 where it holds every sum of products exactly, else int64."""
+    largest = float(np.abs(block).max(initial=0)) * float(np.abs(queries).max(initial=0))
+    return np.float64 if largest * 4 * max(1, block.shape[1]) < 2**52 else np.int64
+
+
+def first_bounds(query_ids: list[int], queries: list[np.ndarray], k: int, seeds: int = SEEDS) -> np.ndarray:
+    """Per query a score that k other rows have: its k-th best among the first ``seeds`` queries of its length."""
+    out = np.full(len(query_ids), LEAST, np.int64)
+    for length in {len(q) for q in queries}:
+        at = np.array([i for i, q in enumerate(queries) if len(q) == length])
+        if len(at) <= k:
+            continue
+        ids, block = np.array(query_ids)[at], np.array([queries[i] for i in at])
+        kind = exact_kind(block, block)
+        others, other_ids = block[:seeds].astype(kind), ids[:seeds]
+        for a in range(0, len(at), 1024):
+            scores = block[a : a + 1024].astype(kind) @ others.T
+            scores[ids[a : a + 1024, None] == other_ids[None, :]] = LEAST
+            if scores.shape[1] > k:
+                out[at[a : a + 1024]] = np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k]
+    return np.maximum(out, LEAST)
+
+
+def _kernel(queries, k: int, block_rows: int):
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        query_ids, query_vectors = queries.value
+        query_ids, query_vectors, bounds = queries.value
         best: list[list[tuple[int, int]]] = [[] for _ in query_ids]
         of_length: dict[int, list[int]] = {}
         for q, vector in enumerate(query_vectors):
@@ -116,25 +150,21 @@ def _kernel(queries, k: int):
         def search(ids: list, vectors: list) -> None:
             block = np.array(vectors, np.int64)
             asked = of_length.get(block.shape[1], [])
-            sorted_block = None
-            for a in range(0, len(asked), BATCH):
-                part = asked[a : a + BATCH]
-                wanted = np.array([query_vectors[q] for q in part], np.int64)
-                largest = float(np.abs(block).max(initial=0)) * float(np.abs(wanted).max(initial=0))
-                kind = np.float64 if largest * 4 * block.shape[1] < 2**52 else np.int64  # sums are exact in both
-                if sorted_block is None or sorted_block.vectors.dtype != kind:
-                    sorted_block = SortedBlock(np.array(ids, np.int64), block.astype(kind))
-                reached = np.array([best[q][-1][0] if len(best[q]) == k else LEAST for q in part]).astype(kind)
-                new = sorted_block.best(np.array([query_ids[q] for q in part]), wanted.astype(kind), k, reached)
-                for q, more in zip(part, new, strict=True):
-                    best[q] = sorted(best[q] + more, key=lambda x: (-x[0], x[1]))[:k]
+            if not asked:
+                return
+            kind = exact_kind(block, np.array([query_vectors[q] for q in asked]))
+            lists = SortedBlock(np.array(ids, np.int64), block.astype(kind))
+            for q in asked:
+                reached = max(int(bounds[q]), best[q][-1][0] if len(best[q]) == k else LEAST)
+                more = lists.best(query_ids[q], query_vectors[q].astype(kind), k, reached)
+                best[q] = sorted(best[q] + more, key=lambda x: (-x[0], x[1]))[:k]
 
         for batch in batches:
             for row_id, vector in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ids, vectors = waiting.setdefault(len(vector), ([], []))
                 ids.append(row_id)
                 vectors.append(vector)
-                if len(ids) == BLOCK_ROWS:
+                if len(ids) == block_rows:
                     search(ids, vectors)
                     waiting[len(vector)] = ([], [])
         for ids, vectors in waiting.values():
@@ -148,7 +178,13 @@ def _kernel(queries, k: int):
 
 
 def search(
-    vectors: DataFrame, query_filter: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 5
+    vectors: DataFrame,
+    query_filter: Column,
+    id_col: str = "vec_id",
+    vector_col: str = "embedding",
+    k: int = 5,
+    block_rows: int = BLOCK_ROWS,
+    query_bytes: int = QUERY_BYTES,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best candidates of every query row.
 
@@ -156,9 +192,10 @@ def search(
     those with the query's id.  Vectors that are null, empty or hold a null or
     non-finite component, and rows with a null id, take no part; a query meets
     candidates of its own length only.  Ties go to the smaller id.  A query id
-    that occurs in several rows is searched once, with its smallest vector.
+    that occurs in several rows is searched once, with its smallest vector; a
+    candidate id that occurs in several rows counts once for each.
 
-    Queries are broadcast in blocks of QUERY_BLOCK, and every block is held
+    Queries are broadcast ``query_bytes`` at a time, and each such part is held
     against all candidates, so their number is not bounded by memory.
     """
     rows = vectors.select(
@@ -171,13 +208,15 @@ def search(
     parts: list[DataFrame] = []
     row, done = next(asked, None), False
     while not done:
-        ids, queries = [], []
-        while row is not None and len(ids) < QUERY_BLOCK:
+        ids, queries, held = [], [], 0
+        while row is not None and held < query_bytes:
             ids.append(row.vec_id)
             queries.append(np.array(row.v, np.int64))
+            held += queries[-1].nbytes
             row = next(asked, None)
         done = row is None
-        part = candidates.mapInArrow(_kernel(sc.broadcast((ids, queries)), k), schema)
+        shared = sc.broadcast((ids, queries, first_bounds(ids, queries, k)))
+        part = candidates.mapInArrow(_kernel(shared, k, block_rows), schema)
         parts.append(part if done and not parts else cut(part))
     found = parts[0]
     for part in parts[1:]:
@@ -197,9 +236,10 @@ WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+q AS (SELECT vec_id, min(v) AS v FROM v WHERE vec_id % 50 = 0 GROUP BY vec_id),
 s AS (
   SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+  FROM q JOIN v c ON c.vec_id <> q.vec_id),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
