@@ -12,6 +12,8 @@ the same length, so that offsets do not move.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,54 +53,85 @@ CONTEXT_CHARS = 48
 MARK = "\u0001"
 
 
-def _proposals(text: Column, pattern: str) -> Column:
-    """All leftmost matches of ``pattern`` as array<struct<start, end, value>>, in code points.
+#: Running totals are taken in levels of this many (a power of two).
+RUN = 32
+RUN_BITS = 5
+#: Code points of a piece of a text (a power of two): what is cut out of a text comes from its pieces.
+PIECE = 128
+PIECE_BITS = 7
 
-    Offsets come from the lengths of the matches and of the pieces between
-    them.  Their running sum is taken in blocks of 256, which keeps the work
-    near-linear for texts with very many matches.
+
+def running(array: Column, join: Callable[[Column, Column], Column], zero: Column) -> Column:
+    """The running totals of an array that is not empty, each with its own value.
+
+    Totals of RUN values and of RUN * RUN values are taken first, so an element
+    costs a few RUN steps however long the array is (up to many millions).
     """
 
-    def spans(found: Column) -> Column:
-        def located(steps: Column) -> Column:
-            # steps[i] is the distance between the starts of match i-1 and match i
-            block = 256
-            blocks = F.transform(
-                F.sequence(F.lit(0), F.floor((F.size(steps) - 1) / block).cast("int")),
-                lambda b: F.aggregate(F.slice(steps, b * block + 1, block), F.lit(0), lambda a, x: a + x),
-            )
+    def fold(of: Column, start: Column, end: Column) -> Column:
+        return F.aggregate(F.slice(of, start + 1, end - start), zero, join)
 
-            def with_heads(heads: Column) -> Column:
-                return F.transform(
-                    found,
-                    lambda m, i: let(
-                        heads[F.floor(i / block).cast("int")]
-                        + F.aggregate(
-                            F.slice(steps, F.floor(i / block).cast("int") * block + 1, i % block + 1),
-                            F.lit(0),
-                            lambda a, x: a + x,
-                        ),
-                        lambda s: F.struct(s.alias("start"), (s + F.char_length(m)).alias("end"), m.alias("value")),
-                    ),
-                )
+    def totals(of: Column) -> Column:
+        last = F.shiftright(F.size(of) - 1, RUN_BITS)
+        return F.transform(F.sequence(F.lit(0), last), lambda b: fold(of, b * RUN, (b + 1) * RUN))
+
+    def before(i: Column) -> Column:
+        return i - i % RUN
 
-            heads = let(
-                blocks,
-                lambda sums: F.transform(
-                    sums, lambda _, b: F.aggregate(F.slice(sums, F.lit(1), b), F.lit(0), lambda a, x: a + x)
+    def joined(values: Column, small: Column, large: Column) -> Column:
+        heads = F.transform(large, lambda _, b: fold(large, F.lit(0), b))
+
+        def elements(tops: Column) -> Column:
+            starts = F.transform(small, lambda _, b: join(tops[F.shiftright(b, RUN_BITS)], fold(small, before(b), b)))
+            return let(
+                starts,
+                lambda begun: F.transform(
+                    values, lambda _, i: join(begun[F.shiftright(i, RUN_BITS)], fold(values, before(i), i + 1))
                 ),
             )
-            return let(heads, with_heads)
 
-        gaps = F.split(text, pattern, -1)
+        return let(heads, elements)
+
+    return let(
+        array,
+        lambda values: let(totals(values), lambda small: let(totals(small), lambda large: joined(values, small, large))),
+    )
+
+
+def pieces(text: Column) -> Column:
+    """The text in pieces of PIECE code points."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+
+def between(of: Column, start: Column, end: Column) -> Column:
+    """Code points ``start`` to ``end`` of a text given in pieces; costs the length of what is cut out."""
+    first = F.shiftright(start, PIECE_BITS)
+    part = F.array_join(F.slice(of, first + 1, F.shiftright(end, PIECE_BITS) - first + 1), "")
+    return F.substring(part, start % PIECE + 1, end - start)
+
+
+def _proposals(text: Column, pattern: str) -> Column:
+    """All leftmost matches of ``pattern`` as array<struct<start, end, value>>, in code points.
+
+    Offsets are the running totals of the lengths of the matches and of the gaps between them.
+    """
+
+    def spans(found: Column) -> Column:
         steps = let(
-            gaps,
-            lambda g: F.transform(
+            F.split(text, pattern, -1),
+            lambda gaps: F.transform(
                 found,
-                lambda _, i: F.char_length(g[i]) + F.when(i > 0, F.char_length(found[i - 1])).otherwise(F.lit(0)),
+                lambda _, i: F.char_length(gaps[i]) + F.when(i > 0, F.char_length(found[i - 1])).otherwise(F.lit(0)),
             ),
         )
-        return let(steps, located)
+
+        def located(starts: Column) -> Column:
+            return F.transform(
+                found,
+                lambda m, i: F.struct(starts[i].alias("start"), (starts[i] + F.char_length(m)).alias("end"), m.alias("value")),
+            )
+
+        return let(running(steps, lambda x, y: x + y, F.lit(0)), located)
 
     none = F.array().cast("array<struct<start:int,end:int,value:string>>")
     return let(
@@ -224,34 +257,58 @@ FINDERS = {
 }
 
 
-def _scored(text: Column, spans: Column, kind: str, order: int) -> Column:
-    """The kind's spans with a score from the words within CONTEXT_CHARS on either side."""
+KINDS = (*BASE_KINDS, *EXTRA_KINDS)
+SPANS = "array<struct<start:int,ord:int,end:int,kind:string>>"
+
+
+def _named(spans: Column, order: int) -> Column:
+    """The spans of a kind without their values, empty where there are none."""
+    named = F.transform(
+        spans,
+        lambda s: F.struct(
+            s["start"].alias("start"), F.lit(order).alias("ord"), s["end"].alias("end"), F.lit(KINDS[order]).alias("kind")
+        ),
+    )
+    return F.coalesce(named, F.array().cast(SPANS))
+
+
+def _score(near: Column, order: Column) -> Column:
+    """A span's score from its kind and the lower-cased words near it."""
+
+    def of(kind: str) -> Column:
+        return (
+            F.lit(START_SCORE[kind])
+            + F.when(near.rlike(CONTEXT_UP[kind]), SCORE_STEP).otherwise(0.0)
+            - F.when(near.rlike(CONTEXT_DOWN[kind]), SCORE_STEP).otherwise(0.0)
+        )
+
+    score = F.when(order == 0, of(KINDS[0]))
+    for k, kind in enumerate(KINDS[1:], 1):
+        score = score.when(order == k, of(kind))
+    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), score))
+
 
-    def one(s: Column) -> Column:
-        left = F.greatest(s["start"] - CONTEXT_CHARS, F.lit(0))
+def _scored(text: Column, spans: Column) -> Column:
+    """The spans with a score from the words within CONTEXT_CHARS on either side."""
+
+    def one(of: Column, s: Column) -> Column:
         near = F.lower(
             F.concat(
-                F.substring(text, left + 1, s["start"] - left),
+                between(of, F.greatest(s["start"] - CONTEXT_CHARS, F.lit(0)), s["start"]),
                 F.lit(" "),
-                F.substring(text, s["end"] + 1, F.lit(CONTEXT_CHARS)),
+                between(of, s["end"], s["end"] + CONTEXT_CHARS),
             )
         )
-        score = let(
-            near,
-            lambda n: F.lit(START_SCORE[kind])
-            + F.when(n.rlike(CONTEXT_UP[kind]), SCORE_STEP).otherwise(0.0)
-            - F.when(n.rlike(CONTEXT_DOWN[kind]), SCORE_STEP).otherwise(0.0),
-        )
         return F.struct(
             s["start"].alias("start"),
-            F.lit(order).alias("ord"),
+            s["ord"].alias("ord"),
             s["end"].alias("end"),
-            F.lit(kind).alias("kind"),
-            F.greatest(F.lit(0.0), F.least(F.lit(1.0), score)).alias("score"),
+            s["kind"].alias("kind"),
+            let(near, lambda n: _score(n, s["ord"])).alias("score"),
         )
 
     none = F.array().cast("array<struct<start:int,ord:int,end:int,kind:string,score:double>>")
-    return F.coalesce(F.transform(spans, one), none)
+    return F.when(F.size(spans) > 0, let(pieces(text), lambda of: F.transform(spans, lambda s: one(of, s)))).otherwise(none)
 
 
 def pii_spans(text: Column, min_score: float = 0.5) -> Column:
@@ -263,11 +320,9 @@ def pii_spans(text: Column, min_score: float = 0.5) -> Column:
     """
 
     def of(t: Column) -> Column:
-        parts = []
-        for order, kind in enumerate((*BASE_KINDS, *EXTRA_KINDS)):
-            spans = _scored(t, FINDERS[kind](t), kind, order)
-            parts.append(spans if kind in BASE_KINDS else F.filter(spans, lambda s: s["score"] >= min_score))
-        return F.array_sort(F.concat(*parts))
+        found = F.concat(*(_named(FINDERS[kind](t), order) for order, kind in enumerate(KINDS)))
+        scored = let(found, lambda spans: _scored(t, spans))
+        return F.array_sort(F.filter(scored, lambda s: (s["ord"] < len(BASE_KINDS)) | (s["score"] >= min_score)))
 
     return let(F.coalesce(text, F.lit("")), of)
 
@@ -293,37 +348,26 @@ def mask_pii(docs: DataFrame, text_col: str = "text", min_score: float = 0.5) ->
     spans, an empty one and a null stay as they are; all other columns too.
     """
 
-    def merged(found: Column) -> Column:
-        start = F.array().cast("array<struct<start:int,end:int,kind:string>>")
-
-        def step(acc: Column, s: Column) -> Column:
-            n = F.size(acc)
-            own = F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))
-            last = F.try_element_at(acc, n)
-            joined = F.struct(
-                last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"), last["kind"].alias("kind")
-            )
-            return F.when(
-                (n > 0) & (s["start"] < last["end"]), F.concat(F.slice(acc, F.lit(1), n - 1), F.array(joined))
-            ).otherwise(F.concat(acc, F.array(own)))
+    def masked(text: Column, spans: Column) -> Column:
+        def joined(ends: Column, of: Column) -> Column:
+            # ends[i] is where the spans up to the i-th end; a span that begins before that is part of an earlier one
+            def piece(s: Column, i: Column) -> Column:
+                past = F.when(i > 0, ends[i - 1]).otherwise(F.lit(0))
+                sign = F.concat(F.lit("<"), F.upper(s["kind"]), F.lit(">"))
+                return F.when((i > 0) & (s["start"] < past), F.lit("")).otherwise(
+                    F.concat(between(of, past, s["start"]), sign)
+                )
 
-        return F.aggregate(found, start, step)
+            tail = between(of, F.element_at(ends, -1), F.char_length(text))
+            return F.concat(F.array_join(F.transform(spans, piece), ""), tail)
 
-    def masked(text: Column, spans: Column) -> Column:
-        pieces = F.transform(
-            spans,
-            lambda s, i: let(
-                F.when(i > 0, spans[i - 1]["end"]).otherwise(F.lit(0)),
-                lambda a: F.concat(F.substring(text, a + 1, s["start"] - a), F.lit("<"), F.upper(s["kind"]), F.lit(">")),
-            ),
-        )
-        tail = F.substring(text, F.element_at(spans, -1)["end"] + 1, F.char_length(text))
-        return F.concat(F.array_join(pieces, ""), tail)
+        ends = running(F.transform(spans, lambda s: s["end"]), lambda x, y: F.greatest(x, y), F.lit(0))
+        return let(ends, lambda e: let(pieces(text), lambda of: joined(e, of)))
 
     text = F.col(text_col)
     new = let(
         pii_spans(text, min_score),
-        lambda found: F.when(F.size(found) > 0, let(merged(found), lambda spans: masked(text, spans))).otherwise(text),
+        lambda found: F.when(F.size(found) > 0, masked(text, found)).otherwise(text),
     )
     return docs.withColumn(text_col, new)
 
