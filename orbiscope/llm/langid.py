@@ -23,9 +23,12 @@ BUCKETS = 1 << 15
 ORDERS = (2, 3)
 #: A text is ambiguous when the two best languages' scores differ by less.
 AMBIGUOUS = 0.2
-#: Bounds of the training sample and of the number of features.
+#: Bounds of the training sample (rows of a language, and of all) and of the number of features.
 SAMPLE_PER_LANGUAGE = 1000
+SAMPLE_ROWS = 12_000
 FEATURES = 4096
+#: Bytes of text whose n-grams are held at a time.
+SLICE = 1 << 18
 _KNUTH = np.uint32(2654435761)
 
 #: Letters lower-cased, bytes beyond ASCII kept, everything else a blank.
@@ -44,14 +47,21 @@ def has_letter(text: bytes | None) -> bool:
 
 def normalised(text: bytes) -> bytes:
     """Letters with single blanks between and around words."""
-    return b" " + b" ".join(text.translate(LETTERS).split()) + b" "
+    letters = text.translate(LETTERS)
+    if len(letters) <= SLICE:
+        return b" " + b" ".join(letters.split()) + b" "
+    # without a list of all words
+    raw = np.frombuffer(letters, np.uint8)
+    kept = raw != 32
+    kept[1:] |= kept[:-1]
+    return b" " + raw[kept].tobytes().strip() + b" "
 
 
-def ngram_buckets(raw: np.ndarray) -> list[np.ndarray]:
+def ngram_buckets(raw: np.ndarray, orders: tuple[int, ...] = ORDERS) -> list[np.ndarray]:
     """Hash bucket of every n-gram, one array per order; entry i starts at byte i."""
     wide = raw.astype(np.uint32)
     out = []
-    for n in ORDERS:
+    for n in orders:
         if len(wide) < n:
             out.append(np.zeros(0, np.int64))
             continue
@@ -62,11 +72,22 @@ def ngram_buckets(raw: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+def bucket_counts(raw: np.ndarray) -> np.ndarray:
+    """How often each bucket occurs in one normalised text, which is looked at in slices that overlap by an n-gram."""
+    total = np.zeros(BUCKETS, np.int64)
+    for a in range(0, len(raw), SLICE):
+        for n in ORDERS:
+            part = raw[a : a + SLICE + n - 1]
+            if len(part) >= n:
+                total += np.bincount(ngram_buckets(part, (n,))[0], minlength=BUCKETS)
+    return total
+
+
 def features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """(buckets, share of the text's n-grams) of one text."""
-    found = np.concatenate(ngram_buckets(np.frombuffer(normalised(text), np.uint8)))
-    at, n = np.unique(found, return_counts=True)
-    return at, (n / max(1, n.sum())).astype(np.float32)
+    n = bucket_counts(np.frombuffer(normalised(text), np.uint8))
+    at = np.flatnonzero(n)
+    return at, (n[at] / max(1, n.sum())).astype(np.float32)
 
 
 def codewords(k: int, seed: int = 7) -> np.ndarray:
@@ -103,7 +124,23 @@ class LanguageModel:
         return share.argmax(1), share
 
     def margins(self, texts: list[bytes]) -> np.ndarray:
-        """Bit margins of whole texts; n-grams never reach over two texts."""
+        """Bit margins of whole texts; long ones one by one, short ones together."""
+        short = [i for i, t in enumerate(texts) if len(t) <= SLICE]
+        out = np.empty((len(texts), len(self.bias)), np.float64)
+        first, held = 0, 0
+        for k, i in enumerate(short):
+            held += len(texts[i])
+            if held >= SLICE or k + 1 == len(short):
+                out[short[first : k + 1]] = self._short_margins([texts[j] for j in short[first : k + 1]])
+                first, held = k + 1, 0
+        for i, t in enumerate(texts):
+            if len(t) > SLICE:
+                n = bucket_counts(np.frombuffer(normalised(t), np.uint8))
+                out[i] = n @ self.weights.astype(np.float64) / max(1, n.sum()) + self.bias
+        return out
+
+    def _short_margins(self, texts: list[bytes]) -> np.ndarray:
+        """Bit margins of texts that are laid end to end; n-grams never reach over two texts."""
         parts = [normalised(t) for t in texts]
         ends = np.cumsum([len(p) for p in parts])
         starts = ends - [len(p) for p in parts]
@@ -171,19 +208,24 @@ def train(
     text_col: str = "text",
     lang_col: str = "lang",
     per_language: int = SAMPLE_PER_LANGUAGE,
+    sample_rows: int = SAMPLE_ROWS,
 ) -> LanguageModel:
     """Fit on a sample of the rows of ``docs`` with text and language.
 
-    The sample is drawn by a hash of the id so that about ``per_language`` rows
-    of each language are expected (all, where there are fewer); features are
-    made on the executors and each is a share of a whole text's n-grams.
+    The sample is drawn by a hash of the id so that about
+    ``per_language`` rows of each language are expected (all, where there are
+    fewer), and an equal share of ``sample_rows`` where there are very many
+    languages; features are made on the executors and each is a share of a whole
+    text's n-grams.
     """
     labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("key"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
     )
     counts = labelled.groupBy("lang").count()
-    shares = F.broadcast(counts.select("lang", F.least(F.lit(1.0), per_language / F.col("count")).alias("share")))
+    languages = counts.count()
+    wanted = min(per_language, max(1, sample_rows // max(1, languages)))
     # one row per language: as many as there are languages
+    shares = F.broadcast(counts.select("lang", F.least(F.lit(1.0), wanted / F.col("count")).alias("share")))
     draw = F.pmod(F.xxhash64("key"), F.lit(1 << 20)) < F.col("share") * (1 << 20)
     sample = labelled.join(shares, "lang").where(draw).select("text", "lang")
 
