@@ -2,9 +2,13 @@
 
 A sentence is toxic with probability sigmoid(bias + sum of its feature weights);
 the features of a word are the word and its beginnings (so that an inflected
-form not seen in training shares its stem's weight).  A document is toxic when any sentence is (noisy-or): 1 - prod(1 - p).  Weights are
-trained by gradient descent on the documents' labels alone, and the trained
-sentence scores then locate the offending sentences.
+form not seen in training shares its stem's weight).  A document is toxic when
+any sentence is (noisy-or): 1 - prod(1 - p).  Weights are trained by gradient
+descent on the documents' labels alone, and the trained sentence scores then
+locate the offending sentences.
+
+What nearly every sentence of clean documents has is background: probabilities
+are counted from there, so that a text does not become toxic by its length.
 """
 
 from __future__ import annotations
@@ -18,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orbiscope.llm.common import broadcast_value, crc32_mod, slices
+from orbiscope.llm.common import broadcast_value, crc32_mod, cut, slices
 
 #: Bounds of the training sample (labelled documents) and of the vocabulary.
 SAMPLE_DOCS = 12_000
@@ -31,6 +35,8 @@ BEGINNINGS = (3, 4, 5, 6)
 #: Relative learning rates of the beginnings and of whole words.
 STEM_PACE = {3: 1.0, 4: 1.0, 5: 0.5, 6: 0.25}
 WORD_PACE = 0.25
+#: The background is below all but this share of the sentences of clean training documents.
+ABOVE_BACKGROUND = 0.001
 #: A sentence at or above this probability is reported.
 SENTENCE_SCORE = 0.5
 
@@ -75,6 +81,7 @@ class Lookup(dict):
 class ToxicityModel:
     weights: dict[bytes, float]
     bias: float
+    background: float = 0.0
 
     def word_weights(self) -> Lookup:
         get = self.weights.get
@@ -83,7 +90,8 @@ class ToxicityModel:
     def sentence_scores(self, text: bytes | None, lookup: Lookup | None = None) -> np.ndarray:
         weight = (self.word_weights() if lookup is None else lookup).__getitem__
         z = np.array([sum(map(weight, s)) for s in sentences(text)], float) + self.bias
-        return 1 / (1 + np.exp(-np.clip(z, -50, 50)))
+        p = 1 / (1 + np.exp(-np.clip(z, -50, 50)))
+        return np.maximum(0, (p - self.background) / (1 - self.background))
 
 
 def noisy_or(p: np.ndarray) -> float:
@@ -136,8 +144,20 @@ def fit(
         m += 0.1 * (grad - m)
         v += 0.01 * (grad * grad - v)
         params -= rate * pace * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-10)
-    weights = {w: float(x) for w, x in zip(words, params[:-1], strict=True) if abs(x) > 0.05}
-    return ToxicityModel(weights, float(params[-1]))
+    params[:-1][np.abs(params[:-1]) <= 0.05] = 0
+    weights = {w: float(x) for w, x in zip(words, params[:-1], strict=True) if x}
+    return ToxicityModel(weights, float(params[-1]), background(params, entry_of, entry_word, sentence_doc, plain, y))
+
+
+def background(params, entry_of, entry_word, sentence_doc, plain, y) -> float:
+    """A sentence probability that all but ABOVE_BACKGROUND of the clean documents' sentences stay within.
+
+    At least that of a sentence without known words; far below SENTENCE_SCORE in any case.
+    """
+    z = np.bincount(entry_of, params[:-1][entry_word], minlength=len(sentence_doc))[y[sentence_doc] == 0] + params[-1]
+    above = max(1, int(ABOVE_BACKGROUND * (len(z) + plain[y == 0].sum())))
+    level = np.sort(z)[-above] if len(z) >= above else params[-1]
+    return float(min(0.1, 1 / (1 + np.exp(-max(level, params[-1])))))
 
 
 def train(
@@ -152,7 +172,7 @@ def train(
     """Fit on at most ``sample_docs`` labelled documents, drawn by a hash of the id.
 
     Labels other than 0 and 1 are left out; of several labels of one id the
-    largest counts.  The vocabulary holds the ``vocabulary`` features that
+    largest counts, of several texts of one id the first in order.  The vocabulary holds the ``vocabulary`` features that
     stand out most among toxic documents, given MIN_DOCS and MIN_SURPRISE.
     """
     sample = (
@@ -163,7 +183,8 @@ def train(
         .limit(sample_docs)
     )
     texts = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text"))
-    drawn = texts.join(F.broadcast(sample), "key").select("label", "text")  # sample_docs rows at most
+    # sample_docs rows at most, read once
+    drawn = cut(texts.join(F.broadcast(sample), "key").groupBy("key", "label").agg(F.min("text").alias("text")).drop("key"))
 
     def count(batches):
         known = Lookup(word_features)
