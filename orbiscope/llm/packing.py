@@ -6,8 +6,11 @@ form a pool.  For each next window a bitset subset-sum dynamic program finds the
 multiset of remaining tail lengths whose sum comes closest to the capacity:
 bit ``s`` of the set says whether some multiset of the lengths looked at so far
 sums to ``s``, and the sets after each step lead back to the counts that were
-taken.  When a pool runs out, the last window may stay partly empty; its tokens
-are cut into sequences of power-of-two lengths, which need no padding.
+taken.  What such a window still lacks is cut from the longest tail that
+remains, whose rest goes back to the pool; so a window costs one cut at most.
+When a pool runs out, the last window may stay partly empty; its tails move to
+the next pool, and at a partition's end they are cut into sequences of
+power-of-two lengths, which need no padding.
 
 Pools are independent: each holds at most ``pool_tails`` tails of one partition,
 so a task's memory is bounded and nothing is shuffled.
@@ -60,24 +63,39 @@ def fill_window(counts: dict[int, int], capacity: int) -> dict[int, int]:
     return taken
 
 
-def pack_lengths(lengths: list[int], capacity: int) -> list[list[int]]:
-    """Fill windows one after another; each is a list of positions in ``lengths`` (all within capacity)."""
-    pool: dict[int, list[int]] = {}
+def pack_lengths(lengths: list[int], capacity: int) -> list[list[tuple[int, int, int]]]:
+    """Fill windows one after another; each is a list of (position in ``lengths``, start, length).
+
+    All lengths are within the capacity.  Every window but the last one is full.
+    """
+    pool: dict[int, list[tuple[int, int]]] = {}
     for i in range(len(lengths) - 1, -1, -1):
         if lengths[i] > 0:
-            pool.setdefault(lengths[i], []).append(i)
+            pool.setdefault(lengths[i], []).append((i, 0))
     counts = {n: len(at) for n, at in pool.items()}
     windows = []
+
+    def take(n: int) -> tuple[int, int]:
+        counts[n] -= 1
+        if not counts[n]:
+            del counts[n]
+        return pool[n].pop()
+
     while counts:
         # the longest remaining tail opens the window, so hard ones don't pile up at the end
         first = max(counts)
-        counts[first] -= 1
-        taken = fill_window({n: c for n, c in counts.items() if c}, capacity - first) if capacity > first else {}
-        window = [pool[first].pop()]
-        for n, c in taken.items():
-            counts[n] -= c
-            window += [pool[n].pop() for _ in range(c)]
-        counts = {n: c for n, c in counts.items() if c}
+        window = [(*take(first), first)]
+        room = capacity - first
+        for n, c in fill_window(counts, room).items() if room else ():
+            window += [(*take(n), n) for _ in range(c)]
+            room -= n * c
+        if room and counts:
+            # every remaining tail is longer than the room, else the window would not be the closest one
+            n = max(counts)
+            i, start = take(n)
+            window.append((i, start, room))
+            pool.setdefault(n - room, []).append((i, start + room))
+            counts[n - room] = counts.get(n - room, 0) + 1
         windows.append(window)
     return windows
 
@@ -110,21 +128,22 @@ class _Packer:
                 self.flush(last=False)
 
     def flush(self, last: bool) -> None:
-        """Pack the pool.  Windows that stay open return to the pool, or are cut up at the end."""
-        windows = pack_lengths([len(t[2]) // 4 for t in self.tails], self.capacity)
+        """Pack the pool.  The window that stays open returns to the pool, or is cut up at the end."""
         left: list[tuple] = []
-        for window in windows:
-            used = sum(len(self.tails[i][2]) // 4 for i in window)
-            if used < self.capacity:
-                left += [self.tails[i] for i in window]
+        for window in pack_lengths([len(t[2]) // 4 for t in self.tails], self.capacity):
+            pieces = []
+            for i, at, n in window:
+                key, start, ids, total = self.tails[i]
+                pieces.append((key, start + at, ids[4 * at : 4 * (at + n)], total))
+            if sum(n for _, _, n in window) < self.capacity:
+                left = pieces  # the last one
                 continue
             offset = 0
-            for i in window:
-                key, start, ids, total = self.tails[i]
+            for key, start, ids, total in pieces:
                 self._emit(key, start, ids, total, self.next_sequence, offset)
                 offset += len(ids) // 4
             self.next_sequence += 1
-        if last or len(left) >= self.pool_tails:
+        if last:
             self._cut(left)
             left = []
         self.tails = left
