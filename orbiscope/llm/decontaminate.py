@@ -9,8 +9,8 @@ shingles.  Length and position bounds then drop candidates that would reach
 over either end of the document, and the survivors are compared word by word.
 
 The items are read in blocks of at most ``block_words`` words; a block's index
-is broadcast (its size is bounded by that parameter) and every block is held
-against all documents, so any number of items works.
+is broadcast (its size is bounded by that parameter, and checked) and every
+block is held against all documents, so any number of items works.
 """
 
 from __future__ import annotations
@@ -23,8 +23,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from orbiscope.llm.common import BITMAP_BITS, cut, slices, without_ids
+from orbiscope.llm.common import BITMAP_BITS, broadcast_value, cut, slices, without_ids
 
 #: Bytes that belong to words, lower-cased; every other byte becomes a blank.
 WORD_BYTES = bytes(
@@ -32,8 +33,15 @@ WORD_BYTES = bytes(
 )
 
 
-#: What is found in one document row.
-HITS = "n_words long, n_hit long, starts array<long>, lengths array<long>, items array<long>"
+#: Bytes of a block's index that may be broadcast; a block of BLOCK_WORDS words needs a fraction of it.
+INDEX_BYTES = 512 << 20
+BLOCK_WORDS = 250_000
+
+
+def hits_schema(items: DataFrame, id_col: str) -> str:
+    """The columns of what is found in one document row."""
+    kind = items.schema[id_col].dataType.simpleString()
+    return f"n_words long, n_hit long, starts array<long>, lengths array<long>, items array<{kind}>"
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -124,18 +132,25 @@ class WindowIndex:
                     yield start, len(w), items
 
 
-def item_blocks(items: DataFrame, id_col: str, text_col: str, block_words: int) -> Iterator[list[tuple[int, bytes]]]:
-    """Items in blocks of bounded size, through the driver one partition at a time."""
-    block: list[tuple[int, bytes]] = []
+def item_blocks(
+    items: DataFrame, id_col: str, text_col: str, block_words: int, window: int
+) -> Iterator[list[tuple[object, bytes]]]:
+    """Items in blocks of at most ``block_words`` words, through the driver one partition at a time.
+
+    A longer item comes in parts that overlap by a window less a word, which have the same windows.
+    """
+    block: list[tuple[object, bytes]] = []
     words = 0
     for row in items.select(F.col(id_col), F.col(text_col)).dropna().toLocalIterator():
-        text = row[1].encode()
-        n = len(words_of(text))
-        if block and words + n > block_words:
-            yield block
-            block, words = [], 0
-        block.append((row[0], text))
-        words += n
+        found = words_of(row[1].encode())
+        step = max(1, block_words - window + 1)
+        for a in range(0, max(1, len(found) - window + 1), step):
+            part = found[a : a + step + window - 1]
+            if block and words + len(part) > block_words:
+                yield block
+                block, words = [], 0
+            block.append((row[0], b" ".join(part)))
+            words += len(part)
     yield block
 
 
@@ -153,7 +168,7 @@ def _count_kernel(index):
     return count
 
 
-def _hit_kernel(index, first: bool):
+def _hit_kernel(index, first: bool, item_kind: pa.DataType):
     def find(batches):
         for batch in batches:
             at_text = batch.num_columns - 1  # after the columns that name the row
@@ -186,7 +201,7 @@ def _hit_kernel(index, first: bool):
                         pa.array(n_hit, pa.int64()),
                         pa.array(starts, longs),
                         pa.array(lengths, longs),
-                        pa.array(items, longs),
+                        pa.array(items, pa.list_(item_kind)),
                     ],
                     names=[*batch.schema.names[:at_text], "n_words", "n_hit", "starts", "lengths", "items"],
                 )
@@ -212,7 +227,7 @@ def find_overlap(
     item_text_col: str = "text",
     window: int = 10,
     shingle: int = 3,
-    block_words: int = 250_000,
+    block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
     """(key, n_words, n_hit, starts, lengths, items) per document row.
 
@@ -229,14 +244,15 @@ def find_overlap(
     """
     keyed = docs.select(F.col(id_col).alias("key"), F.col(text_col))
     key_type = keyed.schema["key"].dataType.simpleString()
-    schema = f"key {key_type}, {HITS}"
+    schema = f"key {key_type}, {hits_schema(items, item_id_col)}"
+    item_kind = to_arrow_type(items.schema[item_id_col].dataType)
     parts: list[DataFrame] = []
     for index, last in _indexes(docs.select(F.col(text_col)), items, item_id_col, item_text_col, window, shingle, block_words):
         if not parts:
             if last:
-                return keyed.mapInArrow(_hit_kernel(index, first=True), schema)
+                return keyed.mapInArrow(_hit_kernel(index, True, item_kind), schema)
             rows = _numbered(keyed).select("_row", "key", F.col(text_col))
-        parts.append(cut(rows.mapInArrow(_hit_kernel(index, first=not parts), f"_row long, {schema}")))
+        parts.append(cut(rows.mapInArrow(_hit_kernel(index, not parts, item_kind), f"_row long, {schema}")))
     return _merge(parts)
 
 
@@ -244,8 +260,8 @@ def _indexes(texts: DataFrame, items: DataFrame, id_col: str, text_col: str, win
     """(broadcast index, whether it is the last) of every block of items; each counts its shingles in all documents."""
     if (block_words + 1) ** shingle >= 1 << 64:
         raise ValueError("block_words ** shingle must stay below 2 ** 64")
-    sc = texts.sparkSession.sparkContext
-    blocks = item_blocks(items, id_col, text_col, block_words)
+    spark = texts.sparkSession
+    blocks = item_blocks(items, id_col, text_col, block_words, window)
     block = next(blocks)
     while block is not None:
         following = next(blocks, None)
@@ -253,7 +269,7 @@ def _indexes(texts: DataFrame, items: DataFrame, id_col: str, text_col: str, win
         for item, text in block:
             index.add(item, text)
         index.close()
-        shared = sc.broadcast(index)
+        shared = broadcast_value(spark, index, INDEX_BYTES, "block of items")
         counted = (
             texts.mapInArrow(_count_kernel(shared), "code long, n long")
             .groupBy("code")
@@ -261,7 +277,8 @@ def _indexes(texts: DataFrame, items: DataFrame, id_col: str, text_col: str, win
         )
         # at most one row for each shingle of this block of items
         index.choose({row.code % (1 << 64): row.n for row in counted.toLocalIterator()})
-        yield sc.broadcast(index), following is None
+        shared.destroy()
+        yield broadcast_value(spark, index, INDEX_BYTES, "block of items"), following is None
         block = following
 
 
@@ -327,7 +344,7 @@ def drop_contaminated(
     text_col: str = "text",
     window: int = 10,
     shingle: int = 3,
-    block_words: int = 250_000,
+    block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
     """The rows of ``docs`` without any hit, all columns kept.  Null and empty texts stay.
 
@@ -351,10 +368,10 @@ def drop_contaminated(
         return docs.mapInArrow(clean, docs.schema)
     rows = _numbered(docs)
     texts = rows.select("_row", F.col(text_col))
-    hit = cut(texts.mapInArrow(_hit_kernel(index, first=False), f"_row long, {HITS}").select("_row"))
+    schema, item_kind = f"_row long, {hits_schema(items, 'item_id')}", to_arrow_type(items.schema["item_id"].dataType)
+    hit = cut(texts.mapInArrow(_hit_kernel(index, False, item_kind), schema).select("_row"))
     for index, _ in indexes:
-        found = texts.mapInArrow(_hit_kernel(index, first=False), f"_row long, {HITS}").select("_row")
-        hit = hit.unionByName(cut(found))
+        hit = hit.unionByName(cut(texts.mapInArrow(_hit_kernel(index, False, item_kind), schema).select("_row")))
     return without_ids(rows, hit, "_row").drop("_row")
 
 
