@@ -95,7 +95,7 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     ),
     "Proprietary": ("All rights reserved.", "Proprietary and confidential. Unauthorized copying of this file is strictly prohibited."),
 }
-#: Words near one of these are candidates (every template line has one).
+#: Words near one of these are candidates.  A given template line without one brings anchors of its own.
 ANCHOR = re.compile(
     rb"licen[sc]|rights\W+reserved|copyright|\bcc\W*(?:by|0)|public\W+domain|permission|redistribut|warrant|proprietary", re.I
 )
@@ -129,6 +129,10 @@ class Templates:
         self.lines = [(n, words) for n, words in split if words]
         self.reach = int(max((len(w) for _, w in self.lines), default=0) * (1 + MAX_DIFFERENCE)) + 1
         self._counts = [Counter(w) for _, w in self.lines]
+        self.anchor = ANCHOR
+        if own := {w.encode() for name, lines in self.templates.items() for line in lines for w in own_anchors(line)}:
+            words = rb"|".join(rb"(?<!\w)" + re.escape(w) + rb"(?!\w)" for w in sorted(own))
+            self.anchor = re.compile(ANCHOR.pattern + rb"|" + words, re.I)
 
     def compressors(self):
         if not self._ready:
@@ -226,10 +230,10 @@ class Templates:
 
     def scan(self, text: bytes | None) -> list[Notice]:
         """The notices of a text, in order of their start, without overlaps."""
-        if not text or ANCHOR.search(text) is None:
+        if not text or self.anchor.search(text) is None:
             return []
         out: list[Notice] = []
-        for start, end in candidate_blocks(text, self.reach):
+        for start, end in candidate_blocks(text, self.reach, self.anchor):
             block = text[start:end].decode("utf-8", "replace")
             found = [(m[0].lower(), m.start(), m.end()) for m in WORD.finditer(block)]
             words = [w for w, _, _ in found]
@@ -266,9 +270,17 @@ class Templates:
         return sorted(out, key=lambda n: n.start)
 
 
-def candidate_blocks(text: bytes, reach: int) -> Iterator[tuple[int, int]]:
+def own_anchors(line: str) -> list[str]:
+    """Words of a template line without an anchor, its longest ones, one of which each of its notices must have."""
+    words = sorted((m[0] for m in WORD.finditer(line)), key=lambda w: (-len(w), w))
+    if ANCHOR.search(line.encode()) or not words:
+        return []
+    return words[: int(MAX_DIFFERENCE * len(words)) + 1]
+
+
+def candidate_blocks(text: bytes, reach: int, anchor: re.Pattern[bytes] = ANCHOR) -> Iterator[tuple[int, int]]:
     """Byte ranges of the words at most ``reach`` words away from an anchor; ranges that meet are one."""
-    anchors = [m.start() for m in ANCHOR.finditer(text)]
+    anchors = [m.start() for m in anchor.finditer(text)]
     bounds = [0, *(m.end() for m in re.finditer(rb"\W+", text)), len(text)]
     spans: list[list[int]] = []
     for a in anchors:
