@@ -36,6 +36,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder and cut its lineage."""
     ensure_checkpoint_dir(df.sparkSession)

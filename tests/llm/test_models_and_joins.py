@@ -7,6 +7,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from orbiscope.llm import common, components, html_text, jaccard_join, langid, topk_search, toxicity
 
@@ -73,6 +74,49 @@ def test_toxicity_query(spark, docs, sf_dir):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in got)
 
 
+def plain_toxicity(model, text):
+    """The score by the definition, with strings and products."""
+    import math
+    import re
+
+    found = []
+    for sentence in re.split(r"[.!?\n]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")):
+        words = re.findall(r"[a-z0-9\u0080-\U0010ffff]+", sentence)
+        if words:
+            features = [f for w in words for f in [w, *(w[:n] + "*" for n in toxicity.BEGINNINGS if len(w) >= n)]]
+            p = 1 / (1 + math.exp(-model.bias - sum(model.weights.get(f.encode(), 0.0) for f in features)))
+            found.append(max(0.0, (p - model.background) / (1 - model.background)))
+    return 1 - math.prod(1 - p for p in found), [i for i, p in enumerate(found) if p >= toxicity.SENTENCE_SCORE]
+
+
+def test_scores_match_a_plain_program(spark, docs, sf_dir):
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    assert model.weights and 0 < model.background <= 0.1
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in toxicity.score(docs, model).collect():
+        score, bad = plain_toxicity(model, texts[r.doc_id])
+        assert abs(r.score - score) < 1e-6 and [s.sentence for s in r.sentences] == bad
+
+
+def test_length_alone_is_not_toxic(spark):
+    rows, labels = made_corpus(600)
+    model = toxicity.train(spark.createDataFrame([(i, t) for i, t, _ in rows], DOCS), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    clean = [t for (_, t, at), _ in zip(rows, labels, strict=True) if at is None]
+    neutral, long = "nothing is here. " * 20_000, " ".join(clean * (20_000 // sum(t.count(".") for t in clean) + 1))
+    texts = [neutral, long, neutral + "a zorgly word. " + neutral]
+    got = {r.doc_id: r for r in toxicity.score(spark.createDataFrame(list(enumerate(texts)), DOCS), model).collect()}
+    assert long.count(".") >= 20_000 and got[0].score < 0.5 and got[1].score < 0.5
+    assert got[2].score >= 0.5 and [x.sentence for x in got[2].sentences] == [20_000]
+
+
+def test_repeated_ids_do_not_grow_the_sample(spark):
+    rows, labels = made_corpus(60)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows] * 5 + [(i, None) for i in range(60)], DOCS)
+    once = spark.createDataFrame([(i, t) for i, t, _ in rows], DOCS)
+    table = spark.createDataFrame(labels, "doc_id long, toxic int")
+    assert toxicity.train(docs, table) == toxicity.train(once, table)
+
+
 @pytest.mark.parametrize("labels", [[], [(1, 0)], [(1, 1)], [(1, None), (None, 1), (2, 7)]])
 def test_toxicity_without_two_classes(spark, labels):
     docs = spark.createDataFrame([(1, "a b"), (2, None), (None, ""), (1, "a b")], DOCS)
@@ -119,6 +163,62 @@ def test_margins_of_a_batch_are_those_of_each_text():
     assert np.allclose(together, np.concatenate([model.margins([t]) for t in texts]), atol=1e-5)
 
 
+def plain_language(model, text):
+    """The prediction by the definition, one n-gram at a time."""
+    import math
+    import re
+
+    letters = re.sub("[A-Z]", lambda m: m[0].lower(), text)
+    raw = (" " + " ".join(re.findall(r"[a-z\u0080-\U0010ffff]+", letters)) + " ").encode()
+    total, count = np.zeros(len(model.bias)), 0
+    for n in langid.ORDERS:
+        for a in range(len(raw) - n + 1):
+            code = n
+            for byte in raw[a : a + n]:
+                code = (code << 8 | byte) % 2**32
+            total += model.weights[(code * 2654435761 % 2**32) >> 17]
+            count += 1
+    margins = total / max(1, count) + model.bias
+    loss = [
+        len(margins) * sum(t * math.log1p(math.exp(-c * m)) for t, c, m in zip(trust, code, margins, strict=True))
+        for trust, code in zip(model.trust, model.code, strict=True)
+    ]
+    share = np.exp(min(loss) - np.array(loss))
+    return model.languages[int(share.argmax())], float(share.max() / share.sum())
+
+
+def test_predictions_match_a_plain_program(spark, docs):
+    model = langid.train(docs)
+    texts = {r.doc_id: r.text for r in docs.collect() if any(map(str.isalpha, r.text or "")) and len(r.text) < 4000}
+    got = {r.doc_id: r for r in langid.predict(docs, model).collect()}
+    for i in sorted(texts)[::3]:
+        lang, score = plain_language(model, texts[i])
+        assert got[i].lang_pred == lang and abs(got[i].score - score) < 1e-4
+
+
+def test_long_texts_are_looked_at_in_slices(monkeypatch):
+    rng = np.random.default_rng(4)
+    model = langid.LanguageModel(["a", "b"], langid.codewords(2), rng.normal(size=(langid.BUCKETS, 1)).astype(np.float32), np.zeros(1), np.ones((2, 1)))
+    texts = [b"the quick brown fox " * 40, "été à la mer, ".encode() * 30, b"a", b"x" * 333, b"-" * 500]
+    whole = model.margins(texts)
+    for size in (7, 64, 256):
+        monkeypatch.setattr(langid, "SLICE", size)
+        assert np.allclose(model.margins(texts), whole, atol=1e-5)
+        at, share = langid.features(texts[0])
+        assert np.isclose(share.sum(), 1, atol=1e-5)
+
+
+def test_memory_of_very_long_texts():
+    import tracemalloc
+
+    model = langid.LanguageModel(["a", "b"], langid.codewords(2), np.ones((langid.BUCKETS, 7), np.float32), np.zeros(7), np.ones((2, 7)) / 7)
+    text = b"some Words, here " * 1_000_000
+    tracemalloc.start()
+    model.margins([text])
+    assert tracemalloc.get_traced_memory()[1] < 5 * len(text)
+    tracemalloc.stop()
+
+
 def test_language_edges(spark):
     rows = [(0, None, "en"), (1, "", "en"), (2, "12 !?", None), (3, "the cat", "en"), (4, "le chat", "fr"), (4, "le chat", "fr"), (None, "漢字", None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
@@ -147,6 +247,20 @@ def test_rows_stay_when_no_language_is_learned(spark):
 def test_tree_fits_its_table():
     tree = html_text.article_tree()
     assert all(tree.predict(r[:-1]) == r[-1] for r in html_text.LABELLED)
+    assert 60 < len(html_text.LABELLED) < 200
+
+
+def test_neighbours_tell_where_nothing_else_does(spark, sf_dir):
+    """Blocks of pages whose containers are ignored: the tree against one that looks at a block alone."""
+    own = html_text.DecisionTree([(*r[:2], *r[6:9]) for r in html_text.LABELLED], [r[-1] for r in html_text.LABELLED])
+    tree, n, by_tree, by_own = html_text.article_tree(), 0, 0, 0
+    for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect():
+        blocks = html_text.text_blocks(r.html)
+        for b, f in zip(blocks, html_text.block_features(blocks), strict=True):
+            n += 1
+            by_tree += tree.predict((*f[:6], 0.0, 0.0, f[8])) == int(b.article and not b.enclosed)
+            by_own += own.predict((*f[:2], 0.0, 0.0, f[8])) == int(b.article and not b.enclosed)
+    assert by_tree / n > 0.9 and by_tree > by_own + 0.05 * n
 
 
 PAGES = [
@@ -175,6 +289,104 @@ def test_main_text(html, want):
     assert html_text.main_text(html) == want
 
 
+def plain_blocks(html):
+    """Blocks of a page by the standard library's parser: (text, words, words in links, enclosed, in article, in heading)."""
+    from html.parser import HTMLParser
+
+    blocks, stack, parts = [], [], []
+
+    def close():
+        text = " ".join("".join(t for t, _ in parts).split())
+        if text:
+            linked = len(" ".join(t for t, a in parts if a).split())
+            words = len(text.split(" "))
+            flags = [any(f[k] for _, f in stack) for k in range(3)]
+            blocks.append((text, words, min(1.0, linked / words), *flags))
+        parts.clear()
+
+    class Reader(HTMLParser):
+        skipped = 0
+
+        def handle_starttag(self, name, attrs):
+            if name in html_text.SKIPPED:
+                self.skipped += 1
+                return
+            if name not in html_text.INLINE:
+                close()
+            if name == "br":
+                parts.append((" ", False))
+            if name in html_text.VOID:
+                return
+            if name not in html_text.INLINE:
+                while stack and (stack[-1][0] == "p" or stack[-1][0] == name and name in html_text.CLOSED_BY_SIBLING):
+                    stack.pop()
+            names = {w for k, v in attrs if k in ("class", "id") for w in html_text.NAME.findall((v or "").lower())}
+            inside = any(f[1] for _, f in stack)
+            named = name not in ("html", "body", "article", "main") and bool(names & html_text.BOILERPLATE_NAMES)
+            bad = name in html_text.BOILERPLATE or name == "header" and not inside or named
+            stack.append((name, (bad, name in html_text.ARTICLE, name in html_text.HEADINGS)))
+
+        def handle_endtag(self, name):
+            if name in html_text.SKIPPED:
+                self.skipped -= 1
+                return
+            if name not in html_text.INLINE:
+                close()
+            if name in [n for n, _ in stack]:
+                while stack.pop()[0] != name:
+                    pass
+
+        def handle_data(self, data):
+            if not self.skipped:
+                parts.append((data, any(n == "a" for n, _ in stack)))
+
+    reader = Reader(convert_charrefs=True)
+    reader.feed(html)
+    reader.close()
+    close()
+    return blocks
+
+
+def random_page(rng):
+    """Well-formed markup without attributes that hide."""
+    words = ["one", "two", "été", "a &amp; b", "&lt;x&gt;", "more  words\nhere", "漢字"]
+
+    def inside(depth):
+        out = []
+        for _ in range(rng.randint(0, 5)):
+            name = rng.choice("p div span b a ul li h2 article section nav aside footer header em table td script".split())
+            kind = rng.choice(["", "", "", ' class="ad x"', ' id="main-text"', " class='comments'", ' title="a > b"'])
+            if name == "script":
+                out.append("<script>var a = '<p>';</script>")
+            elif depth and rng.random() < 0.6:
+                out.append(f"<{name}{kind}>{inside(depth - 1)}</{name}>")
+            else:
+                out.append(rng.choice(["", " "]) + " ".join(rng.choice(words) for _ in range(rng.randint(1, 6))) + rng.choice(["", "<br>", "<!-- x -->", "<hr>"]))
+        return "".join(out)
+
+    return f"<html><body>{inside(4)}</body></html>"
+
+
+def test_blocks_match_the_parser_of_the_standard_library(spark, sf_dir):
+    rng = random.Random(11)
+    pages = [r.html for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()] + [random_page(rng) for _ in range(400)]
+    for html in pages:
+        got = [(b.text, b.words, b.links, b.enclosed, b.article, b.heading) for b in html_text.text_blocks(html)]
+        assert got == plain_blocks(html), html
+
+
+@pytest.mark.parametrize(
+    "html",
+    ["<b>" * 60_000 + "x" + "</i>" * 60_000, "<svg>" * 100_000, "<a" * 100_000, "<p " * 100_000, '<a "' * 100_000, "<p>" * 100_000, "<script>" * 9 + "</" * 100_000, "&" * 200_000],
+)
+def test_bad_markup_costs_its_length(html):
+    import time
+
+    began = time.perf_counter()
+    html_text.main_text(html)
+    assert time.perf_counter() - began < 20
+
+
 def test_unmarked_pages_go_by_words_and_links():
     body = " ".join(["word"] * 40)
     html = f"<div><a href=a>Home</a> <a href=b>News</a></div><h1>Title of it</h1><div>{body}</div><div>{body}</div><div><a href=c>More</a></div>"
@@ -328,9 +540,7 @@ def test_search_matches_sql(spark, sf_dir, same_rows):
 
 
 @pytest.mark.parametrize("kind", ["normal", "ties", "sparse", "huge"])
-def test_search_is_exact(spark, monkeypatch, kind):
-    monkeypatch.setattr(topk_search, "BLOCK_ROWS", 64)
-    monkeypatch.setattr(topk_search, "QUERY_BLOCK", 3)
+def test_search_is_exact(spark, kind):
     rng = np.random.default_rng(4)
     made = {
         "normal": rng.normal(size=(400, 8)),
@@ -340,7 +550,38 @@ def test_search_is_exact(spark, monkeypatch, kind):
     }[kind]
     rows = [(i, [float(np.float32(x)) for x in v]) for i, v in enumerate(made)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(2)
-    assert as_dict(topk_search.search_query(df)) == plain_topk(rows)
+    found = topk_search.search(df, F.col("vec_id") % 50 == 0, block_rows=64, query_bytes=100)
+    assert as_dict(found) == as_dict(topk_search.search_query(df)) == plain_topk(rows)
+
+
+def test_reading_stops_early_on_skewed_vectors():
+    rng = np.random.default_rng(7)
+    n, d = 2000, 32
+    vectors = np.floor(256 * rng.normal(size=(n, d)) * 0.75 ** np.arange(d))  # a few components carry the scores
+    ids = np.arange(n)
+    block = topk_search.SortedBlock(ids, vectors)
+    queries = range(0, n, 50)
+    bounds = topk_search.first_bounds([int(i) for i in queries], [vectors[i].astype(np.int64) for i in queries], 5)
+    early = 0
+    for q, bound in zip(queries, bounds, strict=True):
+        before = block.read
+        found = block.best(q, vectors[q], 5, int(bound))
+        early += block.read - before < n * d
+        score = vectors @ vectors[q]
+        want = sorted((-int(score[i]), i) for i in ids if i != q)[:5]
+        assert sorted((-s, i) for s, i in found) == want
+    assert early >= 0.9 * len(queries) and block.read < 0.6 * n * d * len(queries)
+    assert block.resolved < 0.05 * n * len(queries)
+
+
+def test_a_query_id_in_several_rows_is_searched_once(spark, duck):
+    rows = [(0, [1.0, 2.0]), (0, [1.0, 1.0]), (1, [1.0, 1.0]), (1, [2.0, 1.0]), (2, [0.0, 3.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    want = [(0, 1, 1, 3 * 65536), (0, 2, 2, 3 * 65536), (0, 3, 1, 2 * 65536)]
+    assert sorted(map(tuple, topk_search.search_query(df).collect())) == want
+    duck.register("repeated", df.toArrow())
+    found = duck.execute(topk_search.ORACLE.replace("FROM embeddings", "FROM repeated")).fetchall()
+    assert sorted(found) == want
 
 
 def test_search_edges(spark):

@@ -194,6 +194,19 @@ def test_rows_that_share_an_id_stay_apart(spark, block_words):
     )
 
 
+def test_item_ids_of_any_type_and_items_beyond_a_block(spark):
+    long = " ".join(f"w{i}" for i in range(60))
+    items = [("b", long), ("a", "b c"), ("c", "w30 w31")]
+    texts = [long, "x " + " ".join(f"w{i}" for i in range(20, 41)) + " y b c", "w30 w31", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), DOCS)
+    table = spark.createDataFrame(items, "item_id string, text string")
+    for block_words in (1_000_000, 25, 12):
+        got = decontaminate.find_overlap(docs, table, block_words=block_words).collect()
+        assert sorted((r.key, r.n_words, r.n_hit, r.items) for r in got) == [(i, *plain_overlap(t, items)) for i, t in enumerate(texts)]
+        assert decontaminate.digest_query(docs, table).where("n_items > 0").count() == 3
+        assert [r.text for r in decontaminate.drop_contaminated(docs, table, block_words=block_words).collect()] == [None]
+
+
 @pytest.mark.parametrize("block_words", [1_000_000, 3])
 def test_dropping_keeps_clean_rows_whole(spark, block_words):
     items = spark.createDataFrame([(1, "ipsum lorem ipsum"), (2, "b c")], "item_id long, text string")
@@ -289,14 +302,39 @@ def test_fill_window_is_closest():
         assert sum(n * c for n, c in taken.items()) == max(s for s in sums if s <= capacity)
 
 
-def test_pack_lengths_uses_each_once():
-    rng = random.Random(5)
-    lengths = [rng.randint(0, 100) for _ in range(300)]
+@pytest.mark.parametrize("lengths", [[random.Random(5).randint(0, 100) for _ in range(300)], [60] * 200, [100] * 5, [99, 1, 98], []])
+def test_pack_lengths_uses_each_token_once(lengths):
     windows = packing.pack_lengths(lengths, 100)
-    used = sorted(i for w in windows for i in w)
-    assert used == [i for i, n in enumerate(lengths) if n > 0]
-    assert all(sum(lengths[i] for i in w) <= 100 for w in windows)
-    assert len(windows) <= 1.15 * sum(lengths) / 100
+    taken = defaultdict(list)
+    for w in windows:
+        for i, start, n in w:
+            assert n > 0
+            taken[i].append((start, n))
+    for i, n in enumerate(lengths):
+        at = 0
+        for start, part in sorted(taken[i]):
+            assert start == at
+            at += part
+        assert at == n
+    sizes = [sum(n for _, _, n in w) for w in windows]
+    assert all(n == 100 for n in sizes[:-1]) and all(0 < n <= 100 for n in sizes)
+    # one cut a window at most
+    assert sum(len(parts) for parts in taken.values()) <= sum(n > 0 for n in lengths) + len(windows)
+
+
+def test_windows_without_a_full_multiset_are_topped_up():
+    packer = packing._Packer(0, 100, 4096)
+    for key in range(200):
+        packer.add(key, np.full(60, key, "<u4").tobytes())
+    packer.flush(last=True)
+    rows = packer.take()
+    assert sum(r[2] for r in rows) == 200 * 60
+    sequences, pieces = defaultdict(int), defaultdict(int)
+    for key, _, n, _, _, sequence, _ in rows:
+        sequences[sequence] += n
+        pieces[key] += 1
+    assert set(sequences.values()) == {100} and len(sequences) == 120
+    assert sum(n > 1 for n in pieces.values()) <= 120 and max(pieces.values()) == 2
 
 
 def test_ids_agree_with_the_tokenizer(tokenizer):
@@ -376,6 +414,14 @@ def test_notice_among_words_of_other_licenses():
     assert notice.license == "CC-BY-NC-4.0" and text[notice.start : notice.end] == "Licensed under CC BY-NC 4.0"
 
 
+def test_given_templates_without_usual_words():
+    line = "Feel free to reuse everything in here as long as our mascot is thanked"
+    scanner = licenses.Templates({"Mascot": (line, "ok to go"), "MIT": licenses.TEMPLATES["MIT"]})
+    text = f"Words. {line.replace('mascot', 'parrot')}! More words, ok to go. Released under the MIT License."
+    assert [n.license for n in scanner.scan(text.encode())] == ["Mascot", "Mascot", "MIT"]
+    assert scanner.scan(b"nothing of the kind here") == []
+
+
 def test_license_query(spark, docs, texts):
     got = {r.doc_id: set(filter(None, r.licenses.split(","))) for r in licenses.scan_query(docs).collect()}
     lines = {
@@ -475,6 +521,31 @@ def test_masking(spark):
     assert [r.text for r in masked.orderBy("doc_id").collect()] == ["mail <EMAIL> now", "none", None, "", "IBAN <IBAN> x"]
 
 
+def test_texts_with_very_many_spans(spark):
+    rng = random.Random(9)
+    kinds = [lambda: f"u{rng.randrange(99)}@b.io", lambda: "10.0.0.%d" % rng.randrange(300), lambda: "+1 555 123 45%02d" % rng.randrange(99), lambda: "4111 1111 1111 1111", lambda: "wörd😀 " * rng.randint(0, 60)]
+    texts = [rng.choice(["; ", "\n", " , "]).join(rng.choice(kinds)() for _ in range(n)) for n in (1, 31, 32, 33, 1023, 1025, 3000)]
+    df = spark.createDataFrame(list(enumerate(texts)), DOCS)
+    got = {r.doc_id: r for r in pii.digest_query(df).collect()}
+    masked = {r.doc_id: r.text for r in pii.mask_pii(df).collect()}
+    for i, t in enumerate(texts):
+        assert got[i].base_sha256 == hashlib.sha256(plain_spans(t).encode()).hexdigest()
+        spans = [(int(a), int(b), k) for k, a, b in (x.split(":") for x in got[i].spans.split(",") if x)]
+        out, past = [], 0
+        for a, b, k in spans:
+            if a >= past:
+                out.append(t[past:a] + f"<{k.upper()}>")
+            past = max(past, b)
+        assert masked[i] == "".join(out) + t[past:]
+
+
+def test_context_is_what_stands_near(spark):
+    far = "x" * 200
+    rows = [f"{far} visa 4111111111111111", f"visa {far} 4111111111111111", f"4111111111111111 isbn {far}", "1" * 47 + " tel", "123-45-6789 " + "y" * 44 + " ssn", "123-45-6789 " + "y" * 40 + " ssn"]
+    got = {r.doc_id: r.scores for r in pii.digest_query(spark.createDataFrame(list(enumerate(rows)), DOCS)).collect()}
+    assert got == {0: "1.0", 1: "0.8", 2: "0.6", 3: "", 4: "", 5: "0.6"}
+
+
 def test_pii_stays_in_the_jvm(spark, docs):
     plan = pii.digest_query(docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
