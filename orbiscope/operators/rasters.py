@@ -62,14 +62,23 @@ def pack_values(values: Column, test: Callable[[Column], Column]) -> Column:
 
 
 def unpack(df: DataFrame, keys: list[str], column: str = "mask") -> DataFrame:
-    """Pixel rows (keys, y, x) of the foreground.  Stays inside Catalyst."""
-    text = F.hex(F.col(column))
-    lit_at = F.filter(
-        F.sequence(F.lit(0), F.col("height") * F.col("width") - 1),
-        lambda i: F.substring(text, i * 2 + 1, F.lit(2)) != "00",
-    )
-    found = df.where(F.col("height") * F.col("width") > 0).select(*keys, "width", F.explode(lit_at).alias("i"))
-    return found.select(*keys, F.floor(F.col("i") / F.col("width")).cast("int").alias("y"), (F.col("i") % F.col("width")).cast("int").alias("x"))
+    """Pixel rows (keys, y, x) of the foreground; a null mask has none.  Map-side, linear in the raster's size."""
+    rows = df.select(*keys, "width", F.col(column).alias("_mask"))
+    schema = T.StructType([*rows.schema.fields[: len(keys)], *T.StructType.fromDDL("y int, x int").fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            widths, masks = batch.column(len(keys)).to_pylist(), batch.column(len(keys) + 1)
+            for i in range(batch.num_rows):  # one raster's pixels at a time
+                mask = masks[i].as_buffer()
+                if mask is None or not widths[i]:
+                    continue
+                y, x = np.divmod(np.flatnonzero(np.frombuffer(mask, np.uint8)), widths[i])
+                at = pa.array(np.full(len(y), i), pa.int64())
+                key = [batch.column(c).take(at) for c in range(len(keys))]
+                yield pa.record_batch([*key, pa.array(y, pa.int32()), pa.array(x, pa.int32())], names=schema.names)
+
+    return rows.mapInArrow(run, schema)
 
 
 def pack(px: DataFrame, keys: list[str], height: int, width: int) -> DataFrame:
@@ -126,6 +135,35 @@ def measures(df: DataFrame) -> DataFrame:
     return with_kernel(df, one, ["mask", "height", "width"], "area long, ratio double, components int")
 
 
+def fold_masks(df: DataFrame, keys: list[str], column: str, whole: bool = False) -> DataFrame:
+    """The union of each key's masks within a batch, or with ``whole`` within a partition; null masks are left out.
+
+    A partition is held as one mask per key; rows of a key must lie in one partition for a whole union.
+    """
+    rows = df.select(*keys, column).where(F.col(column).isNotNull())
+    schema = rows.schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, np.ndarray] = {}
+
+        def out() -> pa.RecordBatch:
+            made = [*([k[c] for k in held] for c in range(len(keys))), [m.tobytes() for m in held.values()]]
+            held.clear()
+            return pa.record_batch([pa.array(c, f.type) for c, f in zip(made, kinds, strict=True)], schema=kinds)
+
+        kinds = to_arrow_schema(schema)
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in range(len(keys) + 1)]
+            for *key, mask in zip(*columns, strict=True):
+                new, old = np.frombuffer(mask, np.uint8), held.get(tuple(key))
+                held[tuple(key)] = new if old is None else np.maximum(old, new)
+            if not whole:
+                yield out()
+        yield out()
+
+    return rows.mapInArrow(run, schema)
+
+
 # --- several masks of a frame, or of its neighbours ------------------------------------------------------------------
 
 

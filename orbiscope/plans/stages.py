@@ -128,28 +128,15 @@ def projection_status(normalized: DataFrame) -> DataFrame:
 
 
 def union_masks(masks: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """Pixel-wise maximum of packed masks of one key; masks of a key have one shape.
+    """Pixel-wise maximum of packed masks of one key and shape.
 
-    The union runs as a tree of partial aggregates: bits are OR-ed in blocks of
-    62 pixels, so masks combine before the shuffle.
+    Masks of a batch are united before the shuffle, what is left of each key after it.
     """
-    chunk = 62
-    cells = F.transform(
-        F.sequence(F.lit(0), F.floor((F.col("height") * F.col("width") - 1) / chunk).cast("int")),
-        lambda i: F.struct(i.alias("at"), F.substring(F.hex("mask"), i * 2 * chunk + 1, F.lit(2 * chunk)).alias("text")),
-    )
-    bits = F.conv(F.translate(F.regexp_replace("text", "([0-9A-F])[0-9A-F]", "$1"), "123456789ABCDEF", "1" * 15), 2, 10).cast("long")
-    parts = masks.select(*keys, "height", "width", F.explode(cells).alias("c")).select(
-        *keys, "height", "width", F.col("c.at").alias("at"), F.char_length("c.text").alias("n"), F.col("c.text").alias("text")
-    )
-    ored = parts.select(*keys, "height", "width", "at", (F.col("n") / 2).cast("int").alias("n"), bits.alias("bits"))
-    merged = ored.groupBy(*keys, "height", "width", "at").agg(F.max("n").alias("n"), F.expr("bit_or(bits)").alias("bits"))
-    text = F.lpad(F.bin("bits"), F.col("n"), F.lit("0"))
-    whole = merged.select(*keys, "height", "width", "at", F.translate(text, "01", "0F").alias("nibbles")).groupBy(*keys, "height", "width").agg(
-        F.array_sort(F.collect_list(F.struct("at", "nibbles"))).alias("parts")
-    )
-    joined = F.array_join(F.transform("parts", lambda p: p["nibbles"]), "")
-    return whole.select(*keys, "height", "width", F.unhex(F.regexp_replace(joined, "(.)", "$1$1")).alias(name))
+    from orbiscope.operators.rasters import fold_masks
+
+    by = [*keys, "height", "width"]
+    rows = masks.select(*by, F.col("mask").alias(name))
+    return fold_masks(fold_masks(rows, by, name).repartition(*by), by, name, whole=True)
 
 
 def fuse_masks(frames: DataFrame, config: Config) -> DataFrame:
