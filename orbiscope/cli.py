@@ -40,6 +40,12 @@ SWITCHES = {
     "force-single-frame-fallback": ("force_single_frame_fallback", True),
 }
 REPEATED = {"grounding-prompt": "grounding_prompts", "sam2-semantic-class": "sam2_semantic_prompt_classes"}
+#: Stages that run a model: the argument that takes its factory, and the setting that names its device.
+MODELS = {
+    "parse-semantic": ("parser", "semantic_device"),
+    "detect-dynamic": ("detector", "grounding_device"),
+    "refine-masks": ("refiner", "sam2_device"),
+}
 COMMON = ("dataset-root", "output-root", "min-valid-frames", "dry-run")
 GEOMETRY = ("skip-checksum", "cube-face-size", "cube-overlap-px", "skip-face-cache")
 OPTIONS = {
@@ -82,6 +88,8 @@ def build_parser() -> argparse.ArgumentParser:
     for stage in STAGES:
         sub = stages.add_parser(stage)
         sub.add_argument("--sequence", action="append", default=[], help="only this sequence; may be repeated")
+        if stage in MODELS:
+            sub.add_argument("--model", default="", help="module:factory of the model; called with the settings and the device")
         for option in OPTIONS[stage]:
             if option in SWITCHES:
                 sub.add_argument(f"--{option}", action="store_true")
@@ -121,6 +129,19 @@ def missing_commands(config: Config) -> str:
     return ""
 
 
+def models(args: argparse.Namespace, config: Config) -> dict:
+    """The model that the command line names for its stage.  Without one a stand-in runs, and says so."""
+    if args.stage not in MODELS:
+        return {}
+    name, device = MODELS[args.stage]
+    if not args.model:
+        print(f"{args.stage}: no --model given, a stand-in that goes by gray values and boxes is used", file=sys.stderr)
+        return {}
+    from orbiscope.plans.backends import plugin
+
+    return {name: plugin(args.model, config, getattr(config, device))}
+
+
 def main(argv: list[str] | None = None, spark=None) -> int:
     args = build_parser().parse_args(argv)
     config = config_of(args)
@@ -138,8 +159,9 @@ def main(argv: list[str] | None = None, spark=None) -> int:
 
         spark = SparkSession.builder.appName(f"orbiscope {args.stage}").getOrCreate()
     run = Run(spark, config, args.sequence)
-    sequences, frames = run.run(args.stage)
+    sequences, frames = run.run(args.stage, **models(args, config))
     found = report(run, args.stage, sequences, frames)
+    run.release()
     print(json.dumps(found, indent=2, sort_keys=True))
     return 0 if found["failed_sequences"] == 0 else 1
 

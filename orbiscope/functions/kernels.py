@@ -163,6 +163,10 @@ def box_area(b) -> float:
     return max(0.0, float(b[2]) - float(b[0])) * max(0.0, float(b[3]) - float(b[1]))
 
 
+def box_center(b) -> tuple[float, float]:
+    return (b[0] + b[2]) / 2, (b[1] + b[3]) / 2
+
+
 def box_iou(a, b) -> float:
     """Intersection over union of boxes; 0 without area."""
     both = box_area((max(a[0], b[0]), max(a[1], b[1]), min(a[2], b[2]), min(a[3], b[3])))
@@ -339,6 +343,61 @@ def sample_bilinear(raster: np.ndarray, x: np.ndarray, y: np.ndarray, wrap_x: bo
     return np.clip(np.rint(top * (1 - fy) + bottom * fy), 0, 255).astype(np.uint8)
 
 
+def resize_bilinear(stack: np.ndarray, height: int, width: int) -> np.ndarray:
+    """Rasters (..., h, w) at another size; pixel centres keep their relative place, edges are repeated."""
+    out = np.asarray(stack, np.float64)
+    for axis, m in ((-2, height), (-1, width)):
+        n = out.shape[axis]
+        if n == m:
+            continue
+        at = np.clip((np.arange(m) + 0.5) * n / m - 0.5, 0, n - 1)
+        low = np.floor(at).astype(np.int64)
+        part = (at - low).reshape((-1, 1) if axis == -2 else (-1,))
+        out = np.take(out, low, axis) * (1 - part) + np.take(out, np.minimum(low + 1, n - 1), axis) * part
+    return out
+
+
+def semantic_scores(class_logits: np.ndarray, mask_logits: np.ndarray, shape: tuple[int, int]) -> np.ndarray:
+    """Scores (classes, h, w) of queries with class logits (queries, classes + 1) and mask logits (queries, h', w').
+
+    The last class stands for none and is left out after normalisation.
+    """
+    e = np.exp(class_logits - class_logits.max(axis=-1, keepdims=True))
+    classes = (e / e.sum(axis=-1, keepdims=True))[:, :-1]
+    masks = 1 / (1 + np.exp(-np.clip(mask_logits, -80, 80)))
+    return resize_bilinear(np.einsum("qc,qhw->chw", classes, masks), *shape)
+
+
+def labels_and_confidence(scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per pixel the class with the largest score (the first of equal ones) and that score."""
+    return scores.argmax(axis=0).astype(np.int32), scores.max(axis=0).astype(np.float32)
+
+
+def mask_containers(masks) -> list[np.ndarray]:
+    """A model's masks as one array (masks, channels, h, w) per image.
+
+    Takes a list of such arrays or of (masks, h, w), an array of five dimensions
+    (images first), or one of four (one image for each first index).
+    """
+    if isinstance(masks, (list, tuple)):
+        out = [np.asarray(m) for m in masks]
+        if any(m.ndim not in (3, 4) for m in out):
+            raise ValueError(f"unsupported mask shapes: {[m.shape for m in out]}")
+        return [m if m.ndim == 4 else m[None] for m in out]
+    masks = np.asarray(masks)
+    if masks.ndim == 5:
+        return list(masks)
+    if masks.ndim == 4:
+        return [masks[i : i + 1] for i in range(len(masks))]
+    raise ValueError(f"unsupported mask shape: {masks.shape}")
+
+
+def binary_masks(masks, sizes: list[tuple[int, int]], threshold: float) -> list[np.ndarray]:
+    """Per image its mask logits at the image's size, 255 above ``threshold``."""
+    found = mask_containers(masks)
+    return [as_mask(resize_bilinear(m, *size) > threshold) for m, size in zip(found, sizes, strict=True)]
+
+
 def panorama_to_faces(rgb: np.ndarray, size: int, overlap: int) -> dict[str, np.ndarray]:
     h, w = rgb.shape[:2]
     return {f: sample_bilinear(rgb, *face_lookup(f, w, h, size, overlap)[:2], wrap_x=True) for f in FACES}

@@ -55,6 +55,31 @@ class Refiner(Protocol):
     def refine_face(self, face: str, rgb: np.ndarray, prompts: list[dict]) -> list[tuple[np.ndarray, float] | None]: ...
 
 
+class SequenceSession(Protocol):
+    """What a model remembers of one face over a sequence's frames."""
+
+    def frame(
+        self, frame: int, rgb: np.ndarray, prompts: list[tuple[int, dict, tuple[float, float]]]
+    ) -> list[tuple[int, np.ndarray, float | None]]:
+        """(track id, mask, score or None) of every track that the model sees in this frame.
+
+        ``prompts`` are this frame's: (track id, prompt, point inside it).
+        """
+        ...
+
+
+class SequenceRefiner(Protocol):
+    """A refiner that follows masks over frames.
+
+    Frames come one by one in order, so that a task holds one frame and the
+    session.  Association, output filter and statuses stay in the plan.
+    """
+
+    model_id: str
+
+    def open_sequence(self, face: str, config: Config) -> SequenceSession: ...
+
+
 class VideoInpainter(Protocol):
     model_id: str
 
@@ -108,6 +133,29 @@ class BoxRefiner:
         return out
 
 
+class BoxSequenceRefiner:
+    """Every track keeps the box of its last prompt; a deterministic stand-in for a video segmenter."""
+
+    model_id = "stand-in/box-sequence"
+
+    class Session:
+        def __init__(self):
+            self.boxes: dict[int, tuple[tuple[int, ...], float]] = {}
+
+        def frame(self, frame, rgb, prompts):
+            for track, p, _ in prompts:
+                self.boxes[track] = tuple(int(round(p[c])) for c in ("x0", "y0", "x1", "y1")), float(p["score"])
+            out = []
+            for track, ((x0, y0, x1, y1), score) in self.boxes.items():
+                mask = np.zeros(rgb.shape[:2], np.uint8)
+                mask[y0:y1, x0:x1] = 255
+                out.append((track, mask, score))
+            return out
+
+    def open_sequence(self, face, config):
+        return self.Session()
+
+
 class PassthroughVideo:
     """Returns the frames as they are (dry runs)."""
 
@@ -217,6 +265,37 @@ def resolve_device(wanted: str, available: Callable[[str], bool] = lambda d: d =
     return next((d for d in ("cuda", "mps", "cpu") if available(d)), "cpu")
 
 
+def available_devices(device: str) -> bool:
+    """Whether the installed array framework, if any, has the device."""
+    if device == "cpu":
+        return True
+    try:
+        import torch
+    except ImportError:
+        return False
+    if device == "cuda":
+        return torch.cuda.is_available()
+    mps = getattr(torch.backends, "mps", None)
+    return mps is not None and mps.is_available()
+
+
+def plugin(spec: str, config: Config, device: str) -> Callable[[], object]:
+    """A factory of the model that ``module:name`` builds from (config, device).
+
+    It runs where the model is used; ``device`` is resolved there too.
+    """
+    module, _, name = spec.partition(":")
+    if not module or not name:
+        raise ValueError(f"a model is named as module:factory, not {spec!r}")
+
+    def make():
+        from importlib import import_module
+
+        return getattr(import_module(module), name)(config, resolve_device(device, available_devices))
+
+    return make
+
+
 def inpaint_with_retries(backend: VideoInpainter, face: str, frames: list, masks: list, config: Config) -> list[np.ndarray]:
     """The clip in chunks; running out of memory starts it over with chunks of half the size, other errors do not."""
     last: BaseException | None = None

@@ -56,6 +56,17 @@ class Run:
 
     def __init__(self, spark: SparkSession, config: Config, sequences: Iterable[str] | None = None):
         self.spark, self.config, self.only = spark, config, list(sequences or [])
+        self._held: list[DataFrame] = []
+
+    def hold(self, df: DataFrame) -> DataFrame:
+        """Keep a relation that a stage uses more than once, until ``release``."""
+        self._held.append(df.persist())
+        return df
+
+    def release(self) -> None:
+        """Let go of what the stages have kept; their results are computed again if they are used after that."""
+        while self._held:
+            self._held.pop().unpersist()
 
     # --- tables between runs ---
 
@@ -338,7 +349,10 @@ class Run:
         status, faces = self.projected(work)
         semantic = self._or_empty("semantic_masks", self.SEMANTIC)
         asked = vision.prompts(faces, self._or_empty("detections", self.BOXES), semantic, c)
-        refined = vision.refine(faces, asked, refiner, c).persist()
+        if hasattr(refiner(), "open_sequence"):
+            refined = self.hold(vision.refine_sequences(faces, asked, refiner, c, self.hold))
+        else:
+            refined = self.hold(vision.refine(faces, asked, refiner, c))
         self.save("masks", vision.refined_masks(refined))
         sized = status.where("cubemap_projection_status = 'projected'")
         new = ["sam2_mask_count", "sam2_temporal_prior_count", "sam2_refine_status", "sam2_refine_error"]
@@ -409,7 +423,7 @@ class Run:
         raw = raw.withColumn("height", F.col("erp_height")).withColumn("width", F.col("erp_width")).drop(
             *[f"{m}_mask_area_px" for m in ("dynamic", "roof", "sky", "inpaint")], "mask_fusion_status", "mask_fusion_error"
         )
-        fused = stages.fuse_masks(raw, c).persist()
+        fused = self.hold(stages.fuse_masks(raw, c))
         if not c.dry_run:
             for m in ("dynamic", "roof", "sky", "inpaint"):
                 sinks.write_files(sinks.mask_files(fused, f"{m}_mask_path", m))
@@ -446,13 +460,9 @@ class Run:
         masked = self._with_masks(normal, ("dynamic", "roof", "sky", "inpaint"))
         loaded = masked.where("rgb IS NOT NULL AND dynamic IS NOT NULL AND roof IS NOT NULL AND sky IS NOT NULL AND inpaint IS NOT NULL")
         new = ["propainter_status", "propainter_error", "propainter_window_count", "lama_status", "lama_error", "single_frame_fallback_reason"]
-        done = vision.inpaint(
-            loaded.select(
-                *KEY, "height", "width", "rgb", "inpaint", "sky", "rgb_output_path", "rgba_output_path", "cubemap_cache_dir", "frame_stem"
-            ),
-            c, video, image,
-            "" if video is not None else "propainter_startup_failure",
-        ).persist()
+        columns = ["height", "width", "rgb", "inpaint", "sky", "rgb_output_path", "rgba_output_path", "cubemap_cache_dir", "frame_stem"]
+        startup = "" if video is not None else "propainter_startup_failure"
+        done = self.hold(vision.inpaint(loaded.select(*KEY, *columns), c, video, image, startup))
         if not c.dry_run:
             sinks.write_files(sinks.final_files(done))
             self._write_inpainting(done, loaded, video, image)
@@ -539,7 +549,7 @@ class Run:
             out = out.withColumn("_folder", F.concat("cubemap_cache_dir", F.lit(f"/{sub}")))
             out = images.has_artifacts(out, listing, "_folder", name) if found else out.withColumn(name, F.lit(False))
             out = out.drop("_folder")
-        measured = stages.measure_frames(out).persist()
+        measured = self.hold(stages.measure_frames(out))
         columns = [n for n in FRAMES if n.startswith("qa_")] + [
             "erp_width", "erp_height", "erp_channels", "propainter_output_dir", "lama_output_dir", "lama_status", "propainter_status",
         ]

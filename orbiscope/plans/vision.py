@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from orbiscope.config import DYNAMIC_CLASSES, SKY_BLOCKERS, SKY_FACES, TARGET_ALIASES, Config
 from orbiscope.functions import exprs, kernels
 from orbiscope.operators import detections, geometry, rasters, windows
-from orbiscope.operators.tracking import MaskMemory, ordered_fold
+from orbiscope.operators.tracking import MaskMemory, Tracker, box_of, ordered_fold
 from orbiscope.plans import backends
 
 FRAME = ["sequence_id", "frame_idx"]
@@ -231,10 +231,9 @@ def refine(faces: DataFrame, asked: DataFrame, factory: Callable[[], backends.Re
             rgb = np.frombuffer(r["face_rgb"], np.uint8).reshape(n, n, 3)
             own = [dict(p, face=face) for p in r["prompts"] or []]
             asked_, priors = memory.attach(own, frame, face)
-            groups: dict[str, list[dict]] = {"required": [], "sky": [], "roof": []}
+            groups: dict[str, list[dict]] = {g: [] for g in GROUPS}
             for p in asked_:
-                kind = "roof" if p["class_text"] == "roof" and face == "down" else "sky" if p["class_text"] == "sky" else "required"
-                groups[kind].append(p)
+                groups[prompt_group(p, face)].append(p)
             found, warnings, status, error = [], [], "refined", ""
             for kind, of_kind in groups.items():
                 if not of_kind:
@@ -245,7 +244,7 @@ def refine(faces: DataFrame, asked: DataFrame, factory: Callable[[], backends.Re
                     if kind == "required":
                         status, error = "failed", str(e)
                         break
-                    warnings.append(f"{kind} SAM 2 refinement failed; {kind} mask will use {'semantic ' if kind == 'sky' else ''}fallback: {e}")
+                    warnings.append(group_warning(kind, "", e))
                     continue
                 for p, m in zip(of_kind, made, strict=True):
                     if m is None:
@@ -273,6 +272,158 @@ def refine(faces: DataFrame, asked: DataFrame, factory: Callable[[], backends.Re
     return ordered_fold(rows, ["sequence_id", "face"], ["frame_idx"], "frame_idx", make, REFINED)
 
 
+GROUPS = ("required", "sky", "roof")
+
+
+def prompt_group(prompt: dict, face: str) -> str:
+    """Sky prompts and the lower face's roof prompts may fail on their own; all others are required."""
+    if prompt["class_text"] == "roof" and face == "down":
+        return "roof"
+    return "sky" if prompt["class_text"] == "sky" else "required"
+
+
+def group_warning(group: str, what: str, error: object) -> str:
+    kind = "semantic " if group == "sky" else ""
+    return f"{group} SAM 2 {what}refinement failed; {group} mask will use {kind}fallback: {error}"
+
+
+def refine_sequences(
+    faces: DataFrame,
+    asked: DataFrame,
+    factory: Callable[[], backends.SequenceRefiner],
+    config: Config,
+    hold: Callable[[DataFrame], DataFrame] = DataFrame.persist,
+) -> DataFrame:
+    """One row per face with its refined masks from a model that follows tracks over a sequence's frames.
+
+    Each face and prompt group has its own session and tracks, folded over the
+    frames in order.  A group that fails has no masks in any frame of that face:
+    for sky and roof that is a warning on all frames of the sequence, otherwise
+    it fails all frames of the sequence.  The fold's result is looked at twice,
+    so ``hold`` keeps it.
+    """
+    fields = ["kind", "place", "prompt_id", "class_text", "source", *detections.BOX, "score", "prior_mask"]
+    grouped = asked.groupBy(*FACE).agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("prompts"))
+    rows = faces.select(*FACE, "face_total", "face_rgb").join(grouped, FACE, "left")
+    get = _once(factory)
+
+    def make():
+        followers: dict[str, TrackedGroup] = {}
+        failed: dict[str, str] = {}
+
+        def step(frame_rows: list[dict]) -> list[dict]:
+            r = frame_rows[0]
+            face, n, frame = r["face"], r["face_total"], r["frame_idx"]
+            rgb = np.frombuffer(r["face_rgb"], np.uint8).reshape(n, n, 3)
+            own = [dict(p, face=face) for p in r["prompts"] or []]
+            found: list[dict] = []
+            for group in GROUPS:
+                of_group = [p for p in own if prompt_group(p, face) == group]
+                if group in failed or not (of_group or group in followers):
+                    continue
+                try:
+                    if group not in followers:
+                        followers[group] = TrackedGroup(get().open_sequence(face, config), config)
+                    found += [m | {"group": group} for m in followers[group].frame(frame, face, rgb, of_group)]
+                except Exception as e:  # noqa: BLE001
+                    failed[group] = str(e)
+            base = {"sequence_id": r["sequence_id"], "frame_idx": frame, "face": face, "face_total": n}
+            return [base | {"masks": found, "failed": [{"group": g, "error": e} for g, e in failed.items()]}]
+
+        return step
+
+    mask = (
+        "class_text:string,source:string,prompt_id:string,x0:double,y0:double,x1:double,y1:double,score:double,prompt_x0:double,"
+        "prompt_y0:double,prompt_x1:double,prompt_y1:double,prompt_score:double,used_temporal_prior:boolean,area:long,mask:binary"
+    )
+    schema = (
+        f"sequence_id string, frame_idx int, face string, face_total int, masks array<struct<group:string,{mask}>>,"
+        " failed array<struct<group:string,error:string>>"
+    )
+    made = ordered_fold(rows, ["sequence_id", "face"], ["frame_idx"], "frame_idx", make, schema)
+    return _settle_groups(hold(made), mask)
+
+
+def _settle_groups(made: DataFrame, mask: str) -> DataFrame:
+    """What a group's failure in any frame means for all frames of its sequence."""
+    at = F.array_position(F.array(*[F.lit(f) for f in kernels.FACES]), F.col("face"))
+    errors = (
+        made.select("sequence_id", "face", at.alias("at"), F.explode("failed").alias("f"))
+        .select("sequence_id", "face", "at", "f.group", "f.error")
+        .distinct()
+    )
+    place = F.array_position(F.array(*[F.lit(g) for g in GROUPS]), F.col("group"))
+    required = F.col("group") == "required"
+    told = F.create_map(*[F.lit(x) for g in GROUPS for x in (g, group_warning(g, "video ", ""))])
+    video = F.concat(told[F.col("group")], "error")
+    of_sequence = errors.groupBy("sequence_id").agg(
+        F.min_by(F.col("error"), F.when(required, F.col("at"))).alias("fatal"),
+        F.array_sort(F.collect_list(F.when(~required, F.struct("at", place.alias("place"), video.alias("text"))))).alias("warned"),
+    )
+    of_face = errors.groupBy("sequence_id", "face").agg(F.collect_set("group").alias("lost"))
+    # a failure is one row per sequence, face and group; masks stay where they are unless the join must shuffle
+    settled = made.drop("failed").join(of_sequence, "sequence_id", "left").join(of_face, ["sequence_id", "face"], "left")
+    fails = F.col("fatal").isNotNull()
+    kept = F.filter("masks", lambda m: ~F.coalesce(F.array_contains("lost", m["group"]), F.lit(False)))
+    names = [x.split(":")[0] for x in mask.split(",")]
+    numbered = F.transform(kept, lambda m, i: F.struct(i.alias("mask_idx"), *[m[x].alias(x) for x in names]))
+    out = settled.withColumn("masks", F.when(fails, F.array().cast(f"array<struct<mask_idx:int,{mask}>>")).otherwise(numbered))
+    return out.select(
+        *FACE,
+        "face_total",
+        F.size(F.filter("masks", lambda m: m["used_temporal_prior"])).alias("prior_count"),
+        # one row of a frame carries the sequence's warnings, so that they are listed once
+        F.when((F.col("face") == kernels.FACES[0]) & ~fails & F.col("warned").isNotNull(), F.transform("warned", lambda w: w["text"]))
+        .otherwise(F.array().cast("array<string>"))
+        .alias("warnings"),
+        F.when(fails, "failed").otherwise("refined").alias("status"),
+        F.coalesce("fatal", F.lit("")).alias("error"),
+        "masks",
+    )
+
+
+class TrackedGroup:
+    """The tracks of one face and prompt group, and the model's session for them."""
+
+    def __init__(self, session: backends.SequenceSession, config: Config):
+        self.session, self.config, self.tracker, self.asked = session, config, Tracker(config), False
+
+    def frame(self, frame: int, face: str, rgb: np.ndarray, prompts: list[dict]) -> list[dict]:
+        """The group's masks in one frame: prompted tracks, and others that were prompted a short while ago."""
+        tracker = self.tracker
+        tracker.forget(frame)
+        assigned = tracker.assign(prompts, frame)
+        self.asked = self.asked or bool(assigned)
+        if not self.asked:
+            return []
+        now = {track: reused for _, track, reused in assigned}
+        points = [(track, p, kernels.box_center(box_of(p))) for p, track, _ in assigned]
+        out = []
+        for track, raw, score in self.session.frame(frame, rgb, points):
+            known = tracker.tracks.get(track)
+            if known is None or not tracker.accepts(track, frame, track in now):
+                continue
+            mask = kernels.as_mask(np.asarray(raw) > 0)
+            box = kernels.bounding_box(mask)
+            if box is None:
+                continue
+            tracker.observe(track, map(float, box), frame)
+            area = int(np.count_nonzero(mask))
+            if area < self.config.sam2_min_mask_area_px:
+                continue
+            p = known.prompt
+            name = (p.get("prompt_id") or "") if track in now else f"{face}:temporal:{known.class_text}:{track}:{frame}"
+            out.append(
+                {
+                    "class_text": known.class_text, "source": known.source if track in now else "temporal_prior", "prompt_id": name,
+                    **dict(zip(detections.BOX, map(float, box), strict=True)), "score": float(p["score"] if score is None else score),
+                    **{f"prompt_{c}": float(p[c]) for c in detections.BOX}, "prompt_score": float(p["score"]),
+                    "used_temporal_prior": now.get(track, True), "area": area, "mask": mask.tobytes(),
+                }
+            )
+        return out
+
+
 def refine_status(refined: DataFrame) -> DataFrame:
     """Per frame: mask and prior counts, status, and errors or warnings."""
     order = F.array_position(F.array(*[F.lit(f) for f in kernels.FACES]), F.col("face"))

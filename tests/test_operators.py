@@ -240,3 +240,127 @@ def test_fusion_sky_excludes_everything(spark):
     got = {r.frame_idx: (r.inpaint_area_px, r.mask_fusion_status) for r in fused.collect()}
     assert got == {0: (0, "fused"), 1: (64, "fused"), 2: (None, "failed")}
     assert fusion_roll_up(fused).collect() == [("s", "failed_mask_fusion", "1 frame(s) failed mask fusion")]
+
+
+# --- sequence refiner ------------------------------------------------------------------------------------------------
+
+def _sequence(spark, frames, asked, n=12):
+    """Faces of ``frames`` frames (front and down), and prompts (frame, face, class, source, box, score)."""
+    faces = spark.createDataFrame(
+        [("s", i, f, n, bytearray([i]) * (n * n * 3)) for i in range(frames) for f in ("front", "down")],
+        "sequence_id string, frame_idx int, face string, face_total int, face_rgb binary",
+    )
+    rows = [
+        ("s", i, f, 0, k, f"{f}:{c}:{k}", c, source, *map(float, box), score, None) for k, (i, f, c, source, box, score) in enumerate(asked)
+    ]
+    prompts = spark.createDataFrame(
+        rows,
+        "sequence_id string, frame_idx int, face string, kind int, place int, prompt_id string, class_text string, source string,"
+        " x0 double, y0 double, x1 double, y1 double, score double, prior_mask binary",
+    )
+    return faces, prompts
+
+
+def test_sequence_refiner_follows_tracks(spark):
+    from orbiscope.config import Config
+    from orbiscope.plans import backends, vision
+
+    asked = [
+        (0, "front", "car", "grounding_box", (1, 1, 7, 7), 0.9),
+        (1, "front", "car", "grounding_box", (2, 1, 8, 7), 0.8),  # overlaps: the same track
+        (1, "front", "bus", "grounding_box", (1, 1, 3, 3), 0.7),  # an area of 4: too small for a mask
+        (4, "front", "car", "grounding_box", (1, 1, 7, 7), 0.6),  # after the gap: a new track
+        (0, "down", "roof", "roof_down_prior", (2, 2, 10, 10), 1.0),
+    ]
+    faces, prompts = _sequence(spark, 5, asked)
+    got = vision.refine_sequences(faces, prompts, backends.BoxSequenceRefiner, Config(sam2_temporal_max_gap=1))
+    rows = {(r.frame_idx, r.face): r for r in got.collect()}
+    assert len(rows) == 10 and all(r.status == "refined" and not r.warnings for r in rows.values())
+
+    def shown(frame, face="front"):
+        r = rows[frame, face]
+        return [(m.class_text, m.source, m.prompt_id, m.used_temporal_prior, (m.x0, m.y0, m.x1, m.y1), round(m.score, 1)) for m in r.masks]
+
+    assert shown(0) == [("car", "grounding_box", "front:car:0", False, (1, 1, 7, 7), 0.9)]
+    assert shown(1) == [("car", "grounding_box", "front:car:1", True, (2, 1, 8, 7), 0.8)]
+    assert shown(2) == [("car", "temporal_prior", "front:temporal:car:1:2", True, (2, 1, 8, 7), 0.8)]
+    assert shown(3) == []
+    assert shown(4) == [("car", "grounding_box", "front:car:3", False, (1, 1, 7, 7), 0.6)]
+    assert [len(rows[i, "down"].masks) for i in range(5)] == [1, 1, 0, 0, 0]
+    assert [rows[i, "front"].prior_count for i in range(5)] == [0, 1, 1, 0, 0]
+    status = {r.frame_idx: r for r in vision.refine_status(got).collect()}
+    assert [status[i].sam2_mask_count for i in range(5)] == [2, 2, 1, 0, 1]
+    off = vision.refine_sequences(faces, prompts, backends.BoxSequenceRefiner, Config(sam2_temporal_propagation=False))
+    assert sum(len(r.masks) for r in off.collect()) == 4
+
+
+class _Breaking:
+    """Fails for one class of prompts in one frame."""
+
+    model_id = "test/breaking"
+
+    def __init__(self, class_text, frame):
+        self.class_text, self.at = class_text, frame
+
+    def open_sequence(self, face, config):
+        from orbiscope.plans import backends
+
+        inner, outer = backends.BoxSequenceRefiner().open_sequence(face, config), self
+
+        class Session:
+            seen = False
+
+            def frame(self, frame, rgb, prompts):
+                self.seen = self.seen or any(p["class_text"] == outer.class_text for _, p, _ in prompts)
+                if frame == outer.at and self.seen:
+                    raise RuntimeError("no memory left")
+                return inner.frame(frame, rgb, prompts)
+
+        return Session()
+
+
+def test_a_failing_group_of_a_sequence(spark):
+    from orbiscope.config import Config
+    from orbiscope.plans import vision
+
+    asked = [(i, "front", c, "semantic_region", (1, 1, 9, 9), 1.0) for i in range(3) for c in ("car", "sky")]
+    faces, prompts = _sequence(spark, 3, asked)
+    optional = vision.refine_sequences(faces, prompts, lambda: _Breaking("sky", 1), Config())
+    rows = optional.collect()
+    assert {r.status for r in rows} == {"refined"}
+    assert {m.class_text for r in rows for m in r.masks} == {"car"}, "masks of earlier frames go too"
+    text = "sky SAM 2 video refinement failed; sky mask will use semantic fallback: no memory left"
+    assert {r.sam2_refine_error for r in vision.refine_status(optional).collect()} == {text}
+    required = vision.refine_sequences(faces, prompts, lambda: _Breaking("car", 2), Config())
+    status = vision.refine_status(required).collect()
+    assert {(r.sam2_refine_status, r.sam2_refine_error, r.sam2_mask_count) for r in status} == {("failed", "no memory left", 0)}
+
+
+def test_devices_and_plugins():
+    from orbiscope.config import Config
+    from orbiscope.plans import backends
+
+    assert backends.resolve_device("cuda:1") == "cuda:1" and backends.resolve_device("auto") == "cpu"
+    assert backends.resolve_device("auto", lambda d: d in ("mps", "cpu")) == "mps"
+    model = backends.plugin("orbiscope.plans.backends:is_out_of_memory", Config(), "auto")
+    with pytest.raises(TypeError):  # called with the settings and the device
+        model()
+    with pytest.raises(ValueError):
+        backends.plugin("nothing", Config(), "auto")
+
+
+def test_unpack_and_unions_of_large_masks(spark):
+    import time
+
+    from orbiscope.operators import rasters
+    from orbiscope.plans import stages
+
+    rng = np.random.default_rng(4)
+    masks = [np.where(rng.random((1664, 1664)) < 0.01, 255, 0).astype(np.uint8) for _ in range(4)]
+    rows = [(i // 2, 1664, 1664, m.tobytes()) for i, m in enumerate(masks)] + [(0, 1664, 1664, None), (7, 0, 0, b"")]
+    df = spark.createDataFrame(rows, "k int, height int, width int, mask binary")
+    began = time.perf_counter()
+    assert rasters.unpack(df, ["k"]).count() == sum(int((m > 0).sum()) for m in masks)
+    united = {r.k: r.u for r in stages.union_masks(df, ["k"], "u").collect()}
+    assert time.perf_counter() - began < 60
+    assert united[0] == np.maximum(masks[0], masks[1]).tobytes() and united[1] == np.maximum(masks[2], masks[3]).tobytes()
