@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orbiscope import config
-from orbiscope.functions import exprs
+from orbiscope.functions import exprs, kernels
 from orbiscope.operators import detections, geometry, pixels, quality, rasters, tracking, windows
 from orbiscope.plans import bridges
 
@@ -731,8 +732,9 @@ def wrap_crop(spark, sf_dir):
     return pixels.wrap_crop(_px(spark, sf_dir), SIDE, 6, 11)
 
 
-#: A panorama of 16 x 8 whose faces are 8 x 8 rasters: face size 6, guard band 1.
-PANO_W, PANO_H, FACE, GUARD = 16, 8, 6, 1
+#: A panorama of 19 x 8 whose faces are 8 x 8 rasters: face size 6, guard band 1.  With these sizes no pixel centre
+#: of one lies halfway between two of the other by symmetry, where rounding would depend on a coordinate's last bit.
+PANO_W, PANO_H, FACE, GUARD = 19, 8, 6, 1
 AXES = {
     "front": ("u", "-v", "1"),
     "right": ("1", "-v", "-u"),
@@ -750,25 +752,48 @@ dir AS ("""
         for i, (f, (x, y, z)) in enumerate(AXES.items())
     )
     + f"""),
-at AS (SELECT face_ord, face, fy, fx, (atan2(dx, dz) / (2 * pi()) + 0.5) * {PANO_W} - 0.5 AS px,
+spot AS (SELECT face_ord, face, fy, fx, (atan2(dx, dz) / (2 * pi()) + 0.5) * {PANO_W} - 0.5 AS px,
   (0.5 - asin(dy / sqrt(dx * dx + dy * dy + dz * dz)) / pi()) * {PANO_H} - 0.5 AS py FROM dir),
 lut AS (SELECT CAST(face_ord AS INTEGER) AS face_ord, face, CAST(fy AS INTEGER) AS fy, CAST(fx AS INTEGER) AS fx,
   CAST(least({PANO_H - 1}, greatest(0, round_even(round(py, 4), 0))) AS INTEGER) AS ey,
   CAST((CAST(round_even(round(px, 4), 0) AS INTEGER) + {PANO_W}) % {PANO_W} AS INTEGER) AS ex,
-  fy BETWEEN {GUARD} AND {GUARD + FACE - 1} AND fx BETWEEN {GUARD} AND {GUARD + FACE - 1} AS "inner" FROM at)"""
+  fy BETWEEN {GUARD} AND {GUARD + FACE - 1} AND fx BETWEEN {GUARD} AND {GUARD + FACE - 1} AS "inner" FROM spot)"""
 )
+#: The face pixel nearest to every panorama pixel.
+PANORAMA_LOOKUP = f"""ang AS (SELECT ey, ex, ((ex + 0.5) / {PANO_W} - 0.5) * 2 * pi() AS lon, (0.5 - (ey + 0.5) / {PANO_H}) * pi() AS lat
+  FROM range(0, {PANO_H}) a(ey), range(0, {PANO_W}) b(ex)),
+vec AS (SELECT ey, ex, cos(lat) * sin(lon) AS x, sin(lat) AS y, cos(lat) * cos(lon) AS z FROM ang),
+dom AS (SELECT *, CASE WHEN abs(x) >= abs(y) AND abs(x) >= abs(z) THEN CASE WHEN x > 0 THEN 'right' ELSE 'left' END
+  WHEN abs(y) >= abs(z) THEN CASE WHEN y > 0 THEN 'up' ELSE 'down' END WHEN z > 0 THEN 'front' ELSE 'back' END AS face FROM vec),
+uv AS (SELECT ey, ex, face,
+  CASE face WHEN 'front' THEN x / z WHEN 'right' THEN -z / x WHEN 'back' THEN x / z WHEN 'left' THEN -z / x WHEN 'up' THEN x / y ELSE x / -y END AS u,
+  CASE face WHEN 'front' THEN -y / z WHEN 'right' THEN -y / x WHEN 'back' THEN y / z WHEN 'left' THEN y / x WHEN 'up' THEN z / y ELSE -z / -y END AS v
+  FROM dom),
+plut AS (SELECT CAST(ey AS INTEGER) AS ey, CAST(ex AS INTEGER) AS ex, face,
+  CAST(least({FACE + 2 * GUARD - 1}, greatest(0, round_even((u + 1) / 2 * {FACE} + {GUARD} - 0.5, 0))) AS INTEGER) AS fx,
+  CAST(least({FACE + 2 * GUARD - 1}, greatest(0, round_even((v + 1) / 2 * {FACE} + {GUARD} - 0.5, 0))) AS INTEGER) AS fy FROM uv)"""
+#: Three neighbouring frames side by side as a panorama, cut at its width.
+PANORAMA_PX = f"""pano AS (SELECT sequence_id, CAST(frame_idx // 3 AS INTEGER) AS frame_idx, y, CAST(x + {SIDE} * (frame_idx % 3) AS INTEGER) AS x
+  FROM dyn WHERE x + {SIDE} * (frame_idx % 3) < {PANO_W})"""
+FACE_TO_PANORAMA = f"""WITH {CELLS}, {DYN_SQL}, {PANORAMA_LOOKUP}
+SELECT sequence_id, frame_idx, face, ey AS y, ex AS x FROM dyn JOIN plut ON plut.fy = dyn.y AND plut.fx = dyn.x WHERE face IN ('front', 'up')"""
 
 
 def _lookup(spark):
     return geometry.face_pixels(spark, PANO_W, PANO_H, FACE, GUARD)
 
 
-@query()
+@query(f"WITH {LOOKUP} SELECT * FROM lut")
 def face_lookup(spark, sf_dir):
     return _lookup(spark)
 
 
-@query()
+@query(f"WITH {PANORAMA_LOOKUP} SELECT * FROM plut")
+def panorama_lookup(spark, sf_dir):
+    return geometry.panorama_pixels(spark, PANO_W, PANO_H, FACE, GUARD).drop("face_ord")
+
+
+@query(FACE_TO_PANORAMA)
 def face_mask_to_panorama(spark, sf_dir):
     """Each frame's 8 x 8 mask as its front and upper face."""
     face = F.explode(F.array(F.lit("front"), F.lit("up"))).alias("face")
@@ -778,7 +803,7 @@ def face_mask_to_panorama(spark, sf_dir):
     return rasters.unpack(shown, [*KEYS, "face"])
 
 
-@query()
+@query(FACE_TO_PANORAMA)
 def face_mask_to_panorama_px(spark, sf_dir):
     """The same through the lookup relation."""
     face = F.explode(F.array(F.lit("front"), F.lit("up"))).alias("face")
@@ -789,23 +814,84 @@ def face_mask_to_panorama_px(spark, sf_dir):
 
 
 def _panorama_px(spark, sf_dir):
-    """Two neighbouring frames side by side as a 16 x 8 panorama."""
+    """Three neighbouring frames side by side as a panorama, cut at its width."""
     px = _px(spark, sf_dir)
     return px.select(
         "sequence_id",
-        F.floor(F.col("frame_idx") / 2).cast("int").alias("frame_idx"),
+        F.floor(F.col("frame_idx") / 3).cast("int").alias("frame_idx"),
         "y",
-        (F.col("x") + SIDE * (F.col("frame_idx") % 2)).cast("int").alias("x"),
-    )
+        (F.col("x") + SIDE * (F.col("frame_idx") % 3)).cast("int").alias("x"),
+    ).where(F.col("x") < PANO_W)
+
+
+PANORAMA_TO_FACES = f"""WITH {CELLS}, {DYN_SQL}, {PANORAMA_PX}, {LOOKUP},
+shown AS (SELECT sequence_id, frame_idx, face, fy AS y, fx AS x FROM pano JOIN lut ON lut.ey = pano.y AND lut.ex = pano.x)"""
 
 
-@query()
+@query(f"{PANORAMA_TO_FACES} SELECT * FROM shown")
 def panorama_mask_to_faces(spark, sf_dir):
     rows = len(AXES) * (FACE + 2 * GUARD) ** 2
     return geometry.panorama_mask_to_faces(_panorama_px(spark, sf_dir), _lookup(spark), KEYS, rows)
 
 
-@query()
+@query(f"{PANORAMA_TO_FACES} SELECT * FROM shown")
+def panorama_mask_to_faces_packed(spark, sf_dir):
+    """The same on packed rasters."""
+    face = F.explode(F.array(*[F.lit(f) for f in AXES])).alias("face")
+    masks = rasters.pack(_panorama_px(spark, sf_dir), KEYS, PANO_H, PANO_W).select("*", face)
+    total = FACE + 2 * GUARD
+    made = geometry.mask_to_face(masks, FACE, GUARD).drop("mask")
+    shown = made.withColumn("width", F.lit(total)).withColumnRenamed("face_mask", "mask")
+    return rasters.unpack(shown, [*KEYS, "face"])
+
+
+@query(
+    f"""{PANORAMA_TO_FACES}, {PANORAMA_LOOKUP}
+SELECT sequence_id, frame_idx, ey AS y, ex AS x FROM shown JOIN plut ON plut.face = shown.face AND plut.fy = shown.y AND plut.fx = shown.x"""
+)
+def cubemap_round_trip(spark, sf_dir):
+    """Panorama masks on the six faces and back."""
+    rows = len(AXES) * (FACE + 2 * GUARD) ** 2
+    lookup = geometry.panorama_pixels(spark, PANO_W, PANO_H, FACE, GUARD)
+    faces = geometry.panorama_mask_to_faces(_panorama_px(spark, sf_dir), _lookup(spark), KEYS, rows)
+    return geometry.face_masks_to_panorama(faces, lookup, KEYS, PANO_W * PANO_H)
+
+
+SAMPLES = 9  # per axis: x from -1.5 in steps of 1.25 around the seam, y from -0.75 in steps of 1.125
+
+
+@query(
+    f"""WITH {CELLS}, g AS (SELECT sequence_id, frame_idx, y, x, {GRAY} AS gray FROM cell),
+s AS (SELECT j, i, i * 1.25 - 1.5 AS raw_x, least(7, greatest(0, j * 1.125 - 0.75)) AS sy FROM range(0, {SAMPLES}) a(j), range(0, {SAMPLES}) b(i)),
+t AS (SELECT j, i, raw_x - 8 * floor(raw_x / 8) AS sx, sy FROM s),
+c AS (SELECT j, i, CAST(floor(sx) AS INTEGER) AS x0, CAST(floor(sx) + 1 AS INTEGER) % 8 AS x1, sx - floor(sx) AS fx,
+  CAST(floor(sy) AS INTEGER) AS y0, least(7, CAST(floor(sy) + 1 AS INTEGER)) AS y1, sy - floor(sy) AS fy FROM t)
+SELECT a.sequence_id, a.frame_idx, CAST(j AS INTEGER) AS y, CAST(i AS INTEGER) AS x, CAST(round_even(
+  (a.gray * (1 - fx) + b.gray * fx) * (1 - fy) + (d.gray * (1 - fx) + e.gray * fx) * fy, 0) AS INTEGER) AS v
+FROM c JOIN g a ON a.y = y0 AND a.x = x0 JOIN g b ON b.y = y0 AND b.x = x1 AND b.sequence_id = a.sequence_id AND b.frame_idx = a.frame_idx
+JOIN g d ON d.y = y1 AND d.x = x0 AND d.sequence_id = a.sequence_id AND d.frame_idx = a.frame_idx
+JOIN g e ON e.y = y1 AND e.x = x1 AND e.sequence_id = a.sequence_id AND e.frame_idx = a.frame_idx"""
+)
+def bilinear_samples(spark, sf_dir):
+    """Gray values between pixels, columns wrapping and rows clamped."""
+    cells = bridges.values(spark, sf_dir).groupBy(*KEYS).agg(F.array_sort(F.collect_list(F.struct("y", "x", "v"))).alias("cells"))
+    packed = cells.select(*KEYS, F.transform("cells", lambda c: c["v"].cast("int")).alias("values"))
+    j, i = np.mgrid[:SAMPLES, :SAMPLES]
+
+    def one(values):
+        raster = np.array(values, np.uint8).reshape(SIDE, SIDE)
+        return (kernels.sample_bilinear(raster, i * 1.25 - 1.5, j * 1.125 - 0.75, wrap_x=True).ravel().tolist(),)
+
+    made = rasters.with_kernel(packed, one, ["values"], "sampled array<int>").select(*KEYS, F.posexplode("sampled").alias("at", "v"))
+    return made.select(*KEYS, F.floor(F.col("at") / SAMPLES).cast("int").alias("y"), (F.col("at") % SAMPLES).alias("x"), "v")
+
+
+@query(
+    f"""WITH {CELLS}, tone AS (SELECT sequence_id, CAST(frame_idx // 6 AS INTEGER) AS frame_idx, CAST(frame_idx % 6 AS INTEGER) AS face_ord, y, x,
+  {GRAY} AS gray FROM cell), {LOOKUP}
+SELECT sequence_id, frame_idx, ey AS y, ex AS x, CAST(round_even(avg(gray), 0) AS INTEGER) AS v
+FROM tone JOIN lut ON lut.face_ord = tone.face_ord AND lut.fy = tone.y AND lut.fx = tone.x GROUP BY ALL"""
+)
 def feather_splat(spark, sf_dir):
     """Six consecutive frames' gray values as the six faces of one panorama."""
     rows = len(AXES) * (FACE + 2 * GUARD) ** 2
@@ -821,6 +907,42 @@ def feather_splat(spark, sf_dir):
     return geometry.splat(values, _lookup(spark), KEYS, FACE, GUARD, 1, rows)
 
 
+# --- semantic scores -------------------------------------------------------------------------------------------------
+
+#: An embedding read as a segmenter's output: logits of 4 queries for 4 classes and none, then their masks of 3 x 3.
+QUERIES_N, CLASSES_N, LOGIT_SIDE, SCORED_SIDE = 4, 4, 3, 6
+
+
+@query(
+    f"""WITH e AS (SELECT vec_id, embedding AS v FROM embeddings),
+raw AS (SELECT vec_id, q, c, 8 * CAST(v[q * {CLASSES_N + 1} + c + 1] AS DOUBLE) AS logit FROM e, range(0, {QUERIES_N}) a(q), range(0, {CLASSES_N + 1}) b(c)),
+prob AS (SELECT vec_id, q, c, exp(logit) / sum(exp(logit)) OVER (PARTITION BY vec_id, q) AS p FROM raw),
+mask AS (SELECT vec_id, q, y, x, 1 / (1 + exp(-8 * CAST(v[{QUERIES_N * (CLASSES_N + 1)} + q * 9 + y * 3 + x + 1] AS DOUBLE))) AS m
+  FROM e, range(0, {QUERIES_N}) a(q), range(0, 3) b(y), range(0, 3) d(x)),
+small AS (SELECT prob.vec_id, c, y, x, sum(p * m) AS s FROM prob JOIN mask ON mask.vec_id = prob.vec_id AND mask.q = prob.q
+  WHERE c < {CLASSES_N} GROUP BY ALL),
+ax AS (SELECT i, greatest(0, (i + 0.5) / 2 - 0.5) AS c FROM range(0, {SCORED_SIDE}) a(i)),
+tap AS (SELECT i, CAST(floor(c) AS INTEGER) AS k, 1 - (c - floor(c)) AS w FROM ax
+  UNION ALL SELECT i, least(2, CAST(floor(c) AS INTEGER) + 1), c - floor(c) FROM ax),
+big AS (SELECT vec_id, c, r.i AS y, l.i AS x, sum(s * r.w * l.w) AS s FROM small JOIN tap r ON r.k = small.y JOIN tap l ON l.k = small.x GROUP BY ALL),
+best AS (SELECT vec_id, y, x, arg_max(c, s) AS label, max(s) AS top FROM big GROUP BY ALL)
+SELECT vec_id, string_agg(CAST(label AS VARCHAR), '' ORDER BY y, x) AS labels, round(avg(top), 5) AS confidence FROM best GROUP BY vec_id"""
+)
+def semantic_scores(spark, sf_dir):
+    """Labels and mean confidence of scores that query logits give at twice their resolution."""
+
+    def one(values):
+        v = 8 * np.array(values, np.float64)
+        split = QUERIES_N * (CLASSES_N + 1)
+        masks = v[split : split + QUERIES_N * LOGIT_SIDE**2].reshape(QUERIES_N, LOGIT_SIDE, LOGIT_SIDE)
+        scores = kernels.semantic_scores(v[:split].reshape(QUERIES_N, -1), masks, (SCORED_SIDE, SCORED_SIDE))
+        labels, confidence = kernels.labels_and_confidence(scores)
+        return "".join(map(str, labels.ravel())), float(np.round(confidence.mean(dtype=np.float64), 5))
+
+    rows = bridges.table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return rasters.with_kernel(rows, one, ["embedding"], "labels string, confidence double").drop("embedding")
+
+
 # --- quality ---------------------------------------------------------------------------------------------------------
 
 QA = f"""{FRAMES}, q AS (SELECT *, CASE WHEN NOT file_exists THEN 'skipped' WHEN event_type = 'signup' THEN 'failed' ELSE 'measured' END AS qa_status FROM fr),
@@ -978,14 +1100,86 @@ def _prompts(spark, sf_dir):
 def _prompt_order():
     from pyspark.sql import Window
 
-    return Window.partitionBy((F.col("part") % 16), "frame", "face").orderBy(F.col("score").desc(), "cls", *TIES)
-
-
-@query()
+    return Window.partitionBy(F.col("part") % 16, "frame", F.col("face") == 5).orderBy(F.col("score").desc(), "cls", *TIES)
+
+
+MAX_GAP = 3
+#: The prompts; a segment ends where no later prompt is within the gap, so nothing is carried over its end.
+PROMPTS = f"""{BOXES}, ask AS (
+  SELECT CAST(part % 16 AS VARCHAR) AS sequence_id, CAST(frame AS INTEGER) AS frame_idx, CASE WHEN face = 5 THEN 'down' ELSE 'front' END AS face,
+         CAST(row_number() OVER (PARTITION BY part % 16, frame, face = 5 ORDER BY score DESC, cls, x0, y0, x1, y1, part, supp, line) AS INTEGER) AS prompt_idx,
+         CASE cls WHEN 'AF' THEN 'roof' WHEN 'NO' THEN 'sky' ELSE cls END AS cls, x0, y0, x1, y1, score FROM det),
+far AS (SELECT *, coalesce(frame_idx - lag(frame_idx) OVER (PARTITION BY sequence_id, face ORDER BY frame_idx, prompt_idx) > {MAX_GAP}, false) AS far FROM ask),
+seg AS (SELECT *, sum(CAST(far AS INTEGER)) OVER (PARTITION BY sequence_id, face ORDER BY frame_idx, prompt_idx ROWS UNBOUNDED PRECEDING) AS seg FROM far)"""
+
+
+def stable_sql(p: str, prior: str) -> str:
+    """Whether prompt ``p`` continues ``prior``: a roof below always does, others by overlap and ratio of areas."""
+    area = "(greatest({t}.x1 - {t}.x0, 0) * greatest({t}.y1 - {t}.y0, 0))"
+    ratio = f"{area.format(t=p)} / greatest(1.0, {area.format(t=prior)})"
+    return f"({p}.face = 'down' AND {p}.cls = 'roof' OR {iou_sql(p, prior)} >= 0.45 AND {ratio} BETWEEN 0.5 AND 2.0)"
+
+
+#: A fold over a face's frames.  State: the last prompt of each class and source, and all rows so far.
+MEMORY = f"""WITH {PROMPTS},
+f AS (SELECT sequence_id, face, seg, frame_idx, list({{'cls': cls, 'src': 'grounding_box', 'face': face, 'x0': x0, 'y0': y0, 'x1': x1, 'y1': y1, 'score': score}}
+  ORDER BY prompt_idx) AS asked FROM seg GROUP BY ALL),
+folded AS (SELECT sequence_id, face, seg, list_reduce(list({{'frame': frame_idx, 'asked': asked}} ORDER BY frame_idx), lambda s, p:
+  list_transform([list_concat(
+      list_transform(p.asked, lambda q: {{'frame': p.frame, 'cls': q.cls, 'src': q.src, 'x0': q.x0, 'y0': q.y0, 'x1': q.x1, 'y1': q.y1, 'score': q.score,
+        'used': len(list_filter(s.last, lambda l: l.cls = q.cls AND l.src = q.src AND p.frame - l.frame <= {MAX_GAP} AND {stable_sql('q', 'l')})) > 0}}),
+      list_transform(list_filter(s.last, lambda l: l.cls IN ('roof', 'sky') AND p.frame - l.frame <= {MAX_GAP}
+          AND NOT (l.src = 'grounding_box' AND len(list_filter(p.asked, lambda q: q.cls = l.cls)) > 0)),
+        lambda l: {{'frame': p.frame, 'cls': l.cls, 'src': 'temporal_prior', 'x0': l.x0, 'y0': l.y0, 'x1': l.x1, 'y1': l.y1, 'score': l.score, 'used': true}}))],
+    lambda rows: {{
+      'last': list_concat(
+        list_transform(s.last, lambda l: coalesce(list_filter(rows, lambda r: r.cls = l.cls AND r.src = l.src)[-1], l)),
+        list_filter(rows, lambda r, i: len(list_filter(s.last, lambda l: l.cls = r.cls AND l.src = r.src)) = 0
+          AND len(list_filter(rows[i + 1:], lambda later: later.cls = r.cls AND later.src = r.src)) = 0)),
+      'rows': list_concat(s.rows, rows)}})[1],
+  {{'last': CAST([] AS STRUCT(frame INTEGER, cls VARCHAR, src VARCHAR, x0 DOUBLE, y0 DOUBLE, x1 DOUBLE, y1 DOUBLE, score DOUBLE, used BOOLEAN)[]),
+    'rows': CAST([] AS STRUCT(frame INTEGER, cls VARCHAR, src VARCHAR, x0 DOUBLE, y0 DOUBLE, x1 DOUBLE, y1 DOUBLE, score DOUBLE, used BOOLEAN)[])}}) AS s
+  FROM f GROUP BY ALL)
+SELECT sequence_id, r.frame AS frame_idx, face, r.cls AS class_text, r.src AS source, r.x0 AS x0, r.y0 AS y0, r.x1 AS x1, r.y1 AS y1, r.score AS score,
+       r.used AS used_temporal_prior FROM (SELECT sequence_id, face, unnest(s.rows) AS r FROM folded)"""
+
+
+@query(MEMORY)
 def temporal_memory(spark, sf_dir):
-    return tracking.attach_priors(_prompts(spark, sf_dir), config.Config(sam2_temporal_max_gap=3))
-
-
-@query()
+    return tracking.attach_priors(_prompts(spark, sf_dir), config.Config(sam2_temporal_max_gap=MAX_GAP))
+
+
+#: A fold over a face's prompts.  A track has the box and frame that it is matched by, and (n...) those that hold from
+#: the next frame on.
+TRACKS = f"""WITH {PROMPTS},
+folded AS (SELECT sequence_id, face, seg, list_reduce(
+  list({{'frame': frame_idx, 'prompt': prompt_idx, 'face': face, 'cls': cls, 'x0': x0, 'y0': y0, 'x1': x1, 'y1': y1}} ORDER BY frame_idx, prompt_idx),
+  lambda s, p: list_transform([CASE WHEN p.frame = s.frame THEN s.tracks ELSE list_filter(
+      list_transform(s.tracks, lambda t: {{'id': t.id, 'cls': t.cls, 'x0': t.nx0, 'y0': t.ny0, 'x1': t.nx1, 'y1': t.ny1, 'seen': t.nseen,
+        'nx0': t.nx0, 'ny0': t.ny0, 'nx1': t.nx1, 'ny1': t.ny1, 'nseen': t.nseen, 'used': false}}), lambda t: p.frame - t.seen <= {MAX_GAP}) END],
+    lambda live: list_transform([list_sort(list_transform(
+        list_filter(live, lambda t: NOT t.used AND t.cls = p.cls AND {iou_sql('p', 't')} > 0),
+        lambda t: {{'worse': -({iou_sql('p', 't')}), 'id': t.id, 'ok': {stable_sql('p', 't')}}}))[1]],
+      lambda b: {{
+        'frame': p.frame,
+        'next': CASE WHEN coalesce(b.ok, false) THEN s.next ELSE s.next + 1 END,
+        'tracks': CASE WHEN coalesce(b.ok, false) THEN list_transform(live, lambda t: CASE WHEN t.id <> b.id THEN t ELSE
+            {{'id': t.id, 'cls': t.cls, 'x0': t.x0, 'y0': t.y0, 'x1': t.x1, 'y1': t.y1, 'seen': t.seen,
+              'nx0': p.x0, 'ny0': p.y0, 'nx1': p.x1, 'ny1': p.y1, 'nseen': p.frame, 'used': true}} END)
+          ELSE list_append(live, {{'id': s.next, 'cls': p.cls, 'x0': p.x0, 'y0': p.y0, 'x1': p.x1, 'y1': p.y1, 'seen': p.frame,
+              'nx0': p.x0, 'ny0': p.y0, 'nx1': p.x1, 'ny1': p.y1, 'nseen': p.frame, 'used': false}}) END,
+        'rows': list_append(s.rows, {{'frame': p.frame, 'prompt': p.prompt, 'cls': p.cls,
+          'track': CASE WHEN coalesce(b.ok, false) THEN b.id ELSE s.next END, 'reused': coalesce(b.ok, false)}})}})[1])[1],
+  {{'frame': -1, 'next': 1, 'tracks': CAST([] AS STRUCT(id INTEGER, cls VARCHAR, x0 DOUBLE, y0 DOUBLE, x1 DOUBLE, y1 DOUBLE, seen INTEGER,
+      nx0 DOUBLE, ny0 DOUBLE, nx1 DOUBLE, ny1 DOUBLE, nseen INTEGER, used BOOLEAN)[]),
+    'rows': CAST([] AS STRUCT(frame INTEGER, prompt INTEGER, cls VARCHAR, track INTEGER, reused BOOLEAN)[])}}) AS s
+  FROM seg GROUP BY sequence_id, face, seg),
+placed AS (SELECT sequence_id, face, s.rows AS rows,
+  coalesce(sum(s.next - 1) OVER (PARTITION BY sequence_id, face ORDER BY seg ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM folded)
+SELECT sequence_id, r.frame AS frame_idx, face, r.prompt AS prompt_idx, r.cls AS class_text, 'grounding_box' AS source,
+       CAST(r.track + before AS INTEGER) AS track_id, r.reused AS reused FROM (SELECT sequence_id, face, before, unnest(rows) AS r FROM placed)"""
+
+
+@query(TRACKS)
 def track_assign(spark, sf_dir):
-    return tracking.assign_tracks(_prompts(spark, sf_dir), config.Config(sam2_temporal_max_gap=3))
+    return tracking.assign_tracks(_prompts(spark, sf_dir), config.Config(sam2_temporal_max_gap=MAX_GAP))
