@@ -94,12 +94,10 @@ def in_bitmap(bitmap, ids):
     return (bitmap[at >> 3] >> (at & 7)) & 1 == 1
 
 
-def maybe_in(docs: DataFrame, ids: DataFrame, key: Column) -> Column:
-    """A condition on rows of ``docs``: false only where ``key`` (a long, not null) is not among ``ids``."""
+def maybe_in(docs: DataFrame, bitmap, key: Column) -> Column:
+    """A condition on rows of ``docs``: false only where ``key`` (a long, not null) is not in the broadcast bitmap."""
     import numpy as np
 
-    bitmap = docs.sparkSession.sparkContext.broadcast(id_bitmap(ids))
-
     @F.pandas_udf("boolean")
     def listed(keys: pd.Series) -> pd.Series:
         return pd.Series(in_bitmap(bitmap.value, keys.to_numpy(np.int64)))
@@ -115,7 +113,8 @@ def without_ids(docs: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
     """
     ids = cut(ids)
     gone = ids.select(F.col(ids.columns[0]).alias("_gone")).distinct()
-    marked = maybe_in(docs, ids, F.coalesce(F.col(id_col).cast("long"), F.lit(-1))) & F.col(id_col).isNotNull()
+    bitmap = docs.sparkSession.sparkContext.broadcast(id_bitmap(ids))
+    marked = maybe_in(docs, bitmap, F.coalesce(F.col(id_col).cast("long"), F.lit(-1))) & F.col(id_col).isNotNull()
     rest = docs.where(marked)
     return docs.where(~marked).unionByName(rest.join(gone, rest[id_col] == gone["_gone"], "left_anti"))
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from orbiscope.llm.common import cut
 
 #: Edges that a task contracts at a time.
-LOCAL_EDGES = 1 << 18
+LOCAL_EDGES = 1 << 16
 
 
 def contract(edges: list[tuple[int, int]]) -> dict[int, int]:

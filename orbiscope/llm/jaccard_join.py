@@ -27,6 +27,7 @@ shuffled.  No pairs leave a task but those that connected something new.
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 from functools import cache
 from math import exp, isqrt
@@ -53,7 +54,7 @@ def _mix(h: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """word -> 64-bit hash, emptied when it grows beyond a bound."""
 
-    BOUND = 1 << 18
+    BOUND = 1 << 17
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.BOUND:
@@ -332,8 +333,8 @@ def _digest_kernel(k: int):
     return kernel
 
 
-#: Sets that a task remembers to emit the fingerprints of exact copies only once.
-REMEMBERED = 1 << 18
+#: Sets that a task remembers to emit what exact copies share only once.
+REMEMBERED = 1 << 17
 #: A mark met this often in a task (more in large tasks) is dealt to SALTS partitions from there on.
 OFTEN = 512
 SALTS = 1024
@@ -438,9 +439,7 @@ def _meet_kernel(block_rows: int):
     return kernel
 
 
-#: The columns of a unit of work before what is compared; a unit is (grp, i, j).
-UNIT = ("grp", "i", "j", "side", "comp", "node")
-
+# A unit of work is what shares (grp, i, j); its rows are (grp, i, j, side, comp, node) and then what is compared.
 
 #: Rows of a group that are expected in all of its blocks, and the share of a block's limits that such a row may take.
 ANCHORS = 16
@@ -572,10 +571,11 @@ def _set_kernel(k: int, bitmap):
                 for key, text in zip(part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist(), strict=True):
                     s = shingle_set(text, k, hashes)
                     name = (key, *digest(s))
-                    if name not in met:
+                    packed = struct.pack("<qqq", *name)
+                    if packed not in met:
                         if len(met) >= REMEMBERED:
                             met.clear()
-                        met.add(name)
+                        met.add(packed)
                         rows.append((*name, s.tobytes()))
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
                 yield pa.record_batch(
@@ -715,11 +715,13 @@ def drop_similar(
         .select(*(F.col(c).alias(f"_{c}") for c in ("high", "low", "key", "one")))
     )
     names = {"high": _unused(docs, "high"), "low": _unused(docs, "low")}
-    marked = maybe_in(docs, decided.select(F.coalesce("_key", F.lit(NO_ID)).alias("key")), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)))
+    bitmap = docs.sparkSession.sparkContext.broadcast(id_bitmap(decided.select(F.coalesce("_key", F.lit(NO_ID)).alias("key"))))
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
+            keys = batch.column(batch.schema.get_field_index(id_col)).cast(pa.int64()).fill_null(NO_ID)
+            batch = batch.filter(pa.array(in_bitmap(bitmap.value, keys.to_numpy(zero_copy_only=False))))
             at = batch.schema.get_field_index(text_col)
             for part in slices(batch, at):
                 found = [digest(shingle_set(t, k, hashes)) for t in part.column(at).cast(pa.binary()).to_pylist()]
@@ -727,7 +729,7 @@ def drop_similar(
                 yield pa.record_batch(columns, names=[*part.schema.names, *names.values()])
 
     schema = StructType([*docs.schema.fields, *(StructField(n, LongType()) for n in names.values())])
-    signed_rows = docs.where(marked).mapInArrow(kernel, schema)
+    signed_rows = docs.mapInArrow(kernel, schema)
     same = (
         (F.col(names["high"]) == F.col("_high"))
         & (F.col(names["low"]) == F.col("_low"))
@@ -735,6 +737,7 @@ def drop_similar(
     )
     judged = signed_rows.join(decided, same, "left")
     columns = [F.col(f"`{c}`") for c in docs.columns]
+    marked = maybe_in(docs, bitmap, F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)))
     out = docs.where(~marked).unionByName(judged.where("_one IS NULL").select(*columns))
     if decided.where("_one").isEmpty():
         return out
@@ -748,3 +751,19 @@ def _unused(docs: DataFrame, name: str) -> str:
     while name.lower() in {c.lower() for c in docs.columns}:
         name += "_"
     return name
+
+
+#: The registered query by all pairs of documents that share a shingle (ids are taken to be distinct and not null).
+ORACLE = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 2), ' ') AS k
+      FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pair AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.k = b.k AND a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (SELECT a, b FROM pair JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 90 * (x.n + y.n - c)),
+reach(doc_id, other) AS (SELECT doc_id, doc_id FROM d UNION SELECT reach.doc_id, link.b FROM reach JOIN link ON link.a = reach.other),
+least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id FROM d JOIN least USING (doc_id) LEFT JOIN n USING (doc_id)
+"""

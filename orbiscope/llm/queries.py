@@ -65,5 +65,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op2_decontaminate": decontaminate.ORACLE,
+    "op8_jaccard_join": jaccard_join.ORACLE,
     "op9_topk_search": topk_search.ORACLE,
 }

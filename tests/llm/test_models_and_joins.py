@@ -471,6 +471,10 @@ def test_long_texts_and_chains(spark):
     assert got == plain_components(plain_sets(texts, 3), 90)
 
 
+def test_classes_match_sql(spark, docs, same_rows):
+    same_rows(jaccard_join.similarity_classes(docs, k=3, percent=90), jaccard_join.ORACLE)
+
+
 def test_jaccard_edges(spark):
     rows = [(1, "a b c"), (1, "a b c"), (None, "a b c"), (None, "zz"), (7, "A B C")]
     got = Counter((r.doc_id, r.component_id) for r in jaccard_join.similarity_classes(spark.createDataFrame(rows, DOCS)).collect())
