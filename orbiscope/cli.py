@@ -6,83 +6,18 @@ import argparse
 import json
 import os
 import sys
-from dataclasses import fields
-
-from orbiscope.config import Config
-
-STAGES = (
-    "index", "normalize-erp", "project-cubemap", "parse-semantic", "detect-dynamic", "refine-masks", "fuse-masks",
-    "inpaint-sequence", "qa",
-)
-# Option names whose setting is named differently.
-NAMED = {
-    "cube-face-size": "cube_face_size",
-    "cube-overlap-px": "cube_overlap_px",
-    "box-threshold": "grounding_box_threshold",
-    "text-threshold": "grounding_text_threshold",
-    "nms-iou-threshold": "grounding_nms_iou_threshold",
-}
-# Flags that switch a setting off or on, and repeatable options.
-SWITCHES = {
-    "dry-run": ("dry_run", True),
-    "skip-checksum": ("compute_checksums", False),
-    "skip-face-cache": ("cache_cubemap_faces", False),
-    "semantic-local-files-only": ("semantic_local_files_only", True),
-    "save-semantic-logits": ("semantic_save_logits", True),
-    "skip-confidence": ("semantic_save_confidence", False),
-    "skip-panoptic": ("semantic_attempt_panoptic", False),
-    "grounding-local-files-only": ("grounding_local_files_only", True),
-    "sam2-local-files-only": ("sam2_local_files_only", True),
-    "skip-grounding-prompts": ("sam2_refine_grounding", False),
-    "skip-semantic-prompts": ("sam2_refine_semantic", False),
-    "skip-roof-prompt": ("sam2_refine_roof", False),
-    "disable-temporal-propagation": ("sam2_temporal_propagation", False),
-    "force-single-frame-fallback": ("force_single_frame_fallback", True),
-}
-REPEATED = {"grounding-prompt": "grounding_prompts", "sam2-semantic-class": "sam2_semantic_prompt_classes"}
+
+from orbiscope.config import STAGES, Config, options
+
 #: Stages that run a model: the argument that takes its factory, and the setting that names its device.
 MODELS = {
     "parse-semantic": ("parser", "semantic_device"),
     "detect-dynamic": ("detector", "grounding_device"),
     "refine-masks": ("refiner", "sam2_device"),
 }
-COMMON = ("dataset-root", "output-root", "min-valid-frames", "dry-run")
-GEOMETRY = ("skip-checksum", "cube-face-size", "cube-overlap-px", "skip-face-cache")
-OPTIONS = {
-    "index": COMMON,
-    "normalize-erp": (*COMMON, "skip-checksum"),
-    "project-cubemap": (*COMMON, *GEOMETRY),
-    "parse-semantic": (
-        *COMMON, *GEOMETRY, "semantic-model-id", "semantic-device", "semantic-local-files-only", "save-semantic-logits",
-        "skip-confidence", "skip-panoptic",
-    ),
-    "detect-dynamic": (
-        *COMMON, *GEOMETRY, "grounding-model-id", "grounding-device", "grounding-local-files-only", "grounding-prompt",
-        "box-threshold", "text-threshold", "nms-iou-threshold",
-    ),
-    "refine-masks": (
-        *COMMON, *GEOMETRY, "sam2-model-id", "sam2-device", "sam2-local-files-only", "sam2-mask-threshold",
-        "sam2-min-mask-area-px", "skip-grounding-prompts", "skip-semantic-prompts", "skip-roof-prompt", "sam2-semantic-class",
-        "sam2-roof-box-fraction", "sam2-roof-prior-margin-fraction", "sam2-roof-temporal-window",
-        "sam2-roof-temporal-disagreement-iou-threshold", "sky-mask-top-seed-fraction", "sky-mask-sam2-boundary-margin-px",
-        "sky-mask-obstacle-dilation-px", "sky-mask-erp-smoothing-iterations", "disable-temporal-propagation",
-        "sam2-temporal-iou-threshold", "sam2-temporal-area-ratio-min", "sam2-temporal-area-ratio-max", "sam2-temporal-max-gap",
-    ),
-    "fuse-masks": (
-        *COMMON, *GEOMETRY, "dyn-min-component-area-px", "roof-min-component-area-px", "dyn-dilate-px", "roof-dilate-px",
-        "dyn-erode-after-dilate-px", "roof-erode-after-dilate-px", "sky-mask-erp-smoothing-iterations",
-    ),
-    "inpaint-sequence": (
-        *COMMON, *GEOMETRY, "inpaint-window-size", "inpaint-window-stride", "propainter-model-id", "propainter-command",
-        "propainter-device", "propainter-chunk-size", "propainter-face-feather-px", "propainter-min-window-frames",
-        "single-frame-min-mask-area-px", "force-single-frame-fallback", "lama-model-id", "lama-command", "lama-device",
-    ),
-    "qa": (*COMMON, "qa-sample-count", "qa-diagnostic-panel-width-px"),
-}
 
 
 def build_parser() -> argparse.ArgumentParser:
-    defaults = {f.name: f.default for f in fields(Config)}
     parser = argparse.ArgumentParser(prog="orbiscope", description="Panoramic frame stages on Spark")
     stages = parser.add_subparsers(dest="stage", required=True)
     for stage in STAGES:
@@ -90,28 +25,19 @@ def build_parser() -> argparse.ArgumentParser:
         sub.add_argument("--sequence", action="append", default=[], help="only this sequence; may be repeated")
         if stage in MODELS:
             sub.add_argument("--model", default="", help="module:factory of the model; called with the settings and the device")
-        for option in OPTIONS[stage]:
-            if option in SWITCHES:
-                sub.add_argument(f"--{option}", action="store_true")
-            elif option in REPEATED:
-                sub.add_argument(f"--{option}", action="append", default=[])
+        for s in options(stage):
+            if s.flag:
+                sub.add_argument(f"--{s.spelled}", dest=s.name, action="store_const", const=not s.default, default=s.default)
+            elif s.repeated:
+                sub.add_argument(f"--{s.spelled}", dest=s.name, action="append", default=[])
             else:
-                name = NAMED.get(option, option.replace("-", "_"))
-                sub.add_argument(f"--{option}", dest=name, type=type(defaults[name]), default=defaults[name])
+                sub.add_argument(f"--{s.spelled}", dest=s.name, type=type(s.default), default=s.default)
     return parser
 
 
 def config_of(args: argparse.Namespace) -> Config:
-    values = vars(args)
-    known = {f.name for f in fields(Config)}
-    settings = {k: v for k, v in values.items() if k in known}
-    for option, (name, value) in SWITCHES.items():
-        settings.pop(name, None)
-        if values.get(option.replace("-", "_")):
-            settings[name] = value
-    for option, name in REPEATED.items():
-        if given := values.get(option.replace("-", "_")):
-            settings[name] = tuple(given)
+    given = {s.name: getattr(args, s.name) for s in options(args.stage)}
+    settings = {k: tuple(v) if isinstance(v, list) else v for k, v in given.items() if v != []}
     for root in ("dataset_root", "output_root"):
         if "://" not in settings[root]:
             settings[root] = os.path.abspath(os.path.expanduser(settings[root]))

@@ -98,12 +98,6 @@ def clip_box(x0: Column, y0: Column, x1: Column, y1: Column, width: Column, heig
     return F.struct(a.alias("x0"), b.alias("y0"), c.alias("x1"), d.alias("y1"))
 
 
-def is_stable(prompt: tuple[Column, ...], prior: tuple[Column, ...], min_iou: float, low: float, high: float) -> Column:
-    """Whether a prompt's box continues a prior one: enough overlap and a similar area."""
-    ratio = box_area(*prompt) / F.greatest(F.lit(1.0), box_area(*prior))
-    return (box_iou(prompt, prior) >= min_iou) & ratio.between(low, high)
-
-
 # --- statuses and text encodings -------------------------------------------------------------------------------------
 
 
@@ -112,12 +106,6 @@ def is_out_of_memory(error: Column) -> Column:
     return reduce(lambda a, b: a | b, [F.contains(text, F.lit(w)) for w in ("out of memory", "oom", "cuda memory")])
 
 
-def prompt_group(class_text: Column, face: Column) -> Column:
-    """Which model call a prompt belongs to."""
-    label = class_label(class_text)
-    return F.when((label == "roof") & (face == "down"), "roof").when(label == "sky", "sky").otherwise("required")
-
-
 def manifest_text(column: Column, kind: str) -> Column:
     """A manifest cell: null is '', booleans 1 and 0, floats with eight decimals."""
     if kind == "boolean":

@@ -79,3 +79,8 @@ def seam_delta(px: DataFrame, keys: list[str], width: int, value: str = "v") ->
         F.max(F.when(F.col("x") == width - 1, F.col(value))).alias("right"),
     )
     return sides.groupBy(*keys).agg(F.avg(F.abs(F.col("left") - F.col("right"))).alias("seam_delta"))
+
+
+def status_counts(wanted: dict[str, tuple[str, str]]) -> list[Column]:
+    """Aggregates that count the rows whose status column has a value: {name: (column, value)}."""
+    return [F.count_if(F.col(column) == value).alias(name) for name, (column, value) in wanted.items()]

@@ -242,8 +242,29 @@ GRAY = "greatest(0, least(255, CAST(floor(CAST(v AS DOUBLE) * 128 + 128) AS INTE
 SELECT sequence_id, frame_idx, CAST({GRAY} // 32 AS INTEGER) AS class_id, count(*) AS area FROM cell GROUP BY ALL"""
 )
 def target_mask_areas(spark, sf_dir):
-    label = F.floor(F.col("v") / 32).cast("int").alias("class_id")
-    return bridges.values(spark, sf_dir).groupBy(*KEYS, label).agg(F.count("*").alias("area"))
+    """A face labelled by eighths of the gray scale, and the masks of all eight labels."""
+    from orbiscope.plans import vision
+
+    faces = _gray_rasters(spark, sf_dir, "face_rgb", 3).withColumn("face", F.lit("front")).withColumn("face_total", F.lit(SIDE))
+    parsed = vision.parse_semantic(faces, _EighthsParser, {str(i): i for i in range(8)})
+    measured = rasters.measures(vision.semantic_masks(parsed))
+    return measured.where("area > 0").select(*KEYS, "class_id", "area")
+
+
+class _EighthsParser:
+    model_id = "catalog/eighths"
+
+    def parse_face(self, face, rgb):
+        from orbiscope.plans.backends import SemanticPrediction
+
+        return SemanticPrediction(labels=rgb[..., 0].astype(np.int32) // 32)
+
+
+def _gray_rasters(spark, sf_dir, name, channels):
+    """Gray values as packed rasters of one or more equal channels."""
+    cells = bridges.values(spark, sf_dir).groupBy(*KEYS).agg(F.array_sort(F.collect_list(F.struct("y", "x", "v"))).alias("cells"))
+    packed = cells.select(*KEYS, F.transform("cells", lambda c: c["v"].cast("int")).alias("grays"))
+    return rasters.with_kernel(packed, lambda v: (np.repeat(np.array(v, np.uint8), channels).tobytes(),), ["grays"], f"{name} binary").drop("grays")
 
 
 # --- windows ---------------------------------------------------------------------------------------------------------
@@ -396,6 +417,15 @@ def clip_boxes(spark, sf_dir):
     return found.select("frame", "part", "supp", "line", *[F.col(f"b.{c}").alias(f"c{c}") for c in ("x0", "y0", "x1", "y1")])
 
 
+@query(f"WITH {BOXES} SELECT frame, part, supp, line, (x1 - x0) * (y1 - y0) AS area, (x0 + x1) / 2 AS cx, (y0 + y1) / 2 AS cy FROM det")
+def box_measures(spark, sf_dir):
+    box = [F.col(c) for c in detections.BOX]
+    center = exprs.box_center(*box)
+    return bridges.detections(spark, sf_dir).select(
+        "frame", "part", "supp", "line", exprs.box_area(*box).alias("area"), center["x"].alias("cx"), center["y"].alias("cy")
+    )
+
+
 # --- masks -----------------------------------------------------------------------------------------------------------
 
 DYN_SQL, ROOF_SQL, SKY_SQL = px_sql("dyn", DYNAMIC), px_sql("roof", ROOF), px_sql("sky", SKY, True)
@@ -874,15 +904,13 @@ JOIN g e ON e.y = y1 AND e.x = x1 AND e.sequence_id = a.sequence_id AND e.frame_
 )
 def bilinear_samples(spark, sf_dir):
     """Gray values between pixels, columns wrapping and rows clamped."""
-    cells = bridges.values(spark, sf_dir).groupBy(*KEYS).agg(F.array_sort(F.collect_list(F.struct("y", "x", "v"))).alias("cells"))
-    packed = cells.select(*KEYS, F.transform("cells", lambda c: c["v"].cast("int")).alias("values"))
     j, i = np.mgrid[:SAMPLES, :SAMPLES]
 
-    def one(values):
-        raster = np.array(values, np.uint8).reshape(SIDE, SIDE)
+    def one(gray):
+        raster = rasters.view(gray, SIDE, SIDE)
         return (kernels.sample_bilinear(raster, i * 1.25 - 1.5, j * 1.125 - 0.75, wrap_x=True).ravel().tolist(),)
 
-    made = rasters.with_kernel(packed, one, ["values"], "sampled array<int>").select(*KEYS, F.posexplode("sampled").alias("at", "v"))
+    made = rasters.with_kernel(_gray_rasters(spark, sf_dir, "gray", 1), one, ["gray"], "sampled array<int>").select(*KEYS, F.posexplode("sampled").alias("at", "v"))
     return made.select(*KEYS, F.floor(F.col("at") / SAMPLES).cast("int").alias("y"), (F.col("at") % SAMPLES).alias("x"), "v")
 
 
@@ -1012,8 +1040,7 @@ def cli_totals(spark, sf_dir):
         frames.rollup("sequence_id")
         .agg(
             F.count("*").alias("frames"),
-            F.count_if(status == "measured").alias("measured"),
-            F.count_if(status == "failed").alias("failed"),
+            *quality.status_counts({n: ("qa_status", n) for n in ("measured", "failed")}),
             F.round(F.sum(F.when(status == "measured", F.col("value"))), 4).alias("total"),
         )
         .withColumn("sequence_id", F.coalesce("sequence_id", F.lit("all")))
@@ -1052,12 +1079,17 @@ SELECT sequence_id, frame_idx, sum(CASE WHEN v > {DYNAMIC} THEN 255 - gray ELSE
 )
 def masked_composite(spark, sf_dir):
     """The inverted gray value where the dynamic mask is set; fully transparent where the sky mask is."""
-    cells = bridges.values(spark, sf_dir)
-    marked = _px(spark, sf_dir).withColumn("on", F.lit(True))
-    sky = _px(spark, sf_dir, SKY, True).withColumn("clear", F.lit(True))
-    joined = cells.join(marked, [*KEYS, "y", "x"], "left").join(sky, [*KEYS, "y", "x"], "left")
-    value = F.when(F.col("on"), 255 - F.col("v")).otherwise(F.col("v"))
-    return joined.groupBy(*KEYS).agg(F.sum(value).alias("total"), F.count_if("clear").alias("clear"))
+    rgb = _gray_rasters(spark, sf_dir, "rgb", 3)
+    marked = _masks(spark, sf_dir).select(*KEYS, "mask")
+    sky = _masks(spark, sf_dir, SKY, True).select(*KEYS, F.col("mask").alias("sky"))
+
+    def one(rgb_, mask, sky_):
+        original = np.frombuffer(rgb_, np.uint8).reshape(SIDE, SIDE, 3)
+        made = kernels.composite(original, 255 - original, rasters.view(mask, SIDE, SIDE))
+        return int(made[..., 0].sum(dtype=np.int64)), int(np.count_nonzero(kernels.sky_alpha(rasters.view(sky_, SIDE, SIDE)) == 0))
+
+    joined = rgb.join(marked, KEYS).join(sky, KEYS)
+    return rasters.with_kernel(joined, one, ["rgb", "mask", "sky"], "total long, clear long").select(*KEYS, "total", "clear")
 
 
 @query(

@@ -308,7 +308,8 @@ class Run:
         parsed = vision.parse_semantic(faces, parser, targets)
         self.save("semantic_masks", vision.semantic_masks(parsed))
         wide = parsed.select(
-            *KEY, "face", "face_total", "labels", *(["confidence"] if self.config.semantic_save_confidence else []), "segments"
+            *KEY, "face", "face_total", "labels", *(["confidence"] if self.config.semantic_save_confidence else []),
+            *(["scores"] if self.config.semantic_save_logits else []), "segments",
         )
         self.save("semantic_faces", wide)
         of_frame = vision.semantic_status(parsed)
@@ -591,10 +592,8 @@ def report(run: Run, stage: str, sequences: DataFrame, frames: DataFrame) -> dic
     """What a command prints: settings, totals over all sequences, and each sequence's summary."""
     import json
 
-    status_col = FAILURES[stage][0] if stage in FAILURES else None
-    totals = [F.count_if(F.col(c) == v).alias(n) for n, (c, v) in TOTALS.get(stage, {}).items()]
-    if status_col:
-        totals.append(F.count_if(F.col(status_col) == "failed").alias("failed_frames"))
+    failed = {"failed_frames": (FAILURES[stage][0], "failed")} if stage in FAILURES else {}
+    totals = quality.status_counts(TOTALS.get(stage, {}) | failed)
     sums = frames.agg(*totals).first().asDict() if totals else {}
     texts = run.summaries(sequences, frames).orderBy("sequence_id").select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("j"))
     listed = [json.loads(r.j) for r in texts.toLocalIterator()]  # one row per sequence

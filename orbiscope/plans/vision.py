@@ -52,12 +52,13 @@ def parse_semantic(faces: DataFrame, factory: Callable[[], backends.SemanticPars
             segments = [{"id": int(s["id"]), "label_id": int(s["label_id"]), "score": float(s.get("score", 0))} for s in p.segments]
             flags = (p.panoptic is not None, p.confidence is not None, p.scores is not None)
             confidence = None if p.confidence is None else p.confidence.astype("<f4").tobytes()
-            return p.labels.astype("<i4").tobytes(), confidence, masks, segments, *flags, "parsed", ""
+            scores = None if p.scores is None else p.scores.astype("<f2").tobytes()
+            return p.labels.astype("<i4").tobytes(), confidence, scores, masks, segments, *flags, "parsed", ""
         except Exception as error:  # noqa: BLE001
-            return None, None, [], [], False, False, False, "failed", str(error)
+            return None, None, None, [], [], False, False, False, "failed", str(error)
 
     outputs = (
-        "labels binary, confidence binary, targets array<struct<class_idx:int,class_id:int,class_name:string,mask:binary>>,"
+        "labels binary, confidence binary, scores binary, targets array<struct<class_idx:int,class_id:int,class_name:string,mask:binary>>,"
         " segments array<struct<id:int,label_id:int,score:double>>, has_panoptic boolean, has_confidence boolean,"
         " has_logits boolean, semantic_parse_status string, semantic_parse_error string"
     )
@@ -538,7 +539,9 @@ def dynamic_masks(semantic: DataFrame, refined: DataFrame, frames: DataFrame, co
     seen = refined.where(
         exprs.class_label(F.col("class_text")).isin(*DYNAMIC_CLASSES) & F.col("source").isin("grounding_box", "temporal_prior")
     ).select(*FACE, "mask")
-    parts = own.unionByName(seen).groupBy(*FRAME).agg(F.collect_list(F.struct("face", "mask")).alias("parts"))
+    # united before the shuffle as far as a batch goes, so that a frame gathers few masks
+    of_face = own.unionByName(seen).withColumn("bytes", F.length("mask"))
+    parts = rasters.fold_masks(of_face, [*FACE, "bytes"], "mask").groupBy(*FRAME).agg(F.collect_list(F.struct("face", "mask")).alias("parts"))
     joined = frames.select(*FRAME, "erp_height", "erp_width").join(parts, FRAME, "left")
 
     def one(parts_, height, width):

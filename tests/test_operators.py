@@ -364,3 +364,39 @@ def test_unpack_and_unions_of_large_masks(spark):
     united = {r.k: r.u for r in stages.union_masks(df, ["k"], "u").collect()}
     assert time.perf_counter() - began < 60
     assert united[0] == np.maximum(masks[0], masks[1]).tobytes() and united[1] == np.maximum(masks[2], masks[3]).tobytes()
+
+
+def test_arrays_written_by_other_tools(spark):
+    import io
+
+    from orbiscope.sources import images
+
+    buffer = io.BytesIO()
+    np.savez(buffer, boxes_xyxy=np.arange(8, dtype=np.float32).reshape(2, 4), class_text=np.array(["car", "été"]), other=np.zeros(3))
+    files = spark.createDataFrame([("a.npz", bytearray(buffer.getvalue()))], "path string, content binary")
+    got = {r.name: r for r in images.read_arrays(files, ["boxes_xyxy", "class_text", "absent"]).collect()}
+    assert set(got) == {"boxes_xyxy", "class_text"}
+    boxes = np.frombuffer(got["boxes_xyxy"].data, got["boxes_xyxy"].dtype).reshape(got["boxes_xyxy"].shape)
+    assert np.array_equal(boxes, np.arange(8).reshape(2, 4)) and got["class_text"].data.decode().split("\n") == ["car", "été"]
+
+
+def test_semantic_scores_reach_their_table(spark):
+    from orbiscope.plans import backends, vision
+
+    class Scorer:
+        model_id = "test/scorer"
+
+        def parse_face(self, face, rgb):
+            scores = np.stack([rgb[..., 0] / 255, 1 - rgb[..., 0] / 255])
+            return backends.SemanticPrediction(labels=scores.argmax(0).astype(np.int32), scores=scores)
+
+    raster = np.array([[0, 255], [200, 20]], np.uint8)
+    faces = spark.createDataFrame(
+        [("s", 0, "front", 0, 2, bytearray(np.repeat(raster[..., None], 3, 2).tobytes()))],
+        "sequence_id string, frame_idx int, face string, face_ord int, face_total int, face_rgb binary",
+    )
+    row = vision.parse_semantic(faces, Scorer, {"sky": 0, "car": 1, "bus": None}).first()
+    scores = np.frombuffer(row.scores, "<f2").reshape(2, 2, 2)
+    assert row.has_logits and np.allclose(scores[0], raster / 255, atol=1e-3)
+    masks = {t.class_name: np.frombuffer(t.mask, np.uint8).reshape(2, 2) for t in row.targets}
+    assert set(masks) == {"sky", "car"} and np.array_equal(masks["sky"] > 0, [[False, True], [True, False]])

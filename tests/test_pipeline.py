@@ -295,20 +295,27 @@ def test_inpainting_needs_a_command(capsys):
 
 
 def test_every_option_reaches_a_setting():
-    parser = cli.build_parser()
-    for stage, options in cli.OPTIONS.items():
+    from orbiscope import config as settings
+
+    parser, defaults = cli.build_parser(), Config()
+    for stage in settings.STAGES:
+        taken = settings.options(stage)
         given = [stage]
-        for o in options:
-            if o in cli.SWITCHES:
-                given.append(f"--{o}")
-            elif o in cli.REPEATED:
-                given += [f"--{o}", "q"]
+        for s in taken:
+            other = {str: "other", int: "17", float: "0.125"}.get(type(s.default), "q")
+            given += [f"--{s.spelled}"] if s.flag else [f"--{s.spelled}", other]
         config = cli.config_of(parser.parse_args(given))
-        for o in options:
-            if o in cli.SWITCHES:
-                assert getattr(config, cli.SWITCHES[o][0]) is cli.SWITCHES[o][1]
-            elif o in cli.REPEATED:
-                assert getattr(config, cli.REPEATED[o]) == ("q",)
+        plain = cli.config_of(parser.parse_args([stage]))
+        for s in taken:
+            if s.name.endswith("_root"):
+                continue
+            assert getattr(plain, s.name) == getattr(defaults, s.name) == s.default
+            want = not s.default if s.flag else ("q",) if s.repeated else {str: "other", int: 17, float: 0.125}[type(s.default)]
+            assert getattr(config, s.name) == want
+    assert (defaults.cube_face_size, defaults.sam2_temporal_max_gap, defaults.grounding_nms_iou_threshold) == (1536, 1, 0.7)
+    import pickle
+
+    assert pickle.loads(pickle.dumps(defaults)) == defaults
 
 
 def test_retry_ladder():
