@@ -344,25 +344,67 @@ COUNTERS = 1 << 20
 NOTICE = -1
 
 
-def _mark_kernel(k: int, percent: int, often_from: int):
-    """(mark, salt, low): the group fingerprints of every set, once per task for copies met close together.
-
-    A mark is salted where a task meets it very often; the task then says so
-    once in the mark's unsalted run.
+#: Marks that a task gathers before it gives them out, and that are expected in one part.
+GATHERED = 1 << 21
+PART_MARKS = 1 << 18
+#: Bytes of a mark on its way: the bits of it that its part does not tell, and 32 bits of the set's fingerprint.
+PLAIN = np.dtype([("rest", "<u4"), ("low", "<u4")])
+SALTED = np.dtype([("mark", "<u8"), ("salt", "<i4"), ("low", "<u4")])
+LOW_BITS = (1 << 32) - 1
+
+
+def part_bits(shingles: int, percent: int) -> int:
+    """Binary digits of the number of parts that the marks of so many shingles are dealt to."""
+    return min(20, max(10, (shingles * 2 * (100 - percent) // 100 // PART_MARKS).bit_length()))
+
+
+def _blobs(part: np.ndarray, rows: np.ndarray, salted: bool) -> pa.RecordBatch:
+    """(part, salted, rows): the rows of each part as bytes."""
+    order = np.argsort(part, kind="stable")
+    part, rows = part[order], rows[order]
+    starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+    ends = (np.r_[starts, len(rows)] * rows.itemsize).astype(np.int32)
+    packed = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(rows.tobytes())])
+    columns = [pa.array(part[starts].astype(np.int32)), pa.array(np.full(len(starts), salted)), packed]
+    return pa.record_batch(columns, names=["part", "salted", "rows"])
+
+
+def _mark_kernel(k: int, percent: int, often_from: int, bits: int):
+    """(part, salted, rows): the group fingerprints of every set, once per task for copies met close together.
+
+    A mark is the first ``bits`` + 32 bits of a fingerprint, a set the last 32
+    of its own: what shares them by chance is compared and not linked.  A mark
+    is salted where a task meets it very often; the task then says so once in
+    the mark's unsalted run.
     """
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, met, told = WordHashes(), set(), set()
-        seen, total = np.zeros(COUNTERS, np.int32), 0
+        seen, total, held = np.zeros(COUNTERS, np.int32), 0, 0
+        plain: list[tuple] = []
+        salted: list[tuple] = []
+
+        def joined(found: list[tuple], kind: np.dtype) -> tuple[np.ndarray, ...]:
+            rows = np.empty(sum(len(f[0]) for f in found), kind)
+            rows["low"] = np.repeat(np.array([f[-1] for f in found], np.uint32), [len(f[0]) for f in found])
+            return rows, *(np.concatenate([f[c] for f in found]) for c in range(len(found[0]) - 1))
+
+        def give() -> Iterator[pa.RecordBatch]:
+            if plain:
+                rows, mark = joined(plain, PLAIN)
+                rows["rest"] = (mark & np.uint64(LOW_BITS)).astype(np.uint32)
+                if len(rows):  # every mark may be salted
+                    yield _blobs(mark >> np.uint64(32), rows, False)
+            if salted:
+                rows, rows["mark"], rows["salt"] = joined(salted, SALTED)
+                with np.errstate(over="ignore"):
+                    spread = _mix(rows["mark"] + rows["salt"].astype(np.uint64) * _P1) >> np.uint64(64 - bits)
+                yield _blobs(np.where(rows["salt"] == NOTICE, rows["mark"] >> np.uint64(32), spread), rows, True)
+            plain.clear()
+            salted.clear()
+
         for batch in batches:
             for part in slices(batch, 0):
-                marks, salts, names = [], [], []
-
-                def emit(found, salt, low):
-                    marks.append(found.view(np.int64))
-                    salts.append(np.broadcast_to(np.asarray(salt, np.int32), len(found)))
-                    names.append(np.full(len(found), low, np.int64))
-
                 for text in part.column(0).cast(pa.binary()).to_pylist():
                     s = shingle_set(text, k, hashes)
                     low = digest(s)[1]
@@ -371,24 +413,59 @@ def _mark_kernel(k: int, percent: int, often_from: int):
                     if len(met) >= REMEMBERED:
                         met.clear()
                     met.add(low)
-                    found = group_fingerprints(s, percent)
+                    found = group_fingerprints(s, percent) >> np.uint64(32 - bits)
+                    if not len(found):
+                        continue
                     at = (found & np.uint64(COUNTERS - 1)).astype(np.int64)
                     seen[at] += 1
                     total += len(at)
                     often = seen[at] > often_from + 4 * total // COUNTERS
-                    emit(found, np.where(often, 1 + low % SALTS, 0), low)
+                    plain.append((found[~often], low & LOW_BITS))
+                    held += len(found)
                     if often.any():
-                        new = [m for m in found[often].tolist() if m not in told]
+                        found = found[often]
+                        salted.append((found, np.full(len(found), 1 + low % SALTS, np.int32), low & LOW_BITS))
+                        new = [m for m in found.tolist() if m not in told]
                         if len(told) >= REMEMBERED:
                             told.clear()
                         told.update(new)
-                        emit(np.array(new, np.uint64), NOTICE, 0)
-                if marks:
-                    yield pa.record_batch([pa.array(np.concatenate(c)) for c in (marks, salts, names)], names=["mark", "salt", "low"])
+                        if new:
+                            salted.append((np.array(new, np.uint64), np.full(len(new), NOTICE, np.int32), 0))
+                    if held >= GATHERED:
+                        yield from give()
+                        held = 0
+        yield from give()
 
     return kernel
 
 
+def _unpacked_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(mark, salt, low) sorted by mark, salt, then set within each part, from blobs sorted by part."""
+    held: list[tuple[int, bool, bytes]] = []
+
+    def close() -> Iterator[pa.RecordBatch]:
+        plain = np.frombuffer(b"".join(rows for _, salted, rows in held if not salted), "<u8")
+        # as one number: the set, then the rest of the mark
+        plain = np.sort((plain << np.uint64(32)) | (plain >> np.uint64(32)))
+        more = np.frombuffer(b"".join(rows for _, salted, rows in held if salted), SALTED)
+        mark = (plain >> np.uint64(32)).astype(np.int64) + (held[0][0] << 32)
+        salt, low = np.zeros(len(plain), np.int64), (plain & np.uint64(LOW_BITS)).astype(np.int64)
+        if len(more):
+            mark, salt, low = np.r_[mark, more["mark"].astype(np.int64)], np.r_[salt, more["salt"]], np.r_[low, more["low"]]
+            order = np.lexsort((low, salt, mark))
+            mark, salt, low = mark[order], salt[order], low[order]
+        yield pa.record_batch([pa.array(c.astype(np.int64)) for c in (mark, salt, low)], names=["mark", "salt", "low"])
+
+    for batch in batches:
+        for row in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
+            if held and held[0][0] != row[0]:
+                yield from close()
+                held = []
+            held.append(row)
+    if held:
+        yield from close()
+
+
 def _meet_kernel(block_rows: int):
     """(bucket, block, low) of the buckets with several sets, from rows sorted by mark, salt, then set.
 
@@ -506,10 +583,11 @@ def _dealt(rows: DataFrame, size, limits, payload: list[str]) -> DataFrame:
     )
 
 
-def _connect(first: DataFrame, large, compare, size, limits, again: bool) -> DataFrame:
+def _connect(firsts, large, compare, size, limits, again: bool) -> DataFrame:
     """Components (node, root) of what ``compare`` connects within groups, none of which is held in one task.
 
-    ``first`` holds units of bounded size that cover every group's rows.
+    The last of ``firsts`` gives units of bounded size that cover every group's
+    rows, labelled by the components that the ones before it have found.
     ``large()`` gives (grp, node, payload ...) of the groups with several units,
     or None.  With ``again`` those that are not one component are dealt to blocks
     with anchors.  After that nearly all of a group of near copies is one
@@ -517,17 +595,22 @@ def _connect(first: DataFrame, large, compare, size, limits, again: bool) -> Dat
     compared with all of the group, block by block, so that no pair of
     unconnected rows is left out.
     """
-    known = cut(connected_components(_edges(first, compare)))
-    rows = large()
-    if rows is None:
-        return known
-    payload = [c for c in rows.columns if c not in ("grp", "node")]
+    known: DataFrame | None = None
 
     def more_of(new: DataFrame) -> DataFrame:
+        if known is None:
+            return cut(connected_components(new))
         if new.isEmpty():
             return known
         return cut(connected_components(known.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(new)))
 
+    for units in firsts:
+        known = more_of(_edges(units(known), compare))
+    rows = large()
+    if rows is None:
+        return known
+    payload = [c for c in rows.columns if c not in ("grp", "node")]
+
     def still_open() -> tuple[DataFrame, DataFrame]:
         """(rows with comp, groups with main) of the groups of several components."""
         placed = rows.join(known, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
@@ -585,6 +668,8 @@ def _set_kernel(k: int, bitmap):
     return kernel
 
 
+#: One in so many buckets is worked on first: sets that meet in many buckets are then connected before the others.
+SOME = 16
 #: Stands for a null id where a document is only looked up; its text's fingerprint tells it apart.
 NO_ID = -1
 
@@ -603,20 +688,32 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int,
     )
     sets = cut(distinct.withColumn("node", F.monotonically_increasing_id()))
 
-    # one shuffle of the marks, which drops nearly all of them: most sets meet nobody.  Here 64 bits stand for a set;
-    # two sets that share them are both compared with whatever either meets
-    marks = keyed.select("text").mapInArrow(_mark_kernel(k, percent, often), "mark long, salt int, low long")
+    # one shuffle of the marks, which drops nearly all of them: most sets meet nobody.  Here 32 bits stand for a set;
+    # sets that share them are all compared with whatever any of them meets
+    bits = part_bits(sets.agg(F.sum("n")).first()[0] or 0, percent)
+    marks = keyed.select("text").mapInArrow(_mark_kernel(k, percent, often, bits), "part int, salted boolean, rows binary")
+    meet = _meet_kernel(block_rows)
     buckets = cut(
-        marks.repartition("mark", F.greatest("salt", F.lit(0)))
-        .sortWithinPartitions("mark", "salt", "low")
-        .mapInArrow(_meet_kernel(block_rows), "bucket long, block long, low long")
+        marks.repartition("part")
+        .sortWithinPartitions("part")
+        .mapInArrow(lambda batches: meet(_unpacked_marks(batches)), "bucket long, block long, low long")
         .distinct()
     )
-    points = sets.select("low", "node", "n", "point")
-    met = buckets.join(points, "low").select(
-        F.col("bucket").alias("grp"), F.col("block").alias("i"), F.lit(0).cast("long").alias("j"), F.lit(0).alias("side"),
-        F.col("node").alias("comp"), "node", "n", "point",
-    )
+    points = sets.select(F.col("low").bitwiseAND(F.lit(LOW_BITS)).alias("low"), "node", "n", "point")
+
+    def met(rows: DataFrame, known: DataFrame | None) -> DataFrame:
+        """Units of the buckets' blocks; what is known to be connected comes with one label."""
+        named = points.withColumn("root", F.col("node")) if known is None else points.join(known, "node", "left")
+        return rows.join(named, "low").select(
+            F.col("bucket").alias("grp"), F.col("block").alias("i"), F.lit(0).cast("long").alias("j"), F.lit(0).alias("side"),
+            F.coalesce("root", "node").alias("comp"), "node", "n", "point",
+        )
+
+    def some_buckets(known: DataFrame | None) -> DataFrame:
+        return met(buckets.where(F.pmod(F.xxhash64("bucket"), F.lit(SOME)) == 0), known)
+
+    def all_buckets(known: DataFrame | None) -> DataFrame:
+        return met(buckets, known)
 
     def large_buckets() -> DataFrame | None:
         several = cut(buckets.where("block > 0").select("bucket").distinct())
@@ -628,7 +725,7 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int,
     def may(sizes, points_, labels, sides):
         return bucket_edges(sizes, points_, percent, labels, sides)
 
-    clusters = _connect(met, large_buckets, may, [F.lit(1)], [block_rows], again=True)
+    clusters = _connect([some_buckets, all_buckets], large_buckets, may, [F.lit(1)], [block_rows], again=True)
 
     members = clusters.join(sets, "node").select(
         F.col("root").alias("grp"), "node", "n", F.coalesce("rep", F.lit(NO_ID)).alias("key"), "high", "low"
@@ -651,7 +748,7 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int,
         return cluster_links([np.frombuffer(s, np.uint64) for s in shingles], percent, labels, sides)
 
     units = _dealt(with_sets, size, limits, ["n", "shingles"])
-    joined = _connect(units, large_clusters, verify, size, limits, again=False)
+    joined = _connect([lambda _: units], large_clusters, verify, size, limits, again=False)
     parts = sets.join(joined, "node", "left").select("high", "low", "rep", F.coalesce("root", "node").alias("part"))
     return signed.drop("point"), parts
 
@@ -662,7 +759,7 @@ def similarity_classes(
     text_col: str = "text",
     k: int = 5,
     percent: int = 80,
-    block_rows: int = 512,
+    block_rows: int = 2048,
     block_shingles: int = 1 << 21,
     often: int = OFTEN,
 ) -> DataFrame:
@@ -691,7 +788,7 @@ def drop_similar(
     text_col: str = "text",
     k: int = 5,
     percent: int = 80,
-    block_rows: int = 512,
+    block_rows: int = 2048,
     block_shingles: int = 1 << 21,
     often: int = OFTEN,
 ) -> DataFrame:

@@ -766,3 +766,54 @@ def test_bucket_edges_connect_all_links():
         for i, j in combinations(range(len(sets)), 2):
             assert label[i] == label[j] or not jaccard_join.linked(sets[i], sets[j], percent)
         assert len(edges) < len(sets)
+
+
+@pytest.mark.parametrize("held", [0, 30, 1 << 20])
+def test_small_link_tables_are_contracted_in_one_task(spark, held):
+    rng = random.Random(4)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(170)] + [(i, i + 1) for i in range(400, 440)] + [(7, 7), (None, 3)]
+    found = components.connected_components(spark.createDataFrame(edges, "a long, b long").repartition(5), held=held)
+    if held > len(edges):
+        assert found.rdd.getNumPartitions() == 1
+    assert {r.node: r.root for r in found.collect()} == components.contract([(a, b) for a, b in edges if a is not None and a != b])
+
+
+@pytest.mark.parametrize("often", [512, 1])
+def test_marks_travel_in_few_bytes_and_come_back(often):
+    import pyarrow as pa
+
+    texts, percent, bits = [t for t in near_copies(60).values() if t], 80, 10
+    batch = pa.record_batch([pa.array(texts)], names=["text"])
+    blobs = [r for out in jaccard_join._mark_kernel(3, percent, often, bits)(iter([batch])) for r in out.to_pylist()]
+    blobs.sort(key=lambda r: r["part"])
+    want = set()
+    for t in texts:
+        s = jaccard_join.shingle_set(t.encode(), 3, jaccard_join.WordHashes())
+        low = jaccard_join.digest(s)[1] % (1 << 32)
+        want |= {(int(m) >> (32 - bits), low) for m in jaccard_join.group_fingerprints(s, percent)}
+    back = pa.record_batch([pa.array([r[c] for r in blobs]) for c in ("part", "salted", "rows")], names=["part", "salted", "rows"])
+    rows = [tuple(r.values()) for out in jaccard_join._unpacked_marks(iter([back])) for r in out.to_pylist()]
+    assert {(mark, low) for mark, salt, low in rows if salt >= 0} == want
+    assert rows == sorted(rows) or often == 1
+    noticed = {mark for mark, salt, _ in rows if salt < 0}
+    assert noticed == {mark for mark, salt, _ in rows if salt > 0} and bool(noticed) == (often == 1)
+    if often > 1:
+        assert sum(len(r["rows"]) for r in blobs) == 8 * len(rows)
+
+
+def test_a_group_of_near_copies_makes_edges_as_its_size(spark, monkeypatch):
+    rng, made = random.Random(8), []
+    base = [f"w{i}" for i in range(150)]
+    texts = [(i, " ".join([f"z{rng.randrange(99)}" if rng.random() < 0.01 else w for w in base])) for i in range(400)]
+    plain = jaccard_join._edges
+    monkeypatch.setattr(jaccard_join, "_edges", lambda units, compare: made.append(plain(units, compare)) or made[-1])
+    monkeypatch.setattr(jaccard_join, "cut", lambda df: common.cut(df.repartition(64)) if "bucket" in df.columns else common.cut(df))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        sets = jaccard_join.similarity_classes(spark.createDataFrame(texts, DOCS), k=5, percent=80).select("component_id").distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert sum(e.count() for e in made) < 8 * len(texts) and sets < 400
