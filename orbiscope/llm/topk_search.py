@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from orbiscope.llm.common import cut
 
 #: Rows of a candidate block, and bytes of queries that are broadcast at once.
-BLOCK_ROWS = 4096
+BLOCK_ROWS = 8192
 QUERY_BYTES = 16 << 20
 #: Queries that the first bounds come from.
 SEEDS = 2048
@@ -54,19 +54,40 @@ class SortedBlock:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids, self.vectors = ids, vectors
-        order = np.argsort(vectors, axis=0, kind="stable")
-        self.order = np.ascontiguousarray(order.T)
-        self.sorted = np.ascontiguousarray(np.take_along_axis(vectors, order, axis=0).T)
+        n, lists = vectors.shape
+        order = np.ascontiguousarray(np.argsort(vectors, axis=0, kind="stable").T)
+        step = -(-n // STEPS)
+        spare = ((0, 0), (0, step * STEPS - n))  # entries of no candidate at the high end
+        in_order = np.take_along_axis(vectors.T, order, axis=1)
+        self.order = np.pad(order, spare, constant_values=n).reshape(lists, STEPS, step)
+        self.sorted = np.pad(in_order, spare, mode="edge").reshape(lists, STEPS, step)
+        #: The step that holds each candidate's entry, and the entries of a step.
+        self.step_of = np.empty((lists, n), np.uint8)
+        np.put_along_axis(self.step_of, order, (np.arange(n) // step).astype(np.uint8)[None, :], axis=1)
+        self.entries = np.clip(n - step * np.arange(STEPS), 0, step)
+        # room for which entries are unread, used again for every query
+        self._from, self._to = np.empty((lists, n), bool), np.empty((lists, n), bool)
+        self._unread = np.empty((lists, n), vectors.dtype)
         #: Entries read and resolved candidates, over all queries so far.
         self.read = self.resolved = 0
 
     def _sums(self, at: np.ndarray, values: np.ndarray) -> np.ndarray:
         """What is added to every candidate."""
         if values.dtype == np.float64:
-            return np.bincount(at, values, len(self.ids))
-        out = np.zeros(len(self.ids), values.dtype)
+            return np.bincount(at, values, len(self.ids) + 1)[:-1]
+        out = np.zeros(len(self.ids) + 1, values.dtype)
         np.add.at(out, at, values)
-        return out
+        return out[:-1]
+
+    def _unread_sums(self, lists, alive, first, end, gaps) -> np.ndarray:
+        """For each of ``alive`` the sum of ``gaps`` over the lists whose steps from ``first`` to ``end`` hold its entry."""
+        at = self.step_of if len(lists) == len(self.step_of) else self.step_of[lists]
+        at = at if len(alive) == len(self.ids) else at.take(alive, axis=1)
+        there = np.s_[: at.shape[0], : at.shape[1]]
+        held = np.greater_equal(at, first.astype(np.uint8)[:, None], out=self._from[there])
+        held &= np.less(at, end.astype(np.uint8)[:, None], out=self._to[there])
+        np.copyto(self._unread[there], held)
+        return gaps @ self._unread[there]
 
     def best(self, query_id: int, query: np.ndarray, k: int, reached: int) -> list[tuple[int, int]]:
         """(score, id) of this block's candidates that may be among the query's k best.
@@ -77,37 +98,39 @@ class SortedBlock:
         n = len(self.ids)
         lists = np.flatnonzero(query)
         weight, rising = query[lists], query[lists] < 0
-        low, high = self.sorted[lists, 0], self.sorted[lists, -1]
+        low, high = self.sorted[lists, 0, 0], self.sorted[lists, -1, -1]
         front, least = np.where(rising, low, high) * weight, np.where(rising, high, low) * weight
-        depth, step = np.zeros(len(lists), np.int64), -(-n // STEPS)
-        lower, upper = np.full(n, least.sum()), np.full(n, front.sum())
+        depth, lower = np.zeros(len(lists), np.int64), np.full(n, least.sum())
         own = self.ids == query_id
-        lower[own], upper[own] = LEAST, LEAST
-        unread = np.ones((len(lists), n), self.vectors.dtype)
+        alive = np.arange(n)
+        unsummed: list[tuple[np.ndarray, np.ndarray]] = []
         while True:
-            bound = max(reached, np.partition(lower, n - k)[n - k]) if n > k else reached
-            alive = np.flatnonzero(upper >= bound)
-            whole = depth.min(initial=n) >= n
-            # a candidate met in no list has the sum of the fronts as its upper bound
-            if whole or front.sum() < bound and len(alive) <= max(k, n * RESOLVED):
-                break
-            after = np.minimum(depth + step, n)
-            next_front = np.where(rising, self.sorted[lists, after - 1], self.sorted[lists, n - after]) * weight
-            next_front[after == n] = least[after == n]
-            gain = np.where(depth < n, front - next_front, -1)
+            whole = depth.min(initial=STEPS) >= STEPS
+            # as long as a candidate not met yet may reach what is known, its bounds need not be drawn up
+            if whole or reached == LEAST or front.sum() < reached:
+                if unsummed:
+                    lower += self._sums(*(np.concatenate([x[c] for x in unsummed]) for c in (0, 1)))
+                    unsummed = []
+                lower[own] = LEAST
+                bound = max(reached, np.partition(lower, n - k)[n - k]) if n > k else reached
+                # a candidate met in no list has the sum of the fronts as its upper bound
+                if whole or front.sum() < bound:
+                    first, end = np.where(rising, depth, 0), np.where(rising, STEPS, STEPS - depth)
+                    upper = lower[alive] + self._unread_sums(lists, alive, first, end, front - least)
+                    upper[own[alive]] = LEAST
+                    alive = alive[upper >= bound]  # upper bounds fall and the bound rises, so the others stay out
+                    if whole or len(alive) <= max(k, n * RESOLVED):
+                        break
+            step = np.minimum(np.where(rising, depth, STEPS - 1 - depth).clip(0), STEPS - 1)
+            next_front = np.where(rising, self.sorted[lists, step, -1], self.sorted[lists, step, 0]) * weight
+            next_front[depth + 1 >= STEPS] = least[depth + 1 >= STEPS]
+            gain = np.where(depth < STEPS, front - next_front, -1)
             chosen = np.argsort(-gain, kind="stable")[: -(-len(lists) // LISTS)]
-            chosen = chosen[depth[chosen] < n]
-            upper -= (front - next_front)[chosen] @ unread[chosen]
-            at = depth[chosen, None] + np.arange(step)
-            there = at < n
-            at = np.where(rising[chosen, None], at, n - 1 - at).clip(0, n - 1)
-            lines = lists[chosen, None]
-            candidates, added = self.order[lines, at], self.sorted[lines, at] * weight[chosen, None]
-            lower += self._sums(candidates[there], (added - least[chosen, None])[there])
-            upper += self._sums(candidates[there], (added - next_front[chosen, None])[there])
-            unread[np.broadcast_to(chosen[:, None], at.shape)[there], candidates[there]] = 0
-            self.read += int(there.sum())
-            depth[chosen], front[chosen] = after[chosen], next_front[chosen]
+            chosen = chosen[depth[chosen] < STEPS]
+            values = self.sorted[lists[chosen], step[chosen]] * weight[chosen, None] - least[chosen, None]
+            unsummed.append((self.order[lists[chosen], step[chosen]].ravel(), values.ravel()))
+            self.read += int(self.entries[step[chosen]].sum())
+            depth[chosen], front[chosen] = depth[chosen] + 1, next_front[chosen]
         self.resolved += len(alive)
         alive = alive[~own[alive]]
         score = self.vectors[alive] @ query

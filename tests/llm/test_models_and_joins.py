@@ -817,3 +817,20 @@ def test_a_group_of_near_copies_makes_edges_as_its_size(spark, monkeypatch):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert sum(e.count() for e in made) < 8 * len(texts) and sets < 400
+
+
+def test_every_entry_read_is_summed_once(monkeypatch):
+    rng = np.random.default_rng(12)
+    vectors = np.floor(256 * rng.normal(size=(1001, 16)))
+    ids, summed = np.arange(1001), []
+    plain = topk_search.SortedBlock._sums
+    monkeypatch.setattr(topk_search.SortedBlock, "_sums", lambda self, at, x: summed.append(int((at < 1001).sum())) or plain(self, at, x))
+    block = topk_search.SortedBlock(ids, vectors)
+    queries = list(range(0, 1001, 50))
+    bounds = topk_search.first_bounds(queries, [vectors[q].astype(np.int64) for q in queries], 5)
+    for q, reached in zip(queries, bounds.tolist(), strict=True):
+        score = (vectors @ vectors[q]).astype(int)
+        score[q] = topk_search.LEAST
+        want = [(int(score[i]), int(i)) for i in np.lexsort((ids, -score))[:5]]
+        assert [x for x in block.best(q, vectors[q], 5, reached) if x[0] >= reached] == want
+    assert sum(summed) == block.read > 0
