@@ -1,11 +1,13 @@
 """Toxicity, language ID, HTML, Jaccard join, top-k search and the pipeline."""
 
 import random
+import types
 import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -834,3 +836,34 @@ def test_every_entry_read_is_summed_once(monkeypatch):
         want = [(int(score[i]), int(i)) for i in np.lexsort((ids, -score))[:5]]
         assert [x for x in block.best(q, vectors[q], 5, reached) if x[0] >= reached] == want
     assert sum(summed) == block.read > 0
+
+
+@pytest.mark.parametrize("scale", [32, 2**15, 2**24])  # sums in float32, float64 and int64
+def test_many_queries_are_read_together(monkeypatch, scale):
+    rng = np.random.default_rng(21)
+    n, d = 3001, 24
+    vectors = np.floor(scale * rng.normal(size=(n, d))).astype(np.int64)
+    vectors[:, 3] = vectors[100] = 0
+    ids = rng.permutation(n)
+    at = np.flatnonzero(ids % 5 == 0)
+    queries = [int(i) for i in ids[at]], [vectors[i] for i in at]
+    shared = types.SimpleNamespace(value=(*queries, topk_search.first_bounds(*queries, 5)))
+    calls = Counter()
+    for name in ("_sums", "_unread_sums"):
+
+        def counted(*args, name=name, plain=getattr(topk_search.SortedBlock, name)):
+            calls[name] += 1
+            return plain(*args)
+
+        monkeypatch.setattr(topk_search.SortedBlock, name, counted)
+    batch = pa.record_batch([pa.array(ids, pa.int64()), pa.array(vectors.tolist(), pa.list_(pa.int64()))], names=["vec_id", "v"])
+    (out,) = topk_search._kernel(shared, 5, 2000)(iter([batch.slice(0, 7), batch.slice(7)]))
+    found = defaultdict(list)
+    for query_id, vec_id, score in zip(*(c.to_pylist() for c in out.columns), strict=True):
+        found[query_id].append((-score, vec_id))
+    for i in at:
+        score = vectors @ vectors[i]
+        first = [j for j in np.lexsort((ids, -score))[:6] if j != i][:5]
+        assert sorted(found[ids[i]]) == [(-int(score[j]), int(ids[j])) for j in first]
+    # two blocks; one sum of the entries for many queries, and further bounds for few of them only
+    assert calls["_sums"] < 0.5 * len(at) and calls["_unread_sums"] < len(at)
